@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 MAX_CUTS = 1024
 MAX_CELLS = 1 << 20
-HOT_REPEATS = 3
+QUANTILE_POINTS = 256
+SAMPLES_PER_POINT = 256
 
 
 def target_cells(spark: SparkSession, sharing: int = 1) -> int:
@@ -30,22 +31,54 @@ def target_cells(spark: SparkSession, sharing: int = 1) -> int:
     return max(8, min(MAX_CUTS, math.ceil(4 * partitions / sharing)))
 
 
-def quantiles(column: str, n_cells: int, sample: float = 1.0) -> Column:
-    value = F.col(column)
-    if sample < 1.0:
-        value = F.when(F.rand(7) < F.lit(sample), value)
-    points = F.array(*[F.lit(i / n_cells) for i in range(1, n_cells)])
-    return F.percentile_approx(value, points, F.lit(max(10_000, 10 * n_cells)))
+def _points(n_cells: int) -> int:
+    """Quantiles to look at: a multiple of the cells, and enough to see which values repeat."""
+    return n_cells * math.ceil(QUANTILE_POINTS / n_cells)
 
 
-def cut_points(found: list[float] | None) -> tuple[list[float], list[float]]:
-    """Bucketizer splits, and the values frequent enough to stand alone."""
-    finite = [q for q in found or [] if q is not None and math.isfinite(q)]
-    cuts: set[float] = set(finite)
-    hot = sorted(q for q, repeats in Counter(finite).items() if repeats >= HOT_REPEATS)
-    cuts.update(math.nextafter(q, math.inf) for q in hot)
+def sample_rate(df: DataFrame, n_cells: int) -> float:
+    """The share of rows that is enough to place the cuts: their number matters, not the size of the table."""
+    return min(1.0, SAMPLES_PER_POINT * _points(n_cells) / max(1, df.count()))
+
+
+def quantiles(rows: DataFrame, columns: list[str], n_cells: int) -> dict[str, list[float] | None]:
+    """Evenly spaced quantiles of each column of a (sampled) frame; one small row on the driver."""
+    n = _points(n_cells)
+    shares = F.expr(f"array({', '.join(f'{i / n!r}D' for i in range(1, n))})")
+    accuracy = F.lit(10 * n)
+    return rows.agg(*[F.percentile_approx(c, shares, accuracy).alias(c) for c in columns]).first().asDict()
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """Bucketizer splits of one column, the values that would fill a cell alone, and how much of it repeats."""
+
+    splits: tuple[float, ...]
+    hot: tuple[float, ...]
+    hot_share: float
+    repeated_share: float
+
+    @property
+    def tied(self) -> bool:
+        """Whether equal values should be combined before they are shuffled."""
+        return bool(self.hot) or self.repeated_share > 0.1
+
+
+def cut_points(found: list[float] | None, n_cells: int) -> Cuts:
+    """Every cell gets the same share of the quantiles; a value that spans two cells or more stands alone."""
+    points = [q for q in found or [] if q is not None and math.isfinite(q)]
+    per_cell = max(1, _points(n_cells) // n_cells)
+    repeats = Counter(points)
+    hot = sorted(q for q, times in repeats.items() if times >= max(3, 2 * per_cell))
+    cuts = {*points[per_cell - 1 :: per_cell], *hot, *(math.nextafter(q, math.inf) for q in hot)}
     inner = sorted(c for c in cuts if math.isfinite(c))
-    return [-math.inf, *inner, math.inf], hot
+    total = max(1, len(points))
+    return Cuts(
+        (-math.inf, *inner, math.inf),
+        tuple(hot),
+        sum(repeats[q] for q in hot) / total,
+        sum(times for times in repeats.values() if times > 1) / total,
+    )
 
 
 def bucketize(df: DataFrame, splits: dict[str, list[float]], outputs: dict[str, str]) -> DataFrame:
@@ -63,8 +96,15 @@ def bucketize(df: DataFrame, splits: dict[str, list[float]], outputs: dict[str,
 @dataclass(frozen=True)
 class Level:
     key: str
-    splits: tuple[float, ...]
-    hot: tuple[float, ...]
+    cuts: Cuts
+
+    @property
+    def splits(self) -> tuple[float, ...]:
+        return self.cuts.splits
+
+    @property
+    def hot(self) -> tuple[float, ...]:
+        return self.cuts.hot
 
     @property
     def width(self) -> int:
@@ -83,6 +123,11 @@ class Cells:
         """Values of the last key that still fill a cell alone: copies of one whole key."""
         return self.levels[-1].hot if len(self.levels) == len(self.keys) else ()
 
+    @property
+    def tied(self) -> bool:
+        """Whether whole keys repeat so much that equal ones should be combined before they are shuffled."""
+        return len(self.levels) == len(self.keys) and self.levels[-1].cuts.tied
+
     def assign(self, df: DataFrame, out: str = "cell") -> DataFrame:
         """Add the cell number. The keys must already be clean doubles."""
         outputs = {level.key: f"__bucket_{i}" for i, level in enumerate(self.levels)}
@@ -104,23 +149,26 @@ class Cells:
         return test
 
 
-def plan_cells(df: DataFrame, keys: list[str], n_cells: int | None = None, sample: float = 1.0) -> Cells:
-    """Find cut points, one aggregate per level. A level is only looked at where the one before has frequent values.
+def plan_cells(df: DataFrame, keys: list[str], n_cells: int | None = None) -> Cells:
+    """Find cut points, one small sample per level. A level is only looked at where the one before has frequent values.
 
-    Each aggregate returns at most `n_cells` numbers. The product of the levels is held under `MAX_CELLS`, which is
-    what bounds the table of cell totals that is broadcast later.
+    The product of the levels is held near `MAX_CELLS`, which is what bounds the table of cell totals that is
+    broadcast later.
     """
     wanted = n_cells or target_cells(df.sparkSession)
+    rate = sample_rate(df, wanted)
     levels: list[Level] = []
     scope, room = df, MAX_CELLS
     for key in keys:
         n = max(2, min(wanted, room))
-        splits, hot = cut_points(scope.agg(quantiles(key, n, sample).alias("q")).first()["q"])
-        levels.append(Level(key, tuple(splits), tuple(hot)))
-        if not hot:
+        sampled = scope.select(key) if rate >= 1.0 else scope.select(key).sample(rate, seed=7)
+        cuts = cut_points(quantiles(sampled, [key], n)[key], n)
+        levels.append(Level(key, cuts))
+        if not cuts.hot:
             break
-        scope = scope.filter(F.col(key).isin(*hot))
-        room = max(2, room // (len(hot) + 1))
+        scope = scope.filter(F.col(key).isin(*cuts.hot))
+        rate = min(1.0, rate / cuts.hot_share)
+        room = max(2, room // (len(cuts.hot) + 1))
     return Cells(tuple(levels), tuple(keys))
 
 
@@ -140,18 +188,32 @@ def cell_offsets(totals: DataFrame, measures: list[str], by: list[str], cell: st
     )
 
 
+def count_equal(rows: DataFrame, by: list[str], order: list[str], measures: dict[str, Column], tied: bool) -> DataFrame:
+    """One row per (by, cell, order) with the given aggregates.
+
+    With frequent keys, equal rows are combined before the shuffle, and the counts are shuffled again into their
+    cells. Without them combining saves nothing: rows go straight to their cell, where they are counted in place, and
+    that one shuffle also serves the windows that follow.
+    """
+    if not tied:
+        rows = rows.repartition(*by, "cell")
+    return rows.groupBy(*by, "cell", *order).agg(*[m.alias(name) for name, m in measures.items()])
+
+
 def prefix_counts(counted: DataFrame, measures: list[str], by: list[str], order: list[str], extra=()) -> DataFrame:
     """Exclusive prefix sums of `measures` along `order`, for a frame that has one row per (by, cell, order).
 
     Adds `before_<m>` and `all_<m>`. `extra` are measures whose group total alone is wanted (`all_<m>`).
     The frame is read twice, once for the cell totals and once for the windows; both readings share one shuffle.
+    The offsets are joined after the window, so they do not travel with the rows.
     """
     wanted = [*measures, *extra]
     totals = counted.groupBy(*by, "cell").agg(*[F.sum(m).alias(m) for m in wanted])
     offsets = cell_offsets(totals, wanted, by).drop(*[f"before_{m}" for m in extra])
     offsets = offsets.withColumnsRenamed({f"before_{m}": f"__offset_{m}" for m in measures})
     inside = Window.partitionBy(*by, "cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    joined = counted.join(F.broadcast(offsets), [*by, "cell"])
     zero = F.lit(0).cast("long")
-    running = {f"before_{m}": F.col(f"__offset_{m}") + F.coalesce(F.sum(m).over(inside), zero) for m in measures}
-    return joined.withColumns(running).drop(*[f"__offset_{m}" for m in measures])
+    running = counted.withColumns({f"__inside_{m}": F.coalesce(F.sum(m).over(inside), zero) for m in measures})
+    joined = running.join(F.broadcast(offsets), [*by, "cell"])
+    summed = {f"before_{m}": F.col(f"__offset_{m}") + F.col(f"__inside_{m}") for m in measures}
+    return joined.withColumns(summed).drop(*[f"__{part}_{m}" for m in measures for part in ("offset", "inside")])

@@ -50,15 +50,12 @@ def ladder(scores: DataFrame) -> DataFrame:
     """
     keyed = scores.withColumn("rank_key", F.when(F.col("fraud_probability") == 0, F.lit(0.0)).otherwise(-F.col("fraud_probability")))
     cells = ordering.plan_cells(keyed, ["rank_key", "amount"])
-    counted = (
-        cells.assign(keyed)
-        .groupBy("cell", "rank_key", "amount")
-        .agg(
-            count_where(F.col("class_label") == 1).alias("n_pos"),
-            count_where(F.col("class_label") == 0).alias("n_neg"),
-            F.count(F.lit(1)).alias("n_all"),
-        )
-    )
+    measures = {
+        "n_pos": count_where(F.col("class_label") == 1),
+        "n_neg": count_where(F.col("class_label") == 0),
+        "n_all": F.count(F.lit(1)),
+    }
+    counted = ordering.count_equal(cells.assign(keyed), [], ["rank_key", "amount"], measures, cells.tied)
     return ordering.prefix_counts(counted, ["n_pos", "n_neg", "n_all"], [], ["rank_key", "amount"])
 
 

@@ -30,36 +30,47 @@ def _name(features: Sequence[str]) -> Column:
     return F.element_at(F.array(*[F.lit(f) for f in features]), F.col("fid") + 1).alias("feature")
 
 
-def value_counts(
-    df: DataFrame, features: Sequence[str] = config.FEATURES, label: str = "Class", sample: float = 1.0
-) -> DataFrame:
+def value_counts(df: DataFrame, features: Sequence[str] = config.FEATURES, label: str = "Class") -> DataFrame:
     """One row per (feature, value) with class counts, the counts before it, and the feature totals.
 
     Features travel as a number. Values get their cell while the table is still wide, then one generator makes it long.
+    Features with frequent values and features without them are counted in their own way (see `count_equal`); each
+    part reads only its own columns.
     """
-    wide = df.select(
-        F.col(label).cast("long").alias("label"), *[clean_double(f).alias(f"v{i}") for i, f in enumerate(features)]
-    )
-    n_cells = ordering.target_cells(df.sparkSession, len(features))
     names = [f"v{i}" for i in range(len(features))]
-    finite = wide.select("label", *[F.when(is_finite(F.col(v)), F.col(v)).alias(v) for v in names])
-    found = finite.agg(*[ordering.quantiles(v, n_cells, sample).alias(v) for v in names]).first()
-    splits = {v: ordering.cut_points(found[v])[0] for v in names}
-    celled = ordering.bucketize(finite, splits, {v: f"c{v}" for v in names})
-    parts = [part for i, v in enumerate(names) for part in (F.lit(i), F.col(v), F.col(f"c{v}"))]
-    long = celled.select("label", F.stack(F.lit(len(names)), *parts).alias("fid", "value", "cell")).filter(
-        F.col("value").isNotNull()
-    )
-    counted = (
-        long.groupBy("fid", "cell", "value")
-        .agg(
-            count_where(F.col("label") == 1).alias("n_pos"),
-            count_where(F.col("label") == 0).alias("n_neg"),
-            F.count(F.lit(1)).alias("n_all"),
-        )
-        .withColumn("n_values", F.lit(1).cast("long"))
-    )
-    return ordering.prefix_counts(counted, ["n_pos", "n_neg", "n_all"], ["fid"], ["value"], extra=["n_values"])
+
+    def finite_values(rows: DataFrame) -> DataFrame:
+        clean = [clean_double(f).alias(v) for f, v in zip(features, names)]
+        wide = rows.select(F.col(label).cast("long").alias("label"), *clean)
+        return wide.select("label", *[F.when(is_finite(F.col(v)), F.col(v)).alias(v) for v in names])
+
+    finite = finite_values(df)
+    n_cells = ordering.target_cells(df.sparkSession, len(features))
+    rate = ordering.sample_rate(df, n_cells)
+    sampled = df if rate >= 1.0 else df.sample(rate, seed=7)
+    found = ordering.quantiles(finite_values(sampled), names, n_cells)
+    cuts = {v: ordering.cut_points(found[v], n_cells) for v in names}
+    measures = {
+        "n_pos": count_where(F.col("label") == 1),
+        "n_neg": count_where(F.col("label") == 0),
+        "n_all": F.count(F.lit(1)),
+    }
+    result = None
+    for tied in (False, True):
+        chosen = [i for i, v in enumerate(names) if cuts[v].tied == tied]
+        if not chosen:
+            continue
+        splits = {names[i]: list(cuts[names[i]].splits) for i in chosen}
+        celled = ordering.bucketize(finite.select("label", *splits), splits, {v: f"c{v}" for v in splits})
+        parts = [part for i in chosen for part in (F.lit(i), F.col(names[i]), F.col(f"c{names[i]}"))]
+        long = celled.select("label", F.stack(F.lit(len(chosen)), *parts).alias("fid", "value", "cell"))
+        # All three are spelled out so that both readings of the counts have the same filter and share one shuffle.
+        long = long.filter(F.col("value").isNotNull() & F.col("fid").isNotNull() & F.col("cell").isNotNull())
+        counted = ordering.count_equal(long, ["fid"], ["value"], measures, tied)
+        counted = counted.withColumn("n_values", F.lit(1).cast("long"))
+        ranked = ordering.prefix_counts(counted, ["n_pos", "n_neg", "n_all"], ["fid"], ["value"], extra=["n_values"])
+        result = ranked if result is None else result.unionByName(ranked)
+    return result
 
 
 def _whole(a: Column, b: Column) -> Column:
@@ -98,7 +109,6 @@ def profile_features(
     label: str = "Class",
     n_bins: int = config.NTILES,
     mode: str = "ntile",
-    sample: float = 1.0,
 ) -> DataFrame:
     """At most `n_bins` rows per feature, holding all that KS, Cliff's delta, IV and WoE need.
 
@@ -107,7 +117,7 @@ def profile_features(
     before positives. Bins are cut by arithmetic on the rank interval a value covers, not by ranking rows.
     Features that lack one of the classes are left out.
     """
-    counts = value_counts(df, features, label, sample).filter((F.col("all_n_pos") > 0) & (F.col("all_n_neg") > 0))
+    counts = value_counts(df, features, label).filter((F.col("all_n_pos") > 0) & (F.col("all_n_neg") > 0))
     wanted = F.lit(n_bins).cast("long")
     bins = wanted if mode == "ntile" else F.least(wanted, F.col("all_n_values"))
     bin_of, first_of = _bin_rules(mode, F.col("all_n_all"), F.col("n_bins"))
@@ -319,23 +329,40 @@ def sampled_cliffs_delta(
 ) -> DataFrame:
     """Cliff's delta on at most `max_pos` positives and `max_neg` negatives per feature.
 
-    The sample is the rows with the smallest `draw` (default: a seeded hash of the row), so it is repeatable. The
-    row limit is pushed in front of the shuffle, where each task keeps no more rows than the sample has.
+    The sample is the rows with the smallest `draw` (default: a seeded hash of the row), so it is repeatable.
+    Features without missing values share one sample per class, found by a bounded sort in each task. For the others
+    the rows are ranked per feature, with the row limit in front of the shuffle.
     """
     draw = draw if draw is not None else F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns])
     wide = df.select(
         F.col(label).cast("long").alias("label"), draw.alias("draw"), *[clean_double(f).alias(f) for f in features]
     ).filter(F.col("label").isin(0, 1))
-    parts = [part for i, f in enumerate(features) for part in (F.lit(i), F.col(f))]
-    long = wide.select("label", "draw", F.stack(F.lit(len(features)), *parts).alias("fid", "value")).filter(
-        is_finite(F.col("value"))
-    )
-    turn = F.row_number().over(Window.partitionBy("fid", "label").orderBy("draw", "value"))
-    drawn = long.withColumn("turn", turn).filter(F.col("turn") <= max(max_pos, max_neg))
-    drawn = drawn.filter(F.col("turn") <= F.when(F.col("label") == 1, max_pos).otherwise(max_neg))
-    counted = drawn.groupBy("fid", "value").agg(
+    missing = wide.agg(*[count_where(~is_finite(F.col(f))).alias(f) for f in features]).first().asDict()
+    limits = {1: max_pos, 0: max_neg}
+
+    def long(rows: DataFrame, whole: bool) -> DataFrame:
+        chosen = [(i, f) for i, f in enumerate(features) if (not missing[f]) == whole]
+        parts = [part for i, f in chosen for part in (F.lit(i), F.col(f))]
+        return rows.select("label", "draw", F.stack(F.lit(len(chosen)), *parts).alias("fid", "value"))
+
+    drawn = []
+    if not all(missing.values()):
+        for value, limit in limits.items():
+            first = wide.filter(F.col("label") == value).orderBy("draw", *features).limit(limit)
+            drawn.append(long(first, True).select("label", "fid", "value"))
+    if any(missing.values()):
+        turn = F.row_number().over(Window.partitionBy("fid", "label").orderBy("draw", "value"))
+        ranked = long(wide, False).filter(is_finite(F.col("value"))).withColumn("turn", turn)
+        ranked = ranked.filter(F.col("turn") <= max(max_pos, max_neg))
+        mine = F.when(F.col("label") == 1, F.lit(max_pos)).otherwise(F.lit(max_neg))
+        drawn.append(ranked.filter(F.col("turn") <= mine).select("label", "fid", "value"))
+    sample = drawn[0]
+    for part in drawn[1:]:
+        sample = sample.unionByName(part)
+    counted = sample.groupBy("fid", "value").agg(
         count_where(F.col("label") == 1).alias("n_pos"), count_where(F.col("label") == 0).alias("n_neg")
     )
+    # At most max_pos + max_neg rows per feature from here on.
     feature = Window.partitionBy("fid")
     counted = counted.withColumns(
         {
