@@ -71,7 +71,7 @@ def cut_points(found: list[float] | None, n_cells: int) -> Cuts:
     repeats = Counter(points)
     hot = sorted(q for q, times in repeats.items() if times >= max(3, 2 * per_cell))
     cuts = {*points[per_cell - 1 :: per_cell], *hot, *(math.nextafter(q, math.inf) for q in hot)}
-    inner = sorted(c for c in cuts if math.isfinite(c))
+    inner = sorted(c for c in cuts if math.isfinite(c)) or [0.0]
     total = max(1, len(points))
     return Cuts(
         (-math.inf, *inner, math.inf),

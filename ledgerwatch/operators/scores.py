@@ -31,13 +31,12 @@ def scored(df: DataFrame, columns: ScoreColumns = ScoreColumns()) -> DataFrame:
 
 def merge_single_rows(*rows: DataFrame) -> DataFrame:
     """Put one-row tables with different columns side by side; no rows if any of them is empty."""
-    marked = [row.withColumn("__part", F.lit(i)) for i, row in enumerate(rows)]
-    stacked = marked[0]
-    for row in marked[1:]:
+    stacked = rows[0]
+    for row in rows[1:]:
         stacked = stacked.unionByName(row, allowMissingColumns=True)
     names = [c for row in rows for c in row.columns]
-    merged = stacked.agg(F.count_distinct("__part").alias("__parts"), *[F.max(c).alias(c) for c in names])
-    return merged.filter(F.col("__parts") == len(rows)).drop("__parts")
+    merged = stacked.agg(F.count(F.lit(1)).alias("__rows"), *[F.max(c).alias(c) for c in names])
+    return merged.filter(F.col("__rows") == len(rows)).drop("__rows")
 
 
 # --- ranking ---------------------------------------------------------------------------------------------------
