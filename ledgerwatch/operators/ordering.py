@@ -51,12 +51,14 @@ def quantiles(rows: DataFrame, columns: list[str], n_cells: int) -> dict[str, li
 
 @dataclass(frozen=True)
 class Cuts:
-    """Bucketizer splits of one column, the values that would fill a cell alone, and how much of it repeats."""
+    """Bucketizer splits of one column, the values that would fill a cell alone, how much of it repeats, and the
+    number of distinct values seen."""
 
     splits: tuple[float, ...]
     hot: tuple[float, ...]
     hot_share: float
     repeated_share: float
+    n_values: int
 
     @property
     def tied(self) -> bool:
@@ -78,6 +80,7 @@ def cut_points(found: list[float] | None, n_cells: int) -> Cuts:
         tuple(hot),
         sum(repeats[q] for q in hot) / total,
         sum(times for times in repeats.values() if times > 1) / total,
+        len(repeats),
     )
 
 
@@ -188,28 +191,32 @@ def cell_offsets(totals: DataFrame, measures: list[str], by: list[str], cell: st
     )
 
 
-def count_equal(rows: DataFrame, by: list[str], order: list[str], measures: dict[str, Column], tied: bool) -> DataFrame:
-    """One row per (by, cell, order) with the given aggregates.
+def count_equal(rows: DataFrame, by: list[str], order: list[str], measures: dict[str, Column], tied: bool) -> tuple[DataFrame, DataFrame]:
+    """One row per (by, cell, order) with the given counts, and the totals of every (by, cell).
 
     With frequent keys, equal rows are combined before the shuffle, and the counts are shuffled again into their
-    cells. Without them combining saves nothing: rows go straight to their cell, where they are counted in place, and
-    that one shuffle also serves the windows that follow.
+    cells; the totals are taken from the counts, sharing the first shuffle, and include the number of distinct keys
+    (`n_values`). Without frequent keys combining saves
+    nothing: rows go straight to their cell, where they are counted in place, and that one shuffle also serves the
+    window that follows; the totals come from a second scan that shuffles only one row per task and cell.
     """
-    if not tied:
-        rows = rows.repartition(*by, "cell")
-    return rows.groupBy(*by, "cell", *order).agg(*[m.alias(name) for name, m in measures.items()])
+    named = [m.alias(name) for name, m in measures.items()]
+    if tied:
+        counted = rows.groupBy(*by, "cell", *order).agg(*named)
+        sums = [F.sum(name).alias(name) for name in measures]
+        return counted, counted.groupBy(*by, "cell").agg(*sums, F.count(F.lit(1)).alias("n_values"))
+    counted = rows.repartition(*by, "cell").groupBy(*by, "cell", *order).agg(*named)
+    return counted, rows.groupBy(*by, "cell").agg(*named)
 
 
-def prefix_counts(counted: DataFrame, measures: list[str], by: list[str], order: list[str], extra=()) -> DataFrame:
+def prefix_counts(counted: DataFrame, totals: DataFrame, measures: list[str], by: list[str], order: list[str]) -> DataFrame:
     """Exclusive prefix sums of `measures` along `order`, for a frame that has one row per (by, cell, order).
 
-    Adds `before_<m>` and `all_<m>`. `extra` are measures whose group total alone is wanted (`all_<m>`).
-    The frame is read twice, once for the cell totals and once for the windows; both readings share one shuffle.
-    The offsets are joined after the window, so they do not travel with the rows.
+    Adds `before_<m>` and `all_<m>`. The offsets of the cells are joined after the window, so they do not travel with
+    the rows. `totals` has at most a small multiple of `MAX_CELLS` rows, which bounds the broadcast.
     """
-    wanted = [*measures, *extra]
-    totals = counted.groupBy(*by, "cell").agg(*[F.sum(m).alias(m) for m in wanted])
-    offsets = cell_offsets(totals, wanted, by).drop(*[f"before_{m}" for m in extra])
+    others = [c for c in totals.columns if c not in (*by, "cell", *measures)]
+    offsets = cell_offsets(totals, [*measures, *others], by).drop(*[f"before_{m}" for m in others])
     offsets = offsets.withColumnsRenamed({f"before_{m}": f"__offset_{m}" for m in measures})
     inside = Window.partitionBy(*by, "cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")

@@ -54,8 +54,9 @@ def ladder(scores: DataFrame) -> DataFrame:
         "n_neg": count_where(F.col("class_label") == 0),
         "n_all": F.count(F.lit(1)),
     }
-    counted = ordering.count_equal(cells.assign(keyed), [], ["rank_key", "amount"], measures, cells.tied)
-    return ordering.prefix_counts(counted, ["n_pos", "n_neg", "n_all"], [], ["rank_key", "amount"])
+    keys = ["rank_key", "amount"]
+    counted, totals = ordering.count_equal(cells.assign(keyed), [], keys, measures, cells.tied)
+    return ordering.prefix_counts(counted, totals, list(measures), [], keys)
 
 
 def _harmonic_gap(low: Column, high: Column) -> Column:

@@ -17,6 +17,7 @@ from ledgerwatch.functions.columns import clean_double, count_where, is_finite
 from ledgerwatch.operators import ordering
 
 KS_SERIES_TERMS = 100
+MOST_BINS = 100
 
 
 def unpivot_features(df: DataFrame, features: Sequence[str] = config.FEATURES, label: str = "Class") -> DataFrame:
@@ -33,6 +34,9 @@ def _name(features: Sequence[str]) -> Column:
 def value_counts(df: DataFrame, features: Sequence[str] = config.FEATURES, label: str = "Class") -> DataFrame:
     """One row per (feature, value) with class counts, the counts before it, and the feature totals.
 
+    `all_n_values` is the number of distinct values: exact for features with frequent values, else the number seen
+    while placing the cells, which is at least 90 % of 256.
+
     Features travel as a number. Values get their cell while the table is still wide, then one generator makes it long.
     Features with frequent values and features without them are counted in their own way (see `count_equal`); each
     part reads only its own columns.
@@ -66,9 +70,11 @@ def value_counts(df: DataFrame, features: Sequence[str] = config.FEATURES, label
         long = celled.select("label", F.stack(F.lit(len(chosen)), *parts).alias("fid", "value", "cell"))
         # All three are spelled out so that both readings of the counts have the same filter and share one shuffle.
         long = long.filter(F.col("value").isNotNull() & F.col("fid").isNotNull() & F.col("cell").isNotNull())
-        counted = ordering.count_equal(long, ["fid"], ["value"], measures, tied)
-        counted = counted.withColumn("n_values", F.lit(1).cast("long"))
-        ranked = ordering.prefix_counts(counted, ["n_pos", "n_neg", "n_all"], ["fid"], ["value"], extra=["n_values"])
+        counted, totals = ordering.count_equal(long, ["fid"], ["value"], measures, tied)
+        ranked = ordering.prefix_counts(counted, totals, list(measures), ["fid"], ["value"])
+        if not tied:
+            seen = min(cuts[v].n_values for v in splits)
+            ranked = ranked.withColumn("all_n_values", F.lit(seen).cast("long"))
         result = ranked if result is None else result.unionByName(ranked)
     return result
 
@@ -117,6 +123,8 @@ def profile_features(
     before positives. Bins are cut by arithmetic on the rank interval a value covers, not by ranking rows.
     Features that lack one of the classes are left out.
     """
+    if not 1 <= n_bins <= MOST_BINS:
+        raise ValueError(f"n_bins must be between 1 and {MOST_BINS}, got {n_bins}")
     counts = value_counts(df, features, label).filter((F.col("all_n_pos") > 0) & (F.col("all_n_neg") > 0))
     wanted = F.lit(n_bins).cast("long")
     bins = wanted if mode == "ntile" else F.least(wanted, F.col("all_n_values"))

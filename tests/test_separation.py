@@ -143,13 +143,16 @@ def test_unpivot_drops_missing(spark):
     assert rows == {(1, "a", 1.0), (0, "b", 2.0)}
 
 
-def test_both_readings_of_the_counts_share_one_shuffle(spark):
+def test_tied_counts_are_shuffled_once_and_untied_rows_are_not_combined_first(spark):
     rng = np.random.default_rng(8)
-    for values in (rng.normal(size=3000), rng.integers(0, 9, 3000)):
-        df = frame(spark, values[:900], values[900:])
-        counts = separation.value_counts(df, ["x"])
+    plans = {}
+    for kind, values in (("untied", rng.normal(size=30000)), ("tied", rng.integers(0, 9, 30000))):
+        counts = separation.value_counts(frame(spark, values[:900], values[900:]), ["x"])
         counts.collect()
-        assert "ReusedExchange" in counts._jdf.queryExecution().executedPlan().toString()
+        plans[kind] = counts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plans["tied"] and "REPARTITION_BY_COL" not in plans["tied"]
+    assert "REPARTITION_BY_COL" in plans["untied"] and "hashpartitioning(fid" in plans["untied"]
+    assert not any("hashpartitioning(fid" in line and "value" in line.split("hashpartitioning")[1] for line in plans["untied"].split("\n"))
 
 
 def test_cut_points_isolate_frequent_values():
