@@ -19,16 +19,20 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-MAX_CUTS = 1024
+MAX_CUTS = 8192
 MAX_CELLS = 1 << 20
 QUANTILE_POINTS = 256
 SAMPLES_PER_POINT = 256
 
 
+def slots(spark: SparkSession) -> int:
+    """Partitions that ordered rows are spread over."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def target_cells(spark: SparkSession, sharing: int = 1) -> int:
-    """Cells per ordered column: a few per shuffle partition, shared by the columns ordered together."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(MAX_CUTS, math.ceil(4 * partitions / sharing)))
+    """Cells per ordered column: two per partition, shared by the columns that are ordered together."""
+    return max(8, min(MAX_CUTS, math.ceil(2 * slots(spark) / sharing)))
 
 
 def _points(n_cells: int) -> int:
@@ -96,6 +100,15 @@ def bucketize(df: DataFrame, splits: dict[str, list[float]], outputs: dict[str,
     return split.withColumns({outputs[n]: F.coalesce(F.col(outputs[n]).cast("long") + 1, F.lit(0).cast("long")) for n in names})
 
 
+def slot_of(turn: Column, spark: SparkSession) -> Column:
+    return (turn % F.lit(slots(spark))).cast("int")
+
+
+def to_slots(df: DataFrame) -> DataFrame:
+    """Shuffle rows to the partition named by their slot. Windows by ("slot", ..., "cell") need no further shuffle."""
+    return df.repartitionById(slots(df.sparkSession), F.col("slot"))
+
+
 @dataclass(frozen=True)
 class Level:
     key: str
@@ -131,16 +144,19 @@ class Cells:
         """Whether whole keys repeat so much that equal ones should be combined before they are shuffled."""
         return len(self.levels) == len(self.keys) and self.levels[-1].cuts.tied
 
-    def assign(self, df: DataFrame, out: str = "cell") -> DataFrame:
-        """Add the cell number. The keys must already be clean doubles."""
+    def assign(self, df: DataFrame) -> DataFrame:
+        """Add `cell`, and the `slot` (partition) it belongs to. The keys must already be clean doubles.
+
+        Cells hold like shares of the rows, so dealing neighbouring cells to the slots in turn balances them.
+        """
         outputs = {level.key: f"__bucket_{i}" for i, level in enumerate(self.levels)}
         df = bucketize(df, {level.key: list(level.splits) for level in self.levels}, outputs)
-        cell, deeper = F.lit(0).cast("long"), F.lit(True)
+        cell, turn, deeper = F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(True)
         for level in self.levels:
             own = F.when(deeper, F.col(outputs[level.key])).otherwise(F.lit(0).cast("long"))
-            cell = cell * F.lit(level.width) + own
+            cell, turn = cell * F.lit(level.width) + own, turn + own
             deeper = deeper & F.coalesce(F.col(level.key).isin(*level.hot), F.lit(False)) if level.hot else F.lit(False)
-        return df.withColumn(out, cell).drop(*outputs.values())
+        return df.withColumns({"cell": cell, "slot": slot_of(turn, df.sparkSession)}).drop(*outputs.values())
 
     def is_hot_key(self) -> Column:
         """True for rows whose whole key is one of the frequent ones."""
@@ -201,12 +217,13 @@ def count_equal(rows: DataFrame, by: list[str], order: list[str], measures: dict
     window that follows; the totals come from a second scan that shuffles only one row per task and cell.
     """
     named = [m.alias(name) for name, m in measures.items()]
+    cell = ["slot", *by, "cell"]
     if tied:
-        counted = rows.groupBy(*by, "cell", *order).agg(*named)
+        counted = rows.groupBy(*cell, *order).agg(*named)
         sums = [F.sum(name).alias(name) for name in measures]
-        return counted, counted.groupBy(*by, "cell").agg(*sums, F.count(F.lit(1)).alias("n_values"))
-    counted = rows.repartition(*by, "cell").groupBy(*by, "cell", *order).agg(*named)
-    return counted, rows.groupBy(*by, "cell").agg(*named)
+        totals = counted.groupBy(*cell).agg(*sums, F.count(F.lit(1)).alias("n_values"))
+        return to_slots(counted), totals.drop("slot")
+    return to_slots(rows).groupBy(*cell, *order).agg(*named), rows.groupBy(*by, "cell").agg(*named)
 
 
 def prefix_counts(counted: DataFrame, totals: DataFrame, measures: list[str], by: list[str], order: list[str]) -> DataFrame:
@@ -218,7 +235,7 @@ def prefix_counts(counted: DataFrame, totals: DataFrame, measures: list[str], by
     others = [c for c in totals.columns if c not in (*by, "cell", *measures)]
     offsets = cell_offsets(totals, [*measures, *others], by).drop(*[f"before_{m}" for m in others])
     offsets = offsets.withColumnsRenamed({f"before_{m}": f"__offset_{m}" for m in measures})
-    inside = Window.partitionBy(*by, "cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("slot", *by, "cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     running = counted.withColumns({f"__inside_{m}": F.coalesce(F.sum(m).over(inside), zero) for m in measures})
     joined = running.join(F.broadcast(offsets), [*by, "cell"])

@@ -70,6 +70,8 @@ def value_counts(df: DataFrame, features: Sequence[str] = config.FEATURES, label
         long = celled.select("label", F.stack(F.lit(len(chosen)), *parts).alias("fid", "value", "cell"))
         # All three are spelled out so that both readings of the counts have the same filter and share one shuffle.
         long = long.filter(F.col("value").isNotNull() & F.col("fid").isNotNull() & F.col("cell").isNotNull())
+        turn = F.col("fid") * F.lit(n_cells) + F.col("cell")
+        long = long.withColumn("slot", ordering.slot_of(turn, df.sparkSession))
         counted, totals = ordering.count_equal(long, ["fid"], ["value"], measures, tied)
         ranked = ordering.prefix_counts(counted, totals, list(measures), ["fid"], ["value"])
         if not tied:

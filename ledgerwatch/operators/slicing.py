@@ -63,8 +63,8 @@ def assign_pseudo_day(df: DataFrame, n: int = config.SLICE_COUNT, order: Sequenc
 
     copies = cells.is_hot_key()
     single = celled if not cells.hot_last else celled.filter(~copies)
-    inside = F.row_number().over(Window.partitionBy("cell").orderBy(*position))
-    ranked = single.withColumn("__inside", inside.cast("long")).join(F.broadcast(offsets), "cell")
+    inside = F.row_number().over(Window.partitionBy("slot", "cell").orderBy(*position))
+    ranked = ordering.to_slots(single).withColumn("__inside", inside.cast("long")).join(F.broadcast(offsets), "cell")
     dated = ranked.withColumn("Date", _slice(F.col("before_n") + F.col("__inside") - 1, n))
     result = dated.select(*source, "Date")
     if cells.hot_last:

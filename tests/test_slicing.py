@@ -74,7 +74,7 @@ def test_missing_second_key_sorts_first(spark):
 def test_window_is_partitioned(spark):
     plan = slicing.assign_pseudo_day(make(spark, random_rows(200)))._jdf.queryExecution().executedPlan().toString()
     rows_window = [line for line in plan.split("\n") if "row_number" in line and "Window" in line]
-    assert rows_window and all("[cell" in line for line in rows_window)
+    assert rows_window and all("[slot" in line and "cell" in line for line in rows_window)
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
