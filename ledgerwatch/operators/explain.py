@@ -13,6 +13,7 @@ from math import factorial
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -92,14 +93,14 @@ def with_attributions(df: DataFrame, model, path: str, features: Sequence[str] =
             total = np.zeros_like(x)
             for players, low, high, table in leaves:
                 seen = x[:, players]
-                pattern = ((seen > low) & (seen <= high)) @ (1 << np.arange(len(players)))
+                # A missing value fails every comparison, so it goes right and stays below no upper limit.
+                held = ~(seen <= low) & ((seen <= high) | np.isposinf(high))
+                pattern = held @ (1 << np.arange(len(players)))
                 total[:, players] += table[pattern]
             yield pd.Series(list(total))
 
     scaled, stages = df, model.stages
     if SCALED_AMOUNT in inner:
-        from pyspark.ml.functions import vector_to_array
-
         scaled = stages[1].transform(stages[0].transform(df))
         inputs = [vector_to_array(F.col(c))[0].alias(c) if c == SCALED_AMOUNT else F.col(c).cast("double") for c in inner]
     else:

@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch import config
+from ledgerwatch.functions.columns import is_finite
 from ledgerwatch.session import use_checkpoint_dir
 
 SCALED_AMOUNT = "Amount_scaled"
+FINITE_LIMIT = 1e200
 # The model sees the scaled amount; the separation tables show the raw one.
 RAW_NAME = {SCALED_AMOUNT: "Amount"}
 
@@ -43,7 +45,10 @@ def train(
     step_size: float = 0.3,
     seed: int = 42,
 ) -> PipelineModel:
-    """Fit, store at `path`, and return the model. Training stops early when the validation rows stop gaining."""
+    """Fit, store at `path`, and return the model. Training stops early when the validation rows stop gaining.
+
+    A missing feature value does not stop a row: as in every comparison of a tree, it goes to the right.
+    """
     use_checkpoint_dir(train_df.sparkSession)
     inner = model_features(features)
     needed = [*features, label]
@@ -54,14 +59,18 @@ def train(
     )
     weights = class_weights(train_df, label).select(F.col("class_label").alias("__class"), "class_weight")
     rows = rows.withColumn("__class", F.col(label).cast("long")).join(F.broadcast(weights), "__class", "left")
+    # The trainer takes finite numbers only. `least` skips NULL and puts NaN last, so a missing value becomes the limit.
+    limit = F.lit(FINITE_LIMIT)
+    rows = rows.withColumns({f: F.greatest(-limit, F.least(F.col(f).cast("double"), limit)) for f in features})
     rows = rows.withColumns({"__label": F.col(label).cast("double"), "__weight": F.coalesce("class_weight", F.lit(1.0))})
 
     stages = []
     if "Amount" in features:
-        amount = VectorAssembler(inputCols=["Amount"], outputCol="__amount")
+        amount = VectorAssembler(inputCols=["Amount"], outputCol="__amount", handleInvalid="keep")
         scaler = StandardScaler(inputCol="__amount", outputCol=SCALED_AMOUNT, withMean=True, withStd=True)
-        stages += [amount, scaler.fit(amount.transform(train_df.select("Amount")))]
-    stages.append(VectorAssembler(inputCols=inner, outputCol="__features"))
+        known = train_df.select("Amount").filter(is_finite(F.col("Amount").cast("double")))
+        stages += [amount, scaler.fit(amount.transform(known))]
+    stages.append(VectorAssembler(inputCols=inner, outputCol="__features", handleInvalid="keep"))
     for stage in stages:
         rows = stage.transform(rows)
     booster = GBTClassifier(

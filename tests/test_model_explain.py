@@ -96,6 +96,24 @@ def test_attributions_equal_shapley_values_by_definition(spark, trained):
         assert sum(row.attributions) + base == pytest.approx(log_odds, abs=1e-9)
 
 
+def test_missing_values_are_scored_and_explained(spark, trained):
+    fitted, path, df = trained
+    gaps = df.limit(1).select("Class", "Date", "Time", "Hour").withColumns(
+        {"V1": F.lit(None).cast("double"), "V2": F.lit(0.3), "Amount": F.lit(None).cast("double")}
+    )
+    row = explain.with_attributions(model.score(fitted, gaps), fitted, path, FEATURES).first()
+    log_odds = np.log(row.fraud_probability / (1 - row.fraud_probability))
+    assert sum(row.attributions) + explain.base_value(df, fitted, path) == pytest.approx(log_odds, abs=1e-9)
+
+
+def test_training_with_missing_values(spark, trained, tmp_path):
+    _, _, df = trained
+    holes = df.withColumn("Amount", F.when(F.col("V2") < 0.5, F.col("Amount")))
+    path = str(tmp_path / "gbt")
+    fitted = model.train(holes.filter("Date >= 37"), holes.filter("Date BETWEEN 32 AND 36"), path, FEATURES, max_iter=2, max_depth=2)
+    assert model.score(fitted, holes).filter("fraud_probability IS NULL OR isnan(fraud_probability)").count() == 0
+
+
 def test_global_and_local_tables(spark, trained):
     fitted, path, df = trained
     scored = model.predict(fitted, df)
