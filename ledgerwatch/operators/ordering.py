@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 MAX_CUTS = 8192
 MAX_CELLS = 1 << 20
 QUANTILE_POINTS = 256
-SAMPLES_PER_POINT = 256
+FIRST_SAMPLE = 0.01
+SAMPLES_PER_POINT = 16
 
 
 def slots(spark: SparkSession) -> int:
@@ -40,17 +42,26 @@ def _points(n_cells: int) -> int:
     return n_cells * math.ceil(QUANTILE_POINTS / n_cells)
 
 
-def sample_rate(df: DataFrame, n_cells: int) -> float:
-    """The share of rows that is enough to place the cuts: their number matters, not the size of the table."""
-    return min(1.0, SAMPLES_PER_POINT * _points(n_cells) / max(1, df.count()))
+def quantiles(
+    df: DataFrame,
+    columns: list[str],
+    n_cells: int,
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    rate: float = FIRST_SAMPLE,
+) -> dict[str, list[float] | None]:
+    """Evenly spaced quantiles of each column of `prepare(df)`; one small row on the driver.
 
-
-def quantiles(rows: DataFrame, columns: list[str], n_cells: int) -> dict[str, list[float] | None]:
-    """Evenly spaced quantiles of each column of a (sampled) frame; one small row on the driver."""
+    One pass over a sample. Where that sample turns out too small for the cuts, so is the table, and all of it is read.
+    """
     n = _points(n_cells)
     shares = F.expr(f"array({', '.join(f'{i / n!r}D' for i in range(1, n))})")
-    accuracy = F.lit(10 * n)
-    return rows.agg(*[F.percentile_approx(c, shares, accuracy).alias(c) for c in columns]).first().asDict()
+    found = [F.percentile_approx(c, shares, F.lit(10 * n)).alias(c) for c in columns]
+    size = F.count(F.lit(1)).alias("__rows")
+    if rate < 1.0:
+        row = prepare(df.sample(rate, seed=7)).agg(size, *found).first().asDict()
+        if row.pop("__rows") >= SAMPLES_PER_POINT * n:
+            return row
+    return prepare(df).agg(*found).first().asDict()
 
 
 @dataclass(frozen=True)
@@ -175,13 +186,11 @@ def plan_cells(df: DataFrame, keys: list[str], n_cells: int | None = None) -> Ce
     broadcast later.
     """
     wanted = n_cells or target_cells(df.sparkSession)
-    rate = sample_rate(df, wanted)
     levels: list[Level] = []
-    scope, room = df, MAX_CELLS
+    scope, room, rate = df, MAX_CELLS, FIRST_SAMPLE
     for key in keys:
         n = max(2, min(wanted, room))
-        sampled = scope.select(key) if rate >= 1.0 else scope.select(key).sample(rate, seed=7)
-        cuts = cut_points(quantiles(sampled, [key], n)[key], n)
+        cuts = cut_points(quantiles(scope.select(key), [key], n, rate=rate)[key], n)
         levels.append(Level(key, cuts))
         if not cuts.hot:
             break

@@ -50,9 +50,7 @@ def value_counts(df: DataFrame, features: Sequence[str] = config.FEATURES, label
 
     finite = finite_values(df)
     n_cells = ordering.target_cells(df.sparkSession, len(features))
-    rate = ordering.sample_rate(df, n_cells)
-    sampled = df if rate >= 1.0 else df.sample(rate, seed=7)
-    found = ordering.quantiles(finite_values(sampled), names, n_cells)
+    found = ordering.quantiles(df, names, n_cells, finite_values)
     cuts = {v: ordering.cut_points(found[v], n_cells) for v in names}
     measures = {
         "n_pos": count_where(F.col("label") == 1),
