@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
 def use_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints. The session's own setting is kept; one is chosen only where there is none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = spark.sparkContext.getCheckpointDir()
+    """The shared folder for checkpoints and work tables: `spark.checkpoint.dir`, read from the session.
+
+    Where the session has none (tests, single machines) it lies in the warehouse, which every executor sees as well.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="ledgerwatch-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
