@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.llm import mixing, quality_rules, secrets, sharding
+from ledgerwatch.llm import mixing, near_dup, quality_rules, secrets, sharding, token_counts
 
 SHARD_BYTES = 1 << 20
 
@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.token_report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(table(spark, sf_dir, "documents"))
 
@@ -33,6 +43,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_token_counts": op2_token_counts,
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
     "op7_sharding": op7_sharding,
