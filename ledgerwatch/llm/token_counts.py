@@ -17,8 +17,9 @@ from ledgerwatch.llm.store import text_of
 TOKEN_LIMIT = 4096
 SPACE = "▁"
 KEEP_LENGTH = 64
-KEEP_PARTS = 300_000
+KEEP_PARTS = 500_000
 KEEP_PAIRS = 2_000_000
+PAIR = 1 << 32
 
 
 class PrefixCounter:
@@ -39,10 +40,14 @@ class PrefixCounter:
         self.pieces = {self.model.id_to_piece(i) for i in ids if not special[i]}
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.pieces):
             raise ValueError("the vocabulary has pieces across words or lines; its texts do not fall into parts")
-        self.endings = {p[k:] for p in self.pieces for k in range(len(p))}
+        # Every ending of a piece, with the id of the piece it is, or -1: the walk back from a position stops where none goes on.
+        self.endings = {p[k:]: -1 for p in self.pieces for k in range(len(p))}
+        self.endings.update((self.model.id_to_piece(i), i) for i in ids if not special[i])
         self.bare = len(self.model.encode("\n"))
         self.known: dict[str, Sequence[int]] = {}
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.older: dict[str, Sequence[int]] = {}
+        self.apart: dict[int, bool] = {}
+        self.at, self.last, self.codes, self.sums = "", [""], [999_999], [0]
         self.split = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+").findall
 
     def parts(self, text: str) -> list[str]:
@@ -52,65 +57,90 @@ class PrefixCounter:
     def width(self, piece: str) -> int:
         return 1 if piece in self.pieces else len(piece.encode("utf-8", "replace"))
 
+    def code(self, piece: str) -> int:
+        """The id of a piece; a character outside the vocabulary has a number of its own, as has the start of a part."""
+        found = self.endings.get(piece, -1)
+        return found if found >= 0 else 1_000_000 + ord(piece) if piece else 999_999
+
     def stay_apart(self, left: str, right: str) -> bool:
         """Does the model leave these two pieces, one after the other, as they are? An empty left: the right one alone."""
-        pair = (left, right)
-        found = self.apart.get(pair)
-        if found is None:
-            tokens = self.model.encode("\n" + left + right, out_type=str)[self.bare :]
-            wanted = [p for x in pair if x for p in ([x] if x in self.pieces else self.model.encode("\n" + x, out_type=str)[self.bare :])]
-            found = tokens == wanted
-            if len(self.apart) >= KEEP_PAIRS:
-                self.apart.clear()
-            self.apart[pair] = found
+        tokens = self.model.encode("\n" + left + right, out_type=str)[self.bare :]
+        wanted = [p for x in (left, right) if x for p in ([x] if x in self.pieces else self.model.encode("\n" + x, out_type=str)[self.bare :])]
+        if len(self.apart) >= KEEP_PAIRS:
+            self.apart.clear()
+        found = self.apart[self.code(left) * PAIR + self.code(right)] = tokens == wanted
         return found
 
     def count_part(self, part: str) -> Sequence[int]:
-        """Token counts of the prefixes of one part, shortest first."""
-        last, counts = [""], [0]
-        pieces, endings, apart = self.pieces, self.endings, self.apart
-        for end in range(1, len(part) + 1):
-            begin, tried = end - 1, []
-            while begin >= 0 and (piece := part[begin:end]) in endings:
-                if piece in pieces:
-                    tried.append(begin)
+        """Token counts of the prefixes of one part, shortest first.
+
+        The state of the part before is kept as far as the two begin alike, so parts in sorted order cost little each.
+        """
+        same, most = 0, min(len(part), len(self.at))
+        while same < most and part[same] == self.at[same]:
+            same += 1
+        last, codes, counts = self.last, self.codes, self.sums
+        del last[same + 1 :], codes[same + 1 :], counts[same + 1 :]
+        self.at = part
+        endings, apart = self.endings.get, self.apart.get
+        for end in range(same + 1, len(part) + 1):
+            begin = end - 1
+            tried = []
+            found = endings(part[begin:end])
+            if found is None or found < 0:
+                tried.append((begin, self.code(part[begin:end])))
+            while found is not None:
+                if found >= 0:
+                    tried.append((begin, found))
                 begin -= 1
-            if not tried or tried[0] != end - 1:
-                tried.insert(0, end - 1)
-            for begin in reversed(tried):
-                piece = part[begin:end]
-                stays = apart.get((last[begin], piece))
-                if stays or (stays is None and self.stay_apart(last[begin], piece)):
+                found = endings(part[begin:end]) if begin >= 0 else None
+            for begin, code in reversed(tried):
+                stays = apart(codes[begin] * PAIR + code)
+                if stays is None:
+                    stays = self.stay_apart(last[begin], part[begin:end])
+                if stays:
+                    piece = part[begin:end]
                     last.append(piece)
-                    counts.append(counts[begin] + self.width(piece))
+                    codes.append(code)
+                    counts.append(counts[begin] + (1 if code < 999_999 else self.width(piece)))
                     break
             else:
                 raise ValueError(f"no piece ends the prefix {part[:end]!r}")
-        return bytes(counts[1:]) if counts[-1] < 128 and max(counts) < 256 else array("q", counts[1:])
-
-    def counts(self, text: str) -> list[Sequence[int]]:
-        """For each part of the text, the counts of its prefixes; they are those of the text after adding what comes before."""
-        known, out = self.known, []
-        for part in self.parts(text):
-            found = known.get(part)
-            if found is None:
-                found = self.count_part(part)
-                if len(part) <= KEEP_LENGTH:
-                    if len(known) >= KEEP_PARTS:
-                        known.clear()
-                    known[part] = found
-            out.append(found)
+        return bytes(counts[1:]) if counts[-1] < 200 and max(counts) < 256 else array("q", counts[1:])
+
+    def counts(self, texts: list[str]) -> list[list[Sequence[int]]]:
+        """For each text, the counts of the prefixes of its parts; they are the text's after adding what comes before.
+
+        Parts are remembered in two generations, so that frequent ones stay and the memory is bounded.
+        """
+        if len(self.known) >= KEEP_PARTS:
+            self.older, self.known = self.known, {}
+        split = [self.parts(text) for text in texts]
+        known, older = self.known, self.older
+        fresh = sorted({part for parts in split for part in parts if part not in known})
+        for part in fresh:
+            known[part] = older.get(part) or self.count_part(part)
+        out = [[known[part] for part in parts] for parts in split]
+        for part in fresh:
+            if len(part) > KEEP_LENGTH:
+                del known[part]
         return out
 
     def every_prefix(self, text: str) -> np.ndarray:
         """Token counts of text[:0], text[:1], ..., text."""
-        if not text:
-            return np.zeros(1, np.int64)
-        inside = [np.frombuffer(c, np.uint8).astype(np.int64) if isinstance(c, bytes) else np.array(c, np.int64) for c in self.counts(text)]
-        before = np.cumsum([0] + [int(c[-1]) for c in inside[:-1]])
-        flat = np.concatenate([c + b for c, b in zip(inside, before)])
-        flat[0] = 0
-        return flat
+        return running(self.counts([text])[0])
+
+
+def running(parts: list[Sequence[int]]) -> np.ndarray:
+    """Token counts of every prefix of a text from those of its parts. The first character of the first part is the space
+    that the model adds, which an empty text does not get."""
+    if not parts:
+        return np.zeros(1, np.int64)
+    before = np.cumsum([0] + [int(c[-1]) for c in parts[:-1]])
+    flat = np.concatenate([np.frombuffer(c, np.uint8) if isinstance(c, bytes) else np.array(c, np.int64) for c in parts])
+    out = flat.astype(np.int64) + np.repeat(before, [len(c) for c in parts])
+    out[0] = 0
+    return out
 
 
 def longest_within(prefixes: np.ndarray, budget: int) -> int:
@@ -127,9 +157,19 @@ def counter(path: str) -> PrefixCounter:
     return _counters[path]
 
 
-def _texts(column: pa.Array) -> Iterator[str]:
-    for value in column:
-        yield value.as_py() or ""
+def _groups(column: pa.Array, most: int = 4 << 20) -> Iterator[list[str]]:
+    """The texts of a column in groups of about `most` characters."""
+    group: list[str] = []
+    held = 0
+    for at in range(0, len(column), 256):
+        for value in column.slice(at, 256).to_pylist():
+            group.append(value or "")
+            held += len(group[-1])
+            if held >= most:
+                yield group
+                group, held = [], 0
+    if group:
+        yield group
 
 
 def count_tokens(docs: DataFrame, model_path: str, limit: int = TOKEN_LIMIT, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -146,11 +186,12 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = TOKEN_LIMIT, id_
         own = counter(model_path)
         for batch in batches:
             n_bytes, n_tokens, fits = [], [], []
-            for value in _texts(batch.column(1)):
-                total = sum([c[-1] for c in own.counts(value)])
-                n_bytes.append(len(value.encode("utf-8", "surrogatepass")))
-                n_tokens.append(total)
-                fits.append(len(value) if total <= limit else longest_within(own.every_prefix(value), limit))
+            for group in _groups(batch.column(1)):
+                for value, counts in zip(group, own.counts(group)):
+                    total = sum([c[-1] for c in counts])
+                    n_bytes.append(len(value.encode()))
+                    n_tokens.append(total)
+                    fits.append(len(value) if total <= limit else longest_within(running(counts), limit))
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in (n_bytes, n_tokens, fits)]], schema=types)
 
     given = docs.select(docs[id_col].cast(kind).alias("id"), text_of(docs, text).alias("text"))
@@ -167,7 +208,7 @@ def prefix_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     def run(batches):
         own = counter(model_path)
         for batch in batches:
-            rows = [own.every_prefix(value) for value in _texts(batch.column(1))]
+            rows = [running(counts) for group in _groups(batch.column(1)) for counts in own.counts(group)]
             ends = np.cumsum([0] + [len(r) for r in rows]).astype(np.int32)
             flat = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, flat)], names=["id", "prefix_tokens"])
