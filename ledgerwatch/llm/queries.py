@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.llm import mixing, near_dup, quality_rules, secrets, sharding, token_counts
+from ledgerwatch.llm import decontamination, mixing, near_dup, quality_rules, secrets, sharding, token_counts
 
 SHARD_BYTES = 1 << 20
 
@@ -38,6 +38,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(docs, SHARD_BYTES).select("doc_id", "row_bytes", "shard", "shard_depth", "shard_bytes")
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(table(spark, sf_dir, "documents"))
 
@@ -48,5 +52,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
     "op7_sharding": op7_sharding,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_mixing": op10_mixing,
 }
