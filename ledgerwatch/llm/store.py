@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,11 @@ def text_of(docs: DataFrame, text: str = "text") -> Column:
     return F.coalesce(docs[text].cast("string"), F.lit(""))
 
 
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value) with the value computed once per row, also where `then` uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
