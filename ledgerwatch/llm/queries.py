@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.llm import decontamination, mixing, near_dup, quality_rules, secrets, sharding, token_counts
+from ledgerwatch.llm import decontamination, line_quality, mixing, near_dup, quality_rules, secrets, sharding, token_counts, toxicity
 
 SHARD_BYTES = 1 << 20
 
@@ -33,6 +33,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sharding.shard(docs, SHARD_BYTES).select("doc_id", "row_bytes", "shard", "shard_depth", "shard_bytes")
@@ -51,6 +59,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_sharding": op7_sharding,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_mixing": op10_mixing,

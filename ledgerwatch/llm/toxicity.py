@@ -19,7 +19,8 @@ FOLDS, HELD_OUT = 4, 2
 CUTOFF = 0.3
 FIT_DOCS = 12_000
 LEXICON_SIZE = 2_000
-LEAST_Z = 8.0
+LEAST_Z = 6.0
+LEAST_TOXIC = 6
 STEMS = (4, 5, 6, 7)
 
 # The closed word classes of the grammar, in the four languages of the texts.
@@ -153,7 +154,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     counted = rows.select("y", entries.alias("entry")).groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("toxic"))
     z = (F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)))
     odds = F.log((F.col("toxic") + 0.5) / (F.col("n") - F.col("toxic") + 0.5)) - float(np.log(share / (1 - share)))
-    good = counted.withColumn("z", z).withColumn("odds", odds).filter((F.col("z") > LEAST_Z) & (F.col("odds") > 1.5) & (F.length("entry") > 2))
+    good = counted.withColumn("z", z).withColumn("odds", odds).filter((F.col("z") > LEAST_Z) & (F.col("toxic") >= LEAST_TOXIC) & (F.col("odds") > 1.5) & (F.length("entry") > 2))
     best = good.orderBy(F.desc("z"), "entry").limit(LEXICON_SIZE).collect()
     return {r.entry: float(min(r.odds, 6.0)) / 3.0 for r in best}
 
