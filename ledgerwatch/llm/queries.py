@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.llm import decontamination, line_quality, mixing, near_dup, quality_rules, secrets, sharding, token_counts, toxicity
+from ledgerwatch.llm import decontamination, language_model, line_quality, mixing, near_dup, quality_rules, secrets, sharding, token_counts, toxicity
 
 SHARD_BYTES = 1 << 20
 
@@ -46,6 +46,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(docs, SHARD_BYTES).select("doc_id", "row_bytes", "shard", "shard_depth", "shard_bytes")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.language_model_report(table(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_sharding": op7_sharding,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_mixing": op10_mixing,
 }
