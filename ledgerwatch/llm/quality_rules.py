@@ -116,11 +116,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str
     Null or empty text: no words, so it fails the base rules. Null host: a host of its own. Null id, repeated rows: each
     row is judged by itself and counts for its host. Empty input: empty result.
     """
-    narrow = row is None
-    failed = failures(document_counts(docs, id_col, text, host, row))
-    failed = stored(failed, "document-counts") if narrow else failed
-    counted = failed if narrow else stored(failures(document_counts(docs, id_col, text, host)), "document-counts")
-    joined = failed.join(host_rates(counted), "host")
+    failed = stored(failures(document_counts(docs, id_col, text, host, row)), "document-counts")
+    joined = failed.join(host_rates(failed), "host")
     worst = F.greatest(*[F.when(F.col(r), F.col(f"rate_{r}")).otherwise(F.lit(0.0)) for r in RULES[1:]])
     return joined.withColumn("host_rate", worst).withColumn("kept", ~F.col("fails_base") & (F.col("host_rate") <= host_limit))
 
