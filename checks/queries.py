@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import fixture
 from checks.fixture import AUDIT, EVENT_FEATURES, FEATURES, RUN_TS, SCORE, rounded
+from ledgerwatch import config
 from ledgerwatch.functions.columns import stamp
 from ledgerwatch.operators import drift, explain, history, model, scorecards, scores, separation, slicing
 from ledgerwatch.plans import daily, initial
@@ -116,7 +117,9 @@ def feature_report(spark, sf_dir):
 def sampled_cliffs_delta(spark, sf_dir):
     df = fixture.with_hour(spark, sf_dir)
     draw = (F.col("Time") * F.lit(7919.0) + F.floor(F.col("Amount") * F.lit(100.0) + F.lit(0.5)).cast("double")) % F.lit(9973.0)
-    return rounded(separation.sampled_cliffs_delta(df, FEATURES, draw=draw * F.lit(1e9) + F.col("Time") * F.lit(1e3) + F.col("V1")))
+    ordered = draw * F.lit(1e9) + F.col("Time") * F.lit(1e3) + F.col("V1")
+    limits = {"max_pos": config.SAMPLED_POSITIVES, "max_neg": config.SAMPLED_NEGATIVES}
+    return rounded(separation.sampled_cliffs_delta(df, FEATURES, draw=ordered, **limits))
 
 
 # --- scores ----------------------------------------------------------------------------------------------------

@@ -14,10 +14,13 @@ from ledgerwatch.operators import ordering
 
 
 def score_histogram(df: DataFrame, score: str = "fraud_probability", n_bins: int = config.PSI_BINS) -> DataFrame:
-    """(bin_id, n) over equal-width bins of [0, 1]; at most `n_bins` rows, small enough to store per model version."""
+    """(bin_id, n) over equal-width bins of [0, 1]; at most `n_bins` rows, small enough to store per model version.
+
+    Missing and non-finite scores are left out.
+    """
     value = clean_double(score)
     bin_id = F.least(F.floor(value * F.lit(n_bins)).cast("long"), F.lit(n_bins - 1).cast("long"))
-    return df.filter(F.col(score).isNotNull()).groupBy(bin_id.alias("bin_id")).agg(F.count(F.lit(1)).alias("n"))
+    return df.filter(is_finite(value)).groupBy(bin_id.alias("bin_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _shares(histogram: DataFrame, name: str) -> DataFrame:

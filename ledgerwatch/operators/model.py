@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch import config
@@ -17,6 +17,7 @@ from ledgerwatch.session import use_checkpoint_dir
 
 SCALED_AMOUNT = "Amount_scaled"
 FINITE_LIMIT = 1e200
+MOST_DEPTH = 7
 # The model sees the scaled amount; the separation tables show the raw one.
 RAW_NAME = {SCALED_AMOUNT: "Amount"}
 
@@ -34,6 +35,13 @@ def class_weights(df: DataFrame, label: str = "Class") -> DataFrame:
     return counts.withColumn("class_weight", weight)
 
 
+def _trainable(value: Column) -> Column:
+    """The trainer takes finite numbers only: a missing or infinite value becomes the limit, a finite one stays."""
+    limit = F.lit(FINITE_LIMIT)
+    missing = value.isNull() | F.isnan(value) | (value == F.lit(float("inf")))
+    return F.when(missing, limit).when(value == F.lit(float("-inf")), -limit).otherwise(value)
+
+
 def train(
     train_df: DataFrame,
     valid_df: DataFrame,
@@ -47,8 +55,12 @@ def train(
 ) -> PipelineModel:
     """Fit, store at `path`, and return the model. Training stops early when the validation rows stop gaining.
 
+    `max_depth` is at most MOST_DEPTH: the attribution tables have 2^depth rows for each of up to 2^depth leaves of a tree,
+    about 50 MB for 50 trees at that depth, and they are broadcast.
     A missing feature value does not stop a row: as in every comparison of a tree, it goes to the right.
     """
+    if not 1 <= max_depth <= MOST_DEPTH:
+        raise ValueError(f"max_depth must be between 1 and {MOST_DEPTH}, got {max_depth}")
     use_checkpoint_dir(train_df.sparkSession)
     inner = model_features(features)
     needed = [*features, label]
@@ -59,9 +71,7 @@ def train(
     )
     weights = class_weights(train_df, label).select(F.col("class_label").alias("__class"), "class_weight")
     rows = rows.withColumn("__class", F.col(label).cast("long")).join(F.broadcast(weights), "__class", "left")
-    # The trainer takes finite numbers only. `least` skips NULL and puts NaN last, so a missing value becomes the limit.
-    limit = F.lit(FINITE_LIMIT)
-    rows = rows.withColumns({f: F.greatest(-limit, F.least(F.col(f).cast("double"), limit)) for f in features})
+    rows = rows.withColumns({f: _trainable(F.col(f).cast("double")) for f in features})
     rows = rows.withColumns({"__label": F.col(label).cast("double"), "__weight": F.coalesce("class_weight", F.lit(1.0))})
 
     stages = []

@@ -219,20 +219,17 @@ def cell_offsets(totals: DataFrame, measures: list[str], by: list[str], cell: st
 def count_equal(rows: DataFrame, by: list[str], order: list[str], measures: dict[str, Column], tied: bool) -> tuple[DataFrame, DataFrame]:
     """One row per (by, cell, order) with the given counts, and the totals of every (by, cell).
 
-    With frequent keys, equal rows are combined before the shuffle, and the counts are shuffled again into their
-    cells; the totals are taken from the counts, sharing the first shuffle, and include the number of distinct keys
-    (`n_values`). Without frequent keys combining saves
-    nothing: rows go straight to their cell, where they are counted in place, and that one shuffle also serves the
-    window that follows; the totals come from a second scan that shuffles only one row per task and cell.
+    With frequent keys, equal rows are combined before the shuffle, and the counts are shuffled again into their cells.
+    Without frequent keys combining saves nothing: rows go straight to their cell, where they are counted in place, and
+    that one shuffle also serves the window that follows. Either way the totals are taken from the counts, share the
+    first shuffle, and include the exact number of distinct keys (`n_values`).
     """
     named = [m.alias(name) for name, m in measures.items()]
     cell = ["slot", *by, "cell"]
-    if tied:
-        counted = rows.groupBy(*cell, *order).agg(*named)
-        sums = [F.sum(name).alias(name) for name in measures]
-        totals = counted.groupBy(*cell).agg(*sums, F.count(F.lit(1)).alias("n_values"))
-        return to_slots(counted), totals.drop("slot")
-    return to_slots(rows).groupBy(*cell, *order).agg(*named), rows.groupBy(*by, "cell").agg(*named)
+    counted = (rows if tied else to_slots(rows)).groupBy(*cell, *order).agg(*named)
+    sums = [F.sum(name).alias(name) for name in measures]
+    totals = counted.groupBy(*cell).agg(*sums, F.count(F.lit(1)).alias("n_values")).drop("slot")
+    return to_slots(counted) if tied else counted, totals
 
 
 def prefix_counts(counted: DataFrame, totals: DataFrame, measures: list[str], by: list[str], order: list[str]) -> DataFrame:

@@ -261,11 +261,11 @@ def imbalance_metrics(
 
 
 def evaluate(df: DataFrame, columns: ScoreColumns = ScoreColumns(), cutoff: float = 0.5) -> DataFrame:
-    """Precision, recall, accuracy, F1, log loss and ROC-AUC of a scored table, in one row.
+    """Precision, recall, accuracy, F1, log loss and ROC-AUC of a scored table, in one row. Rows without a label do not count.
 
     ROC-AUC is (Cliff's delta of the score + 1) / 2, taken from the same value counts the feature metrics use.
     """
-    rows = scored(df, columns)
+    rows = scored(df, columns).filter(F.col("class_label").isNotNull())
     hit, positive = F.col("fraud_probability") >= F.lit(cutoff), F.col("class_label") == 1
     sure = F.greatest(F.lit(TINY_PROBABILITY), F.least(F.lit(1.0 - TINY_PROBABILITY), F.col("fraud_probability")))
     counts = rows.agg(

@@ -17,7 +17,6 @@ from ledgerwatch.functions.columns import clean_double, count_where, is_finite
 from ledgerwatch.operators import ordering
 
 KS_SERIES_TERMS = 100
-MOST_BINS = 100
 
 
 def unpivot_features(df: DataFrame, features: Sequence[str] = config.FEATURES, label: str = "Class") -> DataFrame:
@@ -34,8 +33,7 @@ def _name(features: Sequence[str]) -> Column:
 def value_counts(df: DataFrame, features: Sequence[str] = config.FEATURES, label: str = "Class") -> DataFrame:
     """One row per (feature, value) with class counts, the counts before it, and the feature totals.
 
-    `all_n_values` is the number of distinct values: exact for features with frequent values, else the number seen
-    while placing the cells, which is at least 90 % of 256.
+    `all_n_values` is the exact number of distinct values of the feature.
 
     Features travel as a number. Values get their cell while the table is still wide, then one generator makes it long.
     Features with frequent values and features without them are counted in their own way (see `count_equal`); each
@@ -72,9 +70,6 @@ def value_counts(df: DataFrame, features: Sequence[str] = config.FEATURES, label
         long = long.withColumn("slot", ordering.slot_of(turn, df.sparkSession))
         counted, totals = ordering.count_equal(long, ["fid"], ["value"], measures, tied)
         ranked = ordering.prefix_counts(counted, totals, list(measures), ["fid"], ["value"])
-        if not tied:
-            seen = min(cuts[v].n_values for v in splits)
-            ranked = ranked.withColumn("all_n_values", F.lit(seen).cast("long"))
         result = ranked if result is None else result.unionByName(ranked)
     return result
 
@@ -123,8 +118,8 @@ def profile_features(
     before positives. Bins are cut by arithmetic on the rank interval a value covers, not by ranking rows.
     Features that lack one of the classes are left out.
     """
-    if not 1 <= n_bins <= MOST_BINS:
-        raise ValueError(f"n_bins must be between 1 and {MOST_BINS}, got {n_bins}")
+    if n_bins < 1:
+        raise ValueError(f"n_bins must be at least 1, got {n_bins}")
     counts = value_counts(df, features, label).filter((F.col("all_n_pos") > 0) & (F.col("all_n_neg") > 0))
     wanted = F.lit(n_bins).cast("long")
     bins = wanted if mode == "ntile" else F.least(wanted, F.col("all_n_values"))
@@ -332,41 +327,31 @@ def sampled_cliffs_delta(
     label: str = "Class",
     seed: int = 0,
     draw: Column | None = None,
-    max_pos: int = config.SAMPLED_POSITIVES,
-    max_neg: int = config.SAMPLED_NEGATIVES,
+    max_pos: int | None = None,
+    max_neg: int | None = None,
 ) -> DataFrame:
-    """Cliff's delta on at most `max_pos` positives and `max_neg` negatives per feature.
+    """Cliff's delta on at most `max_pos` positives and `max_neg` negatives per feature; on all rows without limits.
 
-    The sample is the rows with the smallest `draw` (default: a seeded hash of the row), so it is repeatable.
-    Features without missing values share one sample per class, found by a bounded sort in each task. For the others
-    the rows are ranked per feature, with the row limit in front of the shuffle.
+    The sample is the rows with the smallest `draw` (default: a seeded hash of the row) that have the feature, so it is
+    repeatable. The smallest are found twice: inside shares of a feature and class, dealt by a hash of the draw, and then
+    among what the shares hold, so no task sorts all rows of a class.
     """
+    if max_pos is None and max_neg is None:
+        return cliffs_delta(df, features, label)
+    if max_pos is None or max_neg is None:
+        raise ValueError("give both max_pos and max_neg, or neither")
     draw = draw if draw is not None else F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns])
     wide = df.select(
         F.col(label).cast("long").alias("label"), draw.alias("draw"), *[clean_double(f).alias(f) for f in features]
     ).filter(F.col("label").isin(0, 1))
-    missing = wide.agg(*[count_where(~is_finite(F.col(f))).alias(f) for f in features]).first().asDict()
-    limits = {1: max_pos, 0: max_neg}
-
-    def long(rows: DataFrame, whole: bool) -> DataFrame:
-        chosen = [(i, f) for i, f in enumerate(features) if (not missing[f]) == whole]
-        parts = [part for i, f in chosen for part in (F.lit(i), F.col(f))]
-        return rows.select("label", "draw", F.stack(F.lit(len(chosen)), *parts).alias("fid", "value"))
-
-    drawn = []
-    if not all(missing.values()):
-        for value, limit in limits.items():
-            first = wide.filter(F.col("label") == value).orderBy("draw", *features).limit(limit)
-            drawn.append(long(first, True).select("label", "fid", "value"))
-    if any(missing.values()):
-        turn = F.row_number().over(Window.partitionBy("fid", "label").orderBy("draw", "value"))
-        ranked = long(wide, False).filter(is_finite(F.col("value"))).withColumn("turn", turn)
-        ranked = ranked.filter(F.col("turn") <= max(max_pos, max_neg))
-        mine = F.when(F.col("label") == 1, F.lit(max_pos)).otherwise(F.lit(max_neg))
-        drawn.append(ranked.filter(F.col("turn") <= mine).select("label", "fid", "value"))
-    sample = drawn[0]
-    for part in drawn[1:]:
-        sample = sample.unionByName(part)
+    parts = [part for i, f in enumerate(features) for part in (F.lit(i), F.col(f))]
+    sample = wide.select("label", "draw", F.stack(F.lit(len(features)), *parts).alias("fid", "value")).filter(is_finite(F.col("value")))
+    share = F.pmod(F.xxhash64("draw", "value"), F.lit(ordering.slots(df.sparkSession)))
+    limit = F.when(F.col("label") == 1, F.lit(max_pos)).otherwise(F.lit(max_neg))
+    sample = sample.withColumn("share", share)
+    for group in (("fid", "label", "share"), ("fid", "label")):
+        turn = F.row_number().over(Window.partitionBy(*group).orderBy("draw", "value"))
+        sample = sample.withColumn("turn", turn).filter(F.col("turn") <= limit).drop("turn")
     counted = sample.groupBy("fid", "value").agg(
         count_where(F.col("label") == 1).alias("n_pos"), count_where(F.col("label") == 0).alias("n_neg")
     )

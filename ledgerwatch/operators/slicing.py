@@ -41,25 +41,40 @@ def add_hour(df: DataFrame, time: str = "Time") -> DataFrame:
     return df.filter(F.col(time).isNotNull()).withColumn("Hour", hour.cast("long"))
 
 
-def assign_pseudo_day(df: DataFrame, n: int = config.SLICE_COUNT, order: Sequence[str] = config.SLICE_ORDER) -> DataFrame:
+DERIVED = ("Hour", "Date")
+
+
+def tie_columns(df: DataFrame) -> list[str]:
+    """The columns that rank rows with equal order keys: those of the source, by name, without the derived ones."""
+    return sorted(c for c in df.columns if c not in DERIVED and _orderable(df, c))
+
+
+def assign_pseudo_day(
+    df: DataFrame,
+    n: int = config.SLICE_COUNT,
+    order: Sequence[str] = config.SLICE_ORDER,
+    tie_break: Sequence[str] | None = None,
+) -> DataFrame:
     """Deal rows round-robin to `n` slices in global order: Date = (rank - 1) mod n + 1.
 
-    Rows equal on `order` are ranked by a hash of the whole row, then by its columns, so the result does not depend
-    on how the input is split. Rank inside an order cell is a window; the cells before it come from a small broadcast.
+    Rows equal on `order` are ranked by a hash of the `tie_break` columns, then by those columns (default `tie_columns`).
+    So a row's slice depends neither on how the input is split, nor on the order of its columns, nor on derived columns:
+    a table sliced before and after `add_hour` gets the same slices. The hash spreads frequent keys over cells. Rank inside an order cell is a window; the cells before it come from a small broadcast.
     Cells that hold copies of one and the same row are collapsed to a count first and written out again in chunks.
     """
     source = list(df.columns)
     rows = df.filter(F.col(order[0]).isNotNull())
     keys = [f"__key_{i}" for i in range(len(order))]
     keyed = rows.withColumns({k: clean_double(c) for k, c in zip(keys, order)})
-    keyed = keyed.withColumn("__row_hash", F.xxhash64(*[F.col(f"`{c}`") for c in source]))
+    ties = list(tie_break) if tie_break is not None else tie_columns(df)
+    keyed = keyed.withColumn("__row_hash", F.xxhash64(*[F.col(f"`{c}`") for c in ties]))
     keyed = keyed.withColumn("__hash_key", F.col("__row_hash").cast("double"))
     cells = ordering.plan_cells(keyed, [*keys, "__hash_key"])
     celled = cells.assign(keyed)
 
     totals = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     offsets = ordering.cell_offsets(totals, ["n"], []).select("cell", "before_n")
-    position = [*keys, "__row_hash", *[c for c in source if _orderable(rows, c)]]
+    position = [*keys, "__row_hash", *ties]
 
     copies = cells.is_hot_key()
     single = celled if not cells.hot_last else celled.filter(~copies)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,39 @@ def read_transactions(spark: SparkSession, source: str) -> DataFrame:
     return spark.table(source)
 
 
+def _rename(spark: SparkSession, table: str, to: str, partition_by: tuple[str, ...]) -> None:
+    """Rename inside a schema. The catalog is told again where the partitions are, as they moved with the table."""
+    spark.sql(f"ALTER TABLE {table} RENAME TO {to.split('.', 1)[1]}")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {to} SYNC PARTITIONS")
+
+
+def _swap_in(df: DataFrame, table: str, partition_by: tuple[str, ...]) -> None:
+    """Write a table of its own beside `table`, then put it in its place by renames; the old one goes last.
+
+    A load that fails leaves `table` as it was, and no other table.
+    """
+    spark = df.sparkSession
+    run = uuid.uuid4().hex[:8]
+    new, old = f"{table}__new_{run}", f"{table}__old_{run}"
+    try:
+        writer = df.write.mode("errorifexists")
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(new)
+        present = spark.catalog.tableExists(table)
+        if present:
+            _rename(spark, table, old, partition_by)
+        try:
+            _rename(spark, new, table, partition_by)
+        except Exception:
+            if present:
+                _rename(spark, old, table, partition_by)
+            raise
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
 def overwrite_slice(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> int:
     """Replace the whole table by `df` and return the row count; refuse an empty input.
 
@@ -50,16 +84,14 @@ def overwrite_slice(df: DataFrame, table: str, partition_by: tuple[str, ...] = (
     if df.isEmpty():
         raise EmptyInput(f"no rows for {table}; the table is left unchanged")
     loaded = Observation()
-    writer = df.observe(loaded, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+    _swap_in(df.observe(loaded, F.count(F.lit(1)).alias("n")), table, partition_by)
     return int(loaded.get["n"])
 
 
 def replace_table(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> None:
     """Create or replace a derived table; an empty result is a valid one."""
     check_table_name(table)
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+    _swap_in(df, table, partition_by)
 
 
 def known_time(df: DataFrame) -> DataFrame:

@@ -44,3 +44,9 @@ def test_edges_variant_equals_histogram(spark, low, high):
     want = np.sum((share[1] - share[0]) * np.log(share[1] / share[0]))
     got = drift.psi_by_edges(frame(spark, [*old, np.nan]), frame(spark, [*new, np.inf])).first()
     assert got.psi == pytest.approx(want)
+
+
+def test_scores_that_are_no_numbers_are_left_out(spark):
+    rows = [(0.05,), (0.95,), (float("nan"),), (float("inf"),), (None,)]
+    got = {r.bin_id: r.n for r in drift.score_histogram(spark.createDataFrame(rows, "fraud_probability double")).collect()}
+    assert got == {0: 1, 9: 1}

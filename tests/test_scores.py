@@ -1,3 +1,4 @@
+import math
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +105,9 @@ def test_evaluate(spark):
 def test_daily_kpis(spark):
     df = spark.createDataFrame([(1,), (0,), (0,), (1,), (0,)], "predicted_Class int")
     assert tuple(scores.daily_kpis(df).first()) == (5, 2, 40.0)
+
+
+def test_rows_without_a_label_do_not_count(spark):
+    rows = [(1, 1.0, 0.9), (0, 1.0, 0.1), (None, 1.0, 0.9)]
+    got = scores.evaluate(spark.createDataFrame(rows, "Class int, Amount double, fraud_probability double")).first()
+    assert got.log_loss == pytest.approx(-math.log(0.9)) and got.accuracy == 1.0

@@ -116,9 +116,36 @@ def test_sampled_delta(spark):
     rng = np.random.default_rng(2)
     pos, neg = rng.normal(2, 1, 600), rng.normal(0, 1, 1200)
     df = frame(spark, pos, neg)
-    first = separation.sampled_cliffs_delta(df, ["x"]).first().cliffs_delta
-    again = separation.sampled_cliffs_delta(df.repartition(3), ["x"]).first().cliffs_delta
+    first = separation.sampled_cliffs_delta(df, ["x"], max_pos=500, max_neg=1000).first().cliffs_delta
+    again = separation.sampled_cliffs_delta(df.repartition(3), ["x"], max_pos=500, max_neg=1000).first().cliffs_delta
     assert first == again and first == pytest.approx(brute.delta(pos, neg), abs=0.05)
+    assert separation.sampled_cliffs_delta(df, ["x"]).first().cliffs_delta == pytest.approx(brute.delta(pos, neg), abs=1e-12)
+
+
+def test_a_large_sample_is_not_sorted_in_one_task(spark):
+    df = spark.range(100).select(F.col("id").alias("Class"), F.rand(1).alias("x"))
+    plan = separation.sampled_cliffs_delta(df, ["x"], max_pos=5000, max_neg=5000)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "row_number" in line]
+    assert any("share" in line for line in windows)
+
+
+@pytest.mark.parametrize("present", [0, 20])
+def test_floor_bins_count_each_features_own_values(spark, present):
+    df = spark.range(20000).select(
+        (F.col("id") % 3 == 0).cast("int").alias("Class"),
+        F.rand(3).alias("a"),
+        F.when(F.col("id") < present, F.col("id").cast("double")).alias("b"),
+    )
+    got = {r.feature: r for r in separation.feature_report(df, ["a", "b"]).collect()}
+    assert len(got["a"].woe_bins) == 10
+    assert ("b" in got) == (present > 0)
+    if present:
+        assert len(got["b"].woe_bins) == 10
+
+
+def test_many_bins(spark):
+    df = spark.range(5000).select((F.col("id") % 7 == 0).cast("int").alias("Class"), F.rand(5).alias("x"))
+    assert separation.profile_features(df, ["x"], n_bins=200, mode="floor").count() == 200
 
 
 def test_sampled_delta_with_missing_values_uses_the_first_rows_of_each_feature(spark):

@@ -108,3 +108,14 @@ def test_stored_day_reads_one_partition(spark):
     sliced.write.mode("overwrite").partitionBy("Date").saveAsTable("stored_slices")
     plan = slicing.stored_day(spark.table("stored_slices"), 9)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(Date" in plan
+
+
+def test_ties_get_the_same_slice_with_and_without_derived_columns(spark):
+    df = spark.range(2000).select(
+        F.lit(60.0).alias("Time"), F.lit(5.0).alias("Amount"), F.lit(1.0).alias("V1"), F.col("id").cast("double").alias("V2")
+    )
+    plain = {r.V2: r.Date for r in slicing.assign_pseudo_day(df).collect()}
+    with_hour = {r.V2: r.Date for r in slicing.assign_pseudo_day(slicing.add_hour(df)).collect()}
+    turned = {r.V2: r.Date for r in slicing.assign_pseudo_day(df.select("V2", "V1", "Time", "Amount")).collect()}
+    assert plain == with_hour == turned
+    assert {r.V2 for r in slicing.extract_day(df, 15).collect()} == {v for v, d in with_hour.items() if d == 15}

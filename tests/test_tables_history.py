@@ -37,6 +37,21 @@ def test_empty_load_leaves_the_table(spark, tables):
     assert spark.table(tables["x"]).count() == 3
 
 
+@pytest.mark.parametrize("by", [(), ("part",)])
+@pytest.mark.parametrize("load", [sources.overwrite_slice, sources.replace_table])
+def test_a_failed_load_leaves_the_table(spark, tables, load, by):
+    good = spark.range(10).withColumn("part", F.col("id") % 2)
+    load(good, tables["x"], partition_by=by)
+    stop = F.when(F.col("id") == 7, F.raise_error(F.lit("stop")).cast("long")).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="stop"):
+        load(spark.range(5, 10).withColumn("part", F.col("id") % 2).withColumn("id", stop), tables["x"], partition_by=by)
+    assert spark.table(tables["x"]).count() == 10
+    load(good.limit(4), tables["x"], partition_by=by)
+    assert spark.table(tables["x"]).count() == 4
+    names = [t.name for t in spark.catalog.listTables(tables["x"].split(".")[1])]
+    assert names == ["x"]
+
+
 def test_copy_source(spark, tables):
     rows = spark.createDataFrame([(1.0, 5.0), (None, 6.0)], "Time double, Amount double")
     sources.replace_table(rows, tables["outside"])
