@@ -42,7 +42,7 @@ def evaluate_batch(
     audit: Sequence[str] = config.AUDIT_FEATURES,
     tie_break: Sequence[str | Column] = config.SLICE_ORDER,
 ) -> None:
-    """Write the nine evaluation tables and the two scorecards, all with the same time stamp.
+    """Write the daily figures, the nine evaluation tables and the two scorecards, all with the same time stamp.
 
     Each table is read back from storage by those that build on it, so nothing is computed twice.
     """
@@ -59,6 +59,7 @@ def evaluate_batch(
     profile = separation.profile_features(transactions, features).checkpoint()
     put("feature_separation", separation.feature_separation(transactions, features, profile=profile))
     put("woe_bins", separation.woe_bins_from(profile))
+    put("kpis", scores.daily_kpis(predictions))
     put("evaluation", scores.evaluate(predictions))
     put("cost_curve", scores.cost_curve(predictions))
     put("imbalance_metrics", scores.imbalance_metrics(predictions, curve=get("cost_curve")))
@@ -81,6 +82,18 @@ def evaluate_batch(
     )
 
 
+def whole_series(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
+    """All dates of an evaluation table: its history, if there is one yet, and today's rows."""
+    current, past = spark.table(tables[name]), tables.history(name)
+    return history.series(spark.table(past), current) if spark.catalog.tableExists(past) else current
+
+
+def store_signal(spark: SparkSession, tables: Tables) -> None:
+    """The retraining signal from the PSI and the PR-AUC of every date so far."""
+    signal = history.retrain_trigger(whole_series(spark, tables, "psi"), whole_series(spark, tables, "imbalance_metrics"))
+    replace_table(signal, tables["retrain_signal"])
+
+
 def run_daily(
     spark: SparkSession,
     tables: Tables,
@@ -98,4 +111,5 @@ def run_daily(
     fitted = PipelineModel.load(model_path)
     score_batch(spark, tables, fitted)
     evaluate_batch(spark, tables, fitted, model_path, moment, features, audit, tie_break)
+    store_signal(spark, tables)
     return rows

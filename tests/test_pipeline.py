@@ -59,6 +59,17 @@ def test_every_evaluation_table_has_one_stamp_and_a_history(spark, installed):
         assert series.count() == 2, name
 
 
+def test_daily_figures_and_the_retraining_signal(spark, installed):
+    kpis = spark.table(installed["kpis"]).first()
+    assert kpis.transactions == spark.table(installed["predictions"]).count()
+    signal = spark.table(installed["retrain_signal"])
+    daily_psi = signal.filter("signal = 'psi_daily'").collect()
+    assert [str(r.period) for r in sorted(daily_psi, key=lambda r: r.period)] == ["2024-05-03", "2024-05-04"]
+    today = spark.table(installed["psi"]).first().psi
+    assert [r.metric_value for r in daily_psi if str(r.period) == "2024-05-04"] == [today]
+    assert signal.filter("signal = 'pr_auc_monthly'").count() == 1
+
+
 def test_scorecards(spark, installed):
     card = spark.table(installed["evaluation_matrix"]).orderBy("sort_order").collect()
     assert [r.sort_order for r in card] == list(range(1, 14))
