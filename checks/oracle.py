@@ -182,6 +182,22 @@ FROM sliced GROUP BY 3""",
     "sliced",
 )
 
+ORACLE["slices_of_ties"] = sql("SELECT (count(*) - 15) // 50 + 1 AS n_rows, CAST(0 AS BIGINT) AS n_differ FROM tx", "tx")
+
+# --- the trained model: what holds whatever the trees ----------------------------------------------------------
+
+ORACLE["train_summary"] = sql(
+    """SELECT TRUE AS trees_in_range, CAST(0 AS BIGINT) AS n_unknown_features, CAST(count(*) AS DOUBLE) AS least_root_weight,
+  CAST(count(*) AS DOUBLE) AS most_root_weight FROM sliced WHERE "Date" BETWEEN 37 AND 50""",
+    "sliced",
+)
+ORACLE["predict_summary"] = sql(
+    """SELECT "Date", Class, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_unscored, CAST(0 AS BIGINT) AS n_mislabelled
+FROM sliced WHERE "Date" BETWEEN 1 AND 31 GROUP BY 1, 2""",
+    "sliced",
+)
+ORACLE["explain_summary"] = sql('SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_off FROM sliced WHERE "Date" BETWEEN 1 AND 31', "sliced")
+
 # --- features --------------------------------------------------------------------------------------------------
 
 ORACLE["unpivot_features"] = sql("SELECT * FROM long_tx", "long_tx")

@@ -307,10 +307,56 @@ def _predictions(spark, sf_dir) -> DataFrame:
     return model.predict(fitted, fixture.stored(spark, sf_dir))
 
 
+def train_summary(spark, sf_dir):
+    """What must hold for any trained ensemble: number of trees, features in range, and the weight at every root."""
+    nodes = train_model(spark, sf_dir)
+    splits = F.col("left_child") >= 0
+    root = F.when(F.col("node_id") == 0, F.col("cover"))
+    return nodes.agg(
+        F.count_distinct("tree_id").between(1, 50).alias("trees_in_range"),
+        F.count_if(splits & ~F.col("feature_index").between(0, len(FEATURES) - 1)).alias("n_unknown_features"),
+        F.round(F.min(root), 3).alias("least_root_weight"),
+        F.round(F.max(root), 3).alias("most_root_weight"),
+    )
+
+
 def predict(spark, sf_dir):
     return _predictions(spark, sf_dir)
 
 
+def predict_summary(spark, sf_dir):
+    """Scored rows per slice and class, those without a probability, and those whose label is not the side of 0.5."""
+    p, label = F.col("fraud_probability"), F.col("predicted_Class")
+    unscored = p.isNull() | F.isnan(p) | ~p.between(0.0, 1.0)
+    counts = (F.count(F.lit(1)).alias("n_rows"), F.count_if(unscored).alias("n_unscored"), F.count_if((p > 0.5).cast("long") != label).alias("n_mislabelled"))
+    return _predictions(spark, sf_dir).groupBy("Date", "Class").agg(*counts)
+
+
+def explain_summary(spark, sf_dir):
+    """Transactions whose attributions and base value do not add up to the log-odds of their score."""
+    fitted, path = fixture.trained(spark, sf_dir)
+    explained = explain.with_attributions(_predictions(spark, sf_dir), fitted, path, FEATURES)
+    base = explain.base_value(explained, fitted, path)
+    total = F.aggregate("attributions", F.lit(base), lambda a, x: a + x)
+    p = F.col("fraud_probability")
+    off = F.abs(total - F.ln(p / (F.lit(1.0) - p))) > 1e-6
+    return explained.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(off, F.lit(True))).alias("n_off"))
+
+
+def slices_of_ties(spark, sf_dir):
+    """Rows of day 15, on a table full of ties, that the raw table and the stored slices do not share."""
+    tx = fixture.transactions(spark, sf_dir)
+    tied = tx.withColumns({"Time": F.floor(F.col("Time") / 36000.0) * F.lit(36000.0), "Amount": F.floor(F.col("Amount") / 20000.0) * F.lit(20000.0)})
+    tables = fixture.work_tables(spark, "ties")
+    sources.replace_table(slicing.assign_pseudo_day(slicing.add_hour(tied)), tables["converted"], partition_by=("Date",))
+    stored_rows = slicing.stored_day(spark.table(tables["converted"]), 15).select(*tied.columns)
+    raw = slicing.extract_day(tied, 15).select(*tied.columns)
+    differ = raw.exceptAll(stored_rows).unionByName(stored_rows.exceptAll(raw))
+    return raw.select(F.lit(0).alias("differs")).unionByName(differ.select(F.lit(1).alias("differs"))).agg(
+        F.count_if(F.col("differs") == 0).alias("n_rows"), F.count_if(F.col("differs") == 1).alias("n_differ")
+    )
+
+
 def evaluate_model(spark, sf_dir):
     return scores.evaluate(_predictions(spark, sf_dir))
 
@@ -383,6 +429,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         retrain_trigger,
         train_model,
         predict,
+        train_summary,
+        predict_summary,
+        explain_summary,
+        slices_of_ties,
         evaluate_model,
         feature_importance,
         global_explain,
