@@ -202,6 +202,46 @@ def test_decontamination_finds_copies_and_paraphrases(spark, none):
     assert decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_short_copies_and_sparse_paraphrases(spark):
+    rng = np.random.default_rng(12)
+    items = [(n, " ".join(f"item{n}x{x}" for x in range(n))) for n in range(3, 61)]
+    docs, want = [], set()
+    rare = lambda n: " ".join(f"rare{x}" for x in rng.integers(0, 10**9, n))
+    for n, t in items:
+        docs.append((n, f"{rare(40)} {t} {rare(40)}"))
+        want.add((n, n))
+        if n % 5 == 0 and n >= 15:  # exactly 60 %: the first words, changed ones, the last three
+            own, kept = t.split(), n * 3 // 5
+            docs.append((500 + n, f"{rare(40)} {' '.join([*own[: kept - 3], rare(n - kept), *own[-3:]])} {rare(40)}"))
+            want.add((500 + n, n))
+    docs += [(1000 + k, rare(60)) for k in range(50)]
+    docs += [(2000 + k, " ".join(w for n, t in items for w in t.split()[::-1])) for k in range(20)]  # words in the wrong order
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r.id, r.item_id) for r in got} == want and all(-1.001 <= r.cosine <= 1.001 for r in got)
+
+
+def test_stretches_of_a_block_leave_nothing_out():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    text = lambda n: " ".join(f"w{x}" for x in rng.zipf(1.4, n) % 200)
+    block = decontamination.make_block([(k, text(int(rng.integers(1, 30)))) for k in range(60)], np.ones(decontamination.BUCKETS, np.float32))
+    for words in decontamination.split_words(pa.array([text(int(rng.integers(1, 300))) for _ in range(30)])):
+        seen = {}
+        for d, k, low, high in zip(*decontamination._stretches(block, words)):
+            seen.setdefault((int(d), int(k)), []).append((low, high))
+        for k, own in enumerate(block.words):
+            n, length = len(own), decontamination.stretch_words(len(own))
+            masks = decontamination.masks_of(own.tolist())
+            for d in range(len(words.first) - 1):
+                for begin in range(words.first[d], words.first[d + 1]):
+                    end = min(begin + length, words.first[d + 1])
+                    hits = [masks[h] for h in words.hash[begin:end].tolist() if h in masks]
+                    if len(hits) >= decontamination.needed(n) and decontamination.common_subsequence(n, hits) >= decontamination.needed(n):
+                        assert any(low <= begin and end <= high for low, high in seen[d, k])
+
+
 def test_common_subsequence_equals_the_table():
     rng = np.random.default_rng(1)
     for _ in range(50):
