@@ -72,6 +72,30 @@ def test_near_duplicates_equal_brute_force(spark, k):
     assert all(r.kept == (i == want[i]) and r.n_shingles == len(shingle_set(dict(docs)[i], k)) for i, r in got.items())
 
 
+def test_hubs_reach_sets_near_the_rim(spark):
+    """Set 1 is alike to the pivot 0 and stops; sets 2 and 3 are too far from the pivot, but not from set 1."""
+    bits = lambda a, b: sum(1 << k for k in range(a, b))
+    alike, far = near_dup.ALIKE, near_dup.FAR
+    rows = [(0, 0), (1, bits(0, alike)), (2, bits(0, far + 1)), (3, bits(0, far + alike))] + [(n, 0) for n in range(10, 60)]
+    tokens = list(range(near_dup.COORDINATES))
+    sets = spark.createDataFrame([(i, 100, tokens, b, 0) for i, b in rows], "id long, size int, tokens array<int>, bits_a long, bits_b long")
+    hub = {(r.pivot, r.id): r.ring for r in near_dup.leaves(sets, 80)[1].collect()}
+    assert hub[0, 1] is False and hub[0, 2] is True and hub[0, 3] is True
+
+
+def test_far_sketches_are_no_likelier_than_the_recall_allows():
+    n, p = near_dup.COORDINATES, (1 - near_dup.SIMILAR_PERCENT / 100) / 2
+    beyond = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(near_dup.FAR + 1, n + 1))
+    assert n == 128 and beyond < 0.2 * (1 - near_dup.RECALL)
+    # the sketches of sets behave so: 400 pairs at similarity 0.8
+    rng, far = np.random.default_rng(6), []
+    for _ in range(400):
+        both = rng.integers(1, 2**63, 900, dtype=np.uint64)
+        a, b = (near_dup.mix(near_dup.minwise(x)) & np.uint64(1) for x in (both[:810], both[90:]))
+        far.append(int((a != b).sum()))
+    assert abs(np.mean(far) - 12.8) < 1 and max(far) <= near_dup.FAR
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (300, 200)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
