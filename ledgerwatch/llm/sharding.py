@@ -12,6 +12,7 @@ from ledgerwatch.llm.store import stable_key, stored
 HASH_BITS = 60
 STEP_BITS = 4
 LIMIT_BYTES = 128 << 20
+COPIES_CHUNK = 1000
 
 
 def hash_bits(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Column:
@@ -19,6 +20,35 @@ def hash_bits(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Co
     return F.conv(F.substring(F.md5(stable_key(docs, id_col, text).cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
+def numbered(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(row, hash, bytes) of every row, with hashes that tell rows of one id apart.
+
+    One row of an id has the hash of the id. Its copies have a hash of the id, of all columns and of their number; rows of
+    the id with other content have one of the id, their columns and their number. Which of some equal rows has which number
+    makes no difference, so reruns give the same result. Equal rows are collapsed to a count and dealt out again, in chunks
+    where they are many.
+    """
+    counted = docs.groupBy(*[docs[c] for c in docs.columns]).agg(F.count(F.lit(1)).alias("__copies"))
+    row = F.struct(*[counted[c] for c in docs.columns])
+    key = stable_key(counted, id_col, text)
+    kinds = counted.select(row.alias("row"), key.alias("key"), F.xxhash64(row).alias("content"), hash_bits(counted, id_col, text).alias("hash"), n_bytes(counted, text).alias("bytes"), "__copies")
+    kinds = stored(kinds, "shard-kinds")
+    several = kinds.groupBy("hash").agg(F.count(F.lit(1)).alias("kinds"), F.min("content").alias("least")).filter("kinds > 1")
+    several = stored(several.select(F.col("hash").alias("shared"), "least"), "shard-shared-ids")
+    kinds = kinds.join(several, F.col("hash") == F.col("shared"), "left")
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__copies") - 1) / COPIES_CHUNK))).alias("chunk")
+    many = F.col("__copies") > COPIES_CHUNK
+    few = kinds.filter(~many).withColumn("chunk", F.lit(0).cast("long"))
+    dealt = few.unionByName(kinds.filter(many).select("*", chunk).repartition("content", "chunk"))
+    first = F.col("chunk") * COPIES_CHUNK
+    last = F.least(first + COPIES_CHUNK, F.col("__copies")) - 1
+    dealt = dealt.select("row", "key", "content", "hash", "bytes", "least", F.explode(F.sequence(first, last)).alias("copy"))
+    own = (F.col("copy") == 0) & (F.col("content") == F.coalesce("least", "content"))
+    salted = F.concat_ws("|", "content", "copy", "key")
+    other = F.conv(F.substring(F.md5(salted.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
+    return dealt.select("row", F.when(own, F.col("hash")).otherwise(other).alias("hash"), "bytes")
+
+
 def n_bytes(docs: DataFrame, text: str = "text") -> Column:
     return F.coalesce(F.octet_length(docs[text].cast("string")), F.lit(0)).cast("long")
 
@@ -32,7 +62,7 @@ def directories(sizes: DataFrame, limit: int = LIMIT_BYTES) -> list[DataFrame]:
 
     A pass sums the bytes at STEP_BITS more bits of the hash, for the buckets that the pass before left too large, and
     gives each slot the shallowest depth at which its bucket fits the limit. Passes end when nothing is too large.
-    A bucket that no bit can split (a row above the limit, or copies of one id) keeps all 60 bits and stays too large.
+    A bucket that no bit can split (a row above the limit) keeps all 60 bits and stays too large.
     """
     found: list[DataFrame] = []
     pending = None
@@ -61,13 +91,11 @@ def shard(docs: DataFrame, limit: int = LIMIT_BYTES, id_col: str = "doc_id", tex
     """All columns of `docs`, then shard (the bits of the bucket's prefix), shard_depth, shard_bytes, row_bytes.
 
     The bits come from a hash of the id, so reruns give the same shards. Null or empty text: 0 bytes. Null id: placed by
-    its text. Rows of one id share a shard; they and rows above the limit are the only ones in a shard above it. Empty
-    input: empty result. `prefix_name` goes before the four names, where they would clash with columns of `docs`.
+    its text. Rows of one id after the first are placed by their content and number, so they split like others; rows above
+    the limit are the only ones in a shard above it, alone but for rows without bytes. Empty input: empty result. `prefix_name` goes before the four names, where they would clash with columns of `docs`.
     """
-    sizes = stored(docs.select(hash_bits(docs, id_col, text).alias("hash"), n_bytes(docs, text).alias("bytes")), "shard-sizes")
-    row = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"), hash_bits(docs, id_col, text).alias("hash"), n_bytes(docs, text).alias("bytes")
-    )
+    row = stored(numbered(docs, id_col, text), "shard-rows")
+    sizes = row.select("hash", "bytes")
     parts = directories(sizes, limit)
     for k, part in enumerate(parts):
         part = part.select(F.col("slot").alias(f"slot_{k}"), F.col("depth").alias(f"depth_{k}"), F.col("shard_bytes").alias(f"size_{k}"))

@@ -199,6 +199,22 @@ def test_sharding_on_odd_input(odd, none):
     assert sharding.shard(none, 1000, prefix_name="out_").count() == 0
 
 
+def test_rows_of_one_id_split_like_others(spark):
+    rows = [(7, "copy " * 20, n % 2) for n in range(2500)] + [(8, f"text {n} " * 10, 0) for n in range(300)]
+    rows += [(None, "no id " * 20, 0)] * 300 + [(1000 + n, f"own {n} " * 10, 0) for n in range(300)] + [(9, "large " * 500, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    got = sharding.shard(docs.repartition(3), 1000).collect()
+    assert Counter((r.doc_id, r.text, r.n) for r in got) == Counter(rows)
+    sums, most = Counter(), Counter()
+    for r in got:
+        sums[r.shard] += r.row_bytes
+        most[r.shard] = max(most[r.shard], r.row_bytes)
+    assert all(sums[r.shard] == r.shard_bytes for r in got)
+    assert all(n <= 1000 or n == most[s] for s, n in sums.items())
+    again = sharding.shard(docs.repartition(5), 1000).collect()
+    assert Counter((r.doc_id, r.text, r.n, r.shard) for r in got) == Counter((r.doc_id, r.text, r.n, r.shard) for r in again)
+
+
 def test_decontamination_finds_copies_and_paraphrases(spark, none):
     rng = np.random.default_rng(8)
     item = lambda n: " ".join(f"term{x}" for x in rng.integers(0, 3000, n))
