@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerwatch.llm import mixing, quality_rules, secrets, sharding
+from ledgerwatch.llm import divergence, fill_middle, mixing, quality_rules, secrets, sharding
 from ledgerwatch.llm.queries import SHARD_BYTES
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -86,9 +86,52 @@ def mixing_sql() -> str:
     SELECT doc_id, size, source_size, target, taken FROM taken_rows"""
 
 
+def divergence_sql() -> str:
+    v = divergence
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    p = f"1 + {v.SCALE}::HUGEINT * (n + 1) // (total + kept)"
+    f = "((p - q) * (p - q)) // q"
+    return f"""WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all({lower}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+    every AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+    kept_terms AS (SELECT lang, term FROM every GROUP BY lang, term HAVING count(DISTINCT row) >= {v.LEAST_DOCS}),
+    vocabulary AS (SELECT lang, count(*) AS kept FROM kept_terms GROUP BY lang),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM every JOIN kept_terms USING (lang, term) GROUP BY lang, source, term),
+    groups AS (SELECT g.lang, g.source, coalesce(total, 0) AS total, coalesce(kept, 0) AS kept FROM (SELECT DISTINCT lang, source FROM d) AS g
+        LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source) USING (lang, source) LEFT JOIN vocabulary USING (lang)),
+    dense AS (SELECT g.lang, g.source, term, coalesce(n, 0) AS n, total, kept FROM groups AS g JOIN kept_terms USING (lang) LEFT JOIN counts USING (lang, source, term)),
+    rates AS (SELECT lang, source, term, n, {p} AS p FROM dense),
+    whole AS (SELECT lang, term, {p} AS q FROM (SELECT lang, term, sum(n)::HUGEINT AS n, any_value(kept) AS kept, any_value(t.total) AS total FROM dense
+        JOIN (SELECT lang, sum(total) AS total FROM groups GROUP BY lang) AS t USING (lang) GROUP BY lang, term)),
+    pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum({f}) AS value FROM rates AS x JOIN (SELECT lang, source, term, p AS q FROM rates) AS y
+            ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY x.lang, x.source, y.source) AS s
+        ON a.lang = s.lang AND a.source = s.source AND b.source = s.other),
+    terms AS (SELECT lang, source, term AS item, {f} AS value FROM rates JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+    parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+    FROM parts QUALIFY part = 'pair' OR rank <= {v.TOP_TERMS}"""
+
+
+def fill_in_middle_sql() -> str:
+    m = fill_middle
+    h = ", ".join(f"CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+    psm, spm = "'<P>' || prefix || '<S>' || suffix || '<M>' || middle", "'<S>' || suffix || '<P>' || prefix || '<M>' || middle"
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('{m.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+    u AS (SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w, {h} FROM d),
+    c AS (SELECT *, len(w) AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b FROM u),
+    s AS (SELECT doc_id, t, n, array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1:b], '') AS middle, array_to_string(w[b + 1:n], '') AS suffix,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= {m.FORM_PERCENT} THEN 'plain'
+        WHEN h4 % 100 < {m.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN {psm} ELSE {spm} END) AS output_sha256, sha256(t) AS restored_sha256 FROM s"""
+
+
 ORACLE: dict[str, str] = {
     "op3_secret_scan": secrets_sql(),
     "op4_quality_rules": quality_sql(),
     "op7_sharding": sharding_sql(),
     "op10_mixing": mixing_sql(),
+    "op12_source_divergence": divergence_sql(),
+    "op13_fill_in_middle": fill_in_middle_sql(),
 }

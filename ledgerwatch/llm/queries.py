@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.llm import decontamination, language_model, line_quality, mixing, near_dup, quality_rules, secrets, sharding, token_counts, toxicity
+from ledgerwatch.llm import (
+    decontamination,
+    divergence,
+    fill_middle,
+    language_model,
+    line_quality,
+    mixing,
+    near_dup,
+    packing,
+    quality_rules,
+    secrets,
+    sharding,
+    token_counts,
+    toxicity,
+)
 
 SHARD_BYTES = 1 << 20
 
@@ -58,6 +72,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packing_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_in_middle_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_token_counts": op2_token_counts,
@@ -69,4 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_mixing": op10_mixing,
+    "op11_lexical_packing": op11_lexical_packing,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
