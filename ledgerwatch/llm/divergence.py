@@ -22,11 +22,14 @@ TOP_TERMS = 200
 SCALE = 1_000_000_000
 # Fixed value: a term is a run of ASCII letters and characters beyond ASCII; in UTF-8 all bytes of the latter are over 0x7F.
 TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
+# Bytes of terms with A-Z as a-z, all others as spaces.
+SPELLING = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 PIECE_BYTES = 1 << 20
 FLUSH_TERMS = 400_000
-FLUSH_SLOTS = 4_000_000
+FLUSH_SLOTS = 24_000_000
+FLUSH_WORDS = 1 << 30
 SHARD_TERMS = 8192
-ROUND_BYTES = 48 << 20
+ROUND_BYTES = 64 << 20
 SOURCE_BLOCK = 128
 LEVEL_STEP = 0x9E3779B97F4A7C15
 
@@ -38,7 +41,7 @@ def term_pieces(text: bytes) -> Iterator[list[bytes]]:
         end = min(at + PIECE_BYTES, len(text))
         rest = TERM.match(text, end)
         end = rest.end() if rest else end
-        yield TERM.findall(text[at:end].lower())
+        yield text[at:end].translate(SPELLING).split()
         at = end
 
 
@@ -103,13 +106,20 @@ class PerfectHash:
     their slots, so a term that is not one of them is told apart from the one whose slot it hits.
     """
 
-    def __init__(self, levels: list[np.ndarray], terms: list[bytes]):
-        """From the bit map of each level and the terms in the order of their slots."""
+    def __init__(self, levels: list[np.ndarray], terms: bytes):
+        """From the bit map of each level, and the terms in the order of their slots with a line feed after each."""
         self.levels, self.terms = levels, terms
-        set_bits = [int(bits.sum()) for bits in levels]
-        before = np.cumsum([0, *set_bits])
+        self.ends = np.flatnonzero(np.frombuffer(terms, np.uint8) == 10)
+        self.begins = np.append(0, self.ends[:-1] + 1) if len(self.ends) else self.ends
+        before = np.cumsum([0, *[int(bits.sum()) for bits in levels]])
         self.ranks = [before[k] + np.cumsum(bits) - bits for k, bits in enumerate(levels)]
-        self.twins = {terms[slot]: slot for slot in range(int(before[-1]), len(terms))}
+        self.twins = {self.term(slot): slot for slot in range(int(before[-1]), len(self))}
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def term(self, slot: int) -> bytes:
+        return self.terms[self.begins[slot] : self.ends[slot]]
 
     @classmethod
     def of(cls, terms: list[bytes]) -> PerfectHash:
@@ -122,11 +132,11 @@ class PerfectHash:
             place = _place(left, len(levels), 2 * len(left) + 1)
             levels.append(np.bincount(place, minlength=2 * len(left) + 1) == 1)
             left = left[~levels[-1][place]]
-        n_alone = len(terms) - len(twins)
-        own = cls(levels, [b""] * n_alone + twins)
-        for term, slot in zip(terms, own.probe(terms, keys).tolist()):
-            own.terms[slot] = term
-        return own
+        placed = [b""] * (len(terms) - len(twins)) + twins
+        blank = cls(levels, b"".join(t + b"\n" for t in placed))
+        for term, slot in zip(terms, blank.probe(terms, keys).tolist()):
+            placed[slot] = term
+        return cls(levels, b"".join(t + b"\n" for t in placed))
 
     def probe(self, terms: list[bytes], keys: np.ndarray) -> np.ndarray:
         """A slot for every term, or -1; terms that are not in the set may get one too."""
@@ -144,15 +154,30 @@ class PerfectHash:
     def slots(self, terms: list[bytes], keys: np.ndarray | None = None) -> np.ndarray:
         """The slot of each term, or -1 where the term stored at its slot is another."""
         found = self.probe(terms, term_hashes(terms) if keys is None else keys)
-        own = self.terms
-        return np.array([s if s >= 0 and own[s] == t else -1 for t, s in zip(terms, found.tolist())], np.int64)
+        if not len(self):
+            return found
+        begins, ends, own = self.begins[found].tolist(), self.ends[found].tolist(), self.terms
+        same = np.fromiter((own[b:e] == t for t, b, e in zip(terms, begins, ends)), bool, len(terms))
+        return np.where(same & (found >= 0), found, -1)
 
 
-def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+def bucket_of(keys: np.ndarray, buckets: np.ndarray | int) -> np.ndarray:
+    return ((keys >> np.uint64(32)) % np.asarray(buckets, np.uint64)).astype(np.int32)
 
 
-SHARD = "lang string, bucket int, buckets int, n_terms long, kept long, level_bits array<int>, levels array<binary>, terms array<string>"
+_SHARD_TYPES = pa.schema(
+    [
+        ("lang", pa.string()),
+        ("bucket", pa.int32()),
+        ("buckets", pa.int32()),
+        ("n_terms", pa.int32()),
+        ("kept", pa.int64()),
+        ("level_bits", pa.list_(pa.int32())),
+        ("levels", pa.list_(pa.binary())),
+        ("terms", pa.binary()),
+    ]
+)
+SHARD = "lang string, bucket int, buckets int, n_terms int, kept long, level_bits array<int>, levels array<binary>, terms binary"
 
 
 def shards(kept: DataFrame, shard_terms: int = SHARD_TERMS) -> DataFrame:
@@ -166,115 +191,183 @@ def shards(kept: DataFrame, shard_terms: int = SHARD_TERMS) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = term_hashes(batch.column(1).cast(pa.binary()).to_pylist())
-            buckets = np.asarray(batch.column(3), np.uint64)
-            bucket = ((keys >> np.uint64(32)) % buckets).astype(np.int32)
+            keys = term_hashes(batch.column(1).view(pa.binary()).to_pylist())
+            bucket = bucket_of(keys, batch.column(3).to_numpy())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bucket)], names=[*batch.schema.names, "bucket"])
 
     def build(table: pa.Table) -> pa.Table:
         own = PerfectHash.of(sorted(table.column("term").cast(pa.binary()).to_pylist()))
         row = {c: [table.column(c)[0].as_py()] for c in ("lang", "bucket", "buckets", "kept")}
-        row |= {"n_terms": [len(own.terms)], "level_bits": [[len(b) for b in own.levels]], "levels": [[np.packbits(b).tobytes() for b in own.levels]]}
-        terms = pa.array([own.terms], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
-        return pa.table([*[pa.array(row[f.name], f.type) for f in _SHARD_TYPES if f.name != "terms"], terms], schema=_SHARD_TYPES)
+        row |= {"n_terms": [len(own)], "level_bits": [[len(b) for b in own.levels]], "levels": [[np.packbits(b).tobytes() for b in own.levels]], "terms": [own.terms]}
+        return pa.table([pa.array(row[f.name], f.type) for f in _SHARD_TYPES], schema=_SHARD_TYPES)
 
     dealt = counted.mapInArrow(deal, "lang string, term string, kept long, buckets int, bucket int")
     return dealt.groupBy("lang", "bucket").applyInArrow(build, SHARD)
 
 
-_SHARD_TYPES = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("buckets", pa.int32()), ("n_terms", pa.int64()), ("kept", pa.int64()), ("level_bits", pa.list_(pa.int32())), ("levels", pa.list_(pa.binary())), ("terms", pa.list_(pa.string()))])
-
-
 # --- second pass: dense slots ----------------------------------------------------------------------------------
 
-COUNT = "lang string, source string, bucket int, slot long, n long"
+COUNT = "lang string, whole boolean, source string, bucket int, n_terms int, total long, slots array<int>, amounts array<long>"
+_COUNT_NAMES = ["lang", "whole", "source", "bucket", "n_terms", "total", "slots", "amounts"]
+
+
+class Lexicon:
+    """The loaded terms of one language: a term's code is the first slot of its bucket and its slot there."""
+
+    def __init__(self, tables: dict[int, PerfectHash], buckets: int):
+        self.tables, self.buckets = dict(sorted(tables.items())), buckets
+        self.sizes = [len(t) for t in self.tables.values()]
+        self.first = np.cumsum([0, *self.sizes])
+        self.known: dict[bytes, int] = {}
+
+    def codes(self, terms: list[bytes]) -> np.ndarray:
+        """The code of each term, -1 for terms that are not loaded. Each term is probed once, while the memory of codes is small."""
+        if len(self.known) > FLUSH_TERMS:
+            self.known.clear()
+        known = self.known
+        fresh = [t for t in terms if t not in known]
+        if fresh:
+            keys = term_hashes(fresh)
+            bucket = bucket_of(keys, self.buckets)
+            found = np.full(len(fresh), -1, np.int64)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
+            for first, (b, table) in zip(self.first, self.tables.items()):
+                mine = order[edges[b] : edges[b + 1]]
+                slots = table.slots([fresh[i] for i in mine.tolist()], keys[mine])
+                found[mine] = np.where(slots >= 0, first + slots, -1)
+            known.update(zip(fresh, found.tolist()))
+        return np.fromiter(map(known.__getitem__, terms), np.int64, len(terms))
+
+    def rows(self, lang: str, source: str | None, dense: np.ndarray) -> pa.RecordBatch:
+        """A row for each bucket with counts: its slots that are not zero, and their counts."""
+        at = np.flatnonzero(dense)
+        edges = np.searchsorted(at, self.first)
+        held = np.flatnonzero(np.diff(edges))
+        n, amounts = len(held), dense[at].astype(np.int64)
+        sums = np.concatenate([[0], np.cumsum(amounts)])
+        bounds = pa.array(np.append(edges[held], edges[-1]).astype(np.int32))
+        slots = at - np.repeat(self.first[:-1], np.diff(edges))
+        buckets = np.array(list(self.tables), np.int32)
+        columns = [
+            pa.repeat(pa.scalar(lang, pa.string()), n),
+            pa.repeat(pa.scalar(source is None), n),
+            pa.repeat(pa.scalar(source or "", pa.string()), n),
+            pa.array(buckets[held]),
+            pa.array(np.array(self.sizes, np.int32)[held]),
+            pa.array(sums[edges[held + 1]] - sums[edges[held]]),
+            pa.ListArray.from_arrays(bounds, pa.array(slots.astype(np.int32))),
+            pa.ListArray.from_arrays(bounds, pa.array(amounts)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=_COUNT_NAMES)
+
+
+_last: dict[str, dict[str, Lexicon]] = {}
+
+
+def _loaded(name: str, shared: Broadcast) -> dict[str, Lexicon]:
+    """The lexicons of a broadcast by language. A worker keeps the last ones."""
+    if name not in _last:
+        tables: dict[str, dict[int, PerfectHash]] = {}
+        for r in shared.value:
+            levels = [np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool) for n, bits in zip(r["level_bits"], r["levels"])]
+            tables.setdefault(r["lang"], {})[r["bucket"]] = PerfectHash(levels, bytes(r["terms"]))
+        buckets = {r["lang"]: r["buckets"] for r in shared.value}
+        _last.clear()
+        _last[name] = {lang: Lexicon(own, buckets[lang]) for lang, own in tables.items()}
+    return _last[name]
 
 
 def counts_of_shards(given: DataFrame, rows: list) -> DataFrame:
-    """(lang, source, bucket, slot, n): occurrences in each group of the terms of some shards, from one scan of the documents.
+    """Occurrences of the terms of some shards in each group and in each whole language, from one scan of the documents.
 
-    The shards (bounded by `ROUND_BYTES`) are broadcast. A task adds to one dense array of slots for each group and shard
-    it meets and hands them on when they take up more than FLUSH_SLOTS.
+    The shards (bounded by `ROUND_BYTES`) are broadcast. A task adds to one dense array of slots for each group it meets, and
+    hands them on when they are more than FLUSH_SLOTS.
     """
     name = uuid.uuid4().hex
     shared = given.sparkSession.sparkContext.broadcast([r.asDict() for r in rows])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, buckets = _loaded(name, shared)
-        dense: dict[tuple[str, str, int], np.ndarray] = {}
-
-        def add(lang: str, source: str, words: Counter) -> None:
-            terms = list(words)
-            keys = term_hashes(terms)
-            amounts = np.fromiter(words.values(), np.int64, len(terms))
-            place = bucket_of(keys, buckets[lang])
-            order = np.argsort(place, kind="stable")
-            edges = np.searchsorted(place[order], np.arange(buckets[lang] + 1))
-            for bucket, table in own[lang].items():
-                mine = order[edges[bucket] : edges[bucket + 1]]
-                if not len(mine):
-                    continue
-                slots = table.slots([terms[i] for i in mine.tolist()], keys[mine])
-                known = slots >= 0
-                if known.any():
-                    held = dense.setdefault((lang, source, bucket), np.zeros(len(table.terms), np.int64))
-                    held[slots[known]] += amounts[mine[known]]
+        own = _loaded(name, shared)
+        dense: dict[tuple[str, str | None], np.ndarray] = {}
+        pending: dict[tuple[str, str], Counter] = {}
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, source, bucket), held in dense.items():
-                at = np.flatnonzero(held)
-                names = [pa.array([v] * len(at), kind) for v, kind in ((lang, pa.string()), (source, pa.string()), (bucket, pa.int32()))]
-                yield pa.RecordBatch.from_arrays([*names, pa.array(at), pa.array(held[at])], names=["lang", "source", "bucket", "slot", "n"])
+        def settle() -> None:
+            for (lang, source), words in pending.items():
+                codes = own[lang].codes(list(words))
+                amounts = np.fromiter(words.values(), np.int64, len(words))
+                known = codes >= 0
+                for group in ((lang, source), (lang, None)):
+                    if group not in dense:
+                        dense[group] = np.zeros(own[lang].first[-1], np.int32)
+                    dense[group][codes[known]] += amounts[known].astype(np.int32)
+            pending.clear()
+
+        def hand_on() -> Iterator[pa.RecordBatch]:
+            for (lang, source), held in dense.items():
+                yield own[lang].rows(lang, source, held)
             dense.clear()
 
-        pending: dict[tuple[str, str], Counter] = {}
-        waiting = 0
+        waiting, words_held = 0, 0
         for batch in batches:
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _texts(batch.column(2))):
                 if lang not in own:
                     continue
+                words = pending.setdefault((lang, source), Counter())
                 for piece in term_pieces(text):
-                    words = pending.setdefault((lang, source), Counter())
                     waiting -= len(words)
                     words.update(piece)
                     waiting += len(words)
+                    words_held += len(piece)
                     if waiting > FLUSH_TERMS:
-                        for group, found in pending.items():
-                            add(*group, found)
-                        pending, waiting = {}, 0
-                        if sum(map(len, dense.values())) > FLUSH_SLOTS:
-                            yield from flush()
-        for group, found in pending.items():
-            add(*group, found)
-        yield from flush()
+                        settle()
+                        words = pending.setdefault((lang, source), Counter())
+                        waiting = 0
+                        if words_held > FLUSH_WORDS or sum(map(len, dense.values())) > FLUSH_SLOTS:
+                            yield from hand_on()
+                            words_held = 0
+        settle()
+        yield from hand_on()
 
-    partial = given.mapInArrow(run, COUNT)
-    return partial.groupBy("lang", "source", "bucket", "slot").agg(F.sum("n").alias("n"))
+    return given.mapInArrow(run, COUNT)
 
 
-_last: dict[str, tuple[dict[str, dict[int, PerfectHash]], dict[str, int]]] = {}
+def merged(partial: DataFrame) -> DataFrame:
+    """One row per (lang, whole, source, bucket) from those of the tasks. Rows of a key stream past a single dense array."""
+    key = ("lang", "whole", "source", "bucket")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, dense = None, np.zeros(0, np.int64)
 
-def _loaded(name: str, shared: Broadcast) -> tuple[dict[str, dict[int, PerfectHash]], dict[str, int]]:
-    """The perfect hashes of a broadcast by language and bucket, and the buckets of each language. A worker keeps the last ones."""
-    if name not in _last:
-        own: dict[str, dict[int, PerfectHash]] = {}
-        for r in shared.value:
-            levels = [np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool) for n, bits in zip(r["level_bits"], r["levels"])]
-            own.setdefault(r["lang"], {})[r["bucket"]] = PerfectHash(levels, [t.encode() for t in r["terms"]])
-        _last.clear()
-        _last[name] = own, {r["lang"]: r["buckets"] for r in shared.value}
-    return _last[name]
+        def row() -> pa.RecordBatch:
+            lang, whole, source, bucket, n_terms = last
+            at = np.flatnonzero(dense)
+            values = [lang, whole, source, bucket, n_terms, int(dense.sum()), at.astype(np.int32), dense[at]]
+            kinds = (pa.string(), pa.bool_(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=_COUNT_NAMES)
+
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in range(5))))
+            edges, slots, amounts = batch.column(6).offsets.to_numpy(), batch.column(6).values.to_numpy(), batch.column(7).values.to_numpy()
+            for k, (begin, end) in zip(keys, zip(edges, edges[1:])):
+                if k != last:
+                    if last is not None:
+                        yield row()
+                    last, dense = k, np.zeros(k[4], np.int64)
+                dense[slots[begin:end]] += amounts[begin:end]
+        if last is not None:
+            yield row()
+
+    return partial.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, COUNT)
 
 
 def recount(given: DataFrame, shard: DataFrame, round_bytes: int) -> DataFrame:
     """Counts of all kept terms in all groups. Shards are broadcast in rounds of at most `round_bytes` (a single shard if that
     is larger), each round a scan of the documents: memory is bounded for any vocabulary, whose size decides the rounds."""
-    size = F.aggregate("terms", F.lit(0).cast("long"), lambda a, t: a + F.octet_length(t) + 64)
     turns: list[list] = [[]]
     held = 0
-    sizes = shard.select("lang", "bucket", size.alias("bytes")).orderBy("lang", "bucket").toLocalIterator()
-    for row in sizes:
+    sizes = shard.select("lang", "bucket", (F.octet_length("terms") + 24 * F.col("n_terms")).alias("bytes"))
+    for row in sizes.orderBy("lang", "bucket").toLocalIterator():
         if turns[-1] and held + row.bytes > round_bytes:
             turns.append([])
             held = 0
@@ -282,11 +375,11 @@ def recount(given: DataFrame, shard: DataFrame, round_bytes: int) -> DataFrame:
         held += row.bytes
     out = None
     for turn in turns:
-        (first, last) = (turn[0], turn[-1]) if turn else (("", 0), ("", -1))
-        within = (F.struct("lang", "bucket") >= _key(first)) & (F.struct("lang", "bucket") <= _key(last))
-        rows = shard.filter(within).select("lang", "bucket", "buckets", "level_bits", "levels", "terms").collect() if turn else []
-        part = counts_of_shards(given, rows)
-        part = stored(part, "slot-counts")
+        rows = []
+        if turn:
+            within = F.struct("lang", "bucket").between(_key(turn[0]), _key(turn[-1]))
+            rows = shard.filter(within).select("lang", "bucket", "buckets", "level_bits", "levels", "terms").collect()
+        part = stored(merged(counts_of_shards(given, rows)), "slot-counts")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -298,18 +391,8 @@ def _key(place: tuple[str, int]) -> Column:
 # --- figures ---------------------------------------------------------------------------------------------------
 
 
-def rate(count: Column, total: Column, kept: Column) -> Column:
-    """1 + floor(SCALE * (count + 1) / (total + kept)), in steps of a thousand so that no product leaves 64 bits."""
-    below = total + kept
-    value, rest = F.lit(0).cast("long"), count + 1
-    for _ in range(3):
-        value = value * 1000 + F.call_function("div", rest * 1000, below)
-        rest = rest * 1000 % below
-    return value + 1
-
-
-def _rates(counts: np.ndarray, below: np.ndarray | int) -> np.ndarray:
-    """`rate` for arrays."""
+def rates(counts: np.ndarray, below: np.ndarray | int) -> np.ndarray:
+    """1 + floor(SCALE * (count + 1) / below), in steps of a thousand so that no product leaves 64 bits."""
     value, rest = np.zeros_like(counts), counts + 1
     for _ in range(3):
         whole, rest = np.divmod(rest * 1000, below)
@@ -317,74 +400,73 @@ def _rates(counts: np.ndarray, below: np.ndarray | int) -> np.ndarray:
     return value + 1
 
 
-PAIR = "lang string, source string, item string, value long"
-_PAIR_TYPES = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64())])
+LEFT, RIGHT, WHOLE = 0, 1, 2
+VALUE = "lang string, source string, part string, item string, value long"
+_VALUE_TYPES = pa.schema([(c, pa.int64() if c == "value" else pa.string()) for c in ("lang", "source", "part", "item", "value")])
 
 
-def pair_values(counts: DataFrame, groups: DataFrame, shard: DataFrame) -> DataFrame:
-    """(lang, source, item, value): for every ordered pair of sources of a language, the sum of f over its kept terms.
+def _dense(table: pa.Table, rows: np.ndarray, n_terms: int) -> np.ndarray:
+    out = np.zeros((len(rows), n_terms), np.int64)
+    slots, amounts = (table.column(c).combine_chunks() for c in ("slots", "amounts"))
+    for k, row in enumerate(rows.tolist()):
+        if slots[row].values is not None:
+            out[k, slots[row].values.to_numpy()] = amounts[row].values.to_numpy()
+    return out
 
-    The unit of work is a shard and two blocks of sources, whose dense slots are a matrix of bounded size; its sums are added
-    up over the shards. `groups` has (lang, source, kept, total, place, blocks).
-    """
-    every = lambda n, name: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(name)
-    sides = groups.select("lang", "source", "kept", "total", F.pmod("place", "blocks").cast("int").alias("mine"), "blocks")
-    sides = sides.select("*", every("blocks", "other"))
-    both = [F.struct(F.col("mine").alias("a"), F.col("other").alias("b"), F.lit(True).alias("left")), F.struct(F.col("other").alias("a"), F.col("mine").alias("b"), F.lit(False).alias("left"))]
-    sides = sides.select("lang", "source", "kept", "total", F.explode(F.array(*both)).alias("at")).select("lang", "source", "kept", "total", "at.*")
-    units = shard.select("lang", "bucket", "n_terms")
-    empty = groups.filter("kept = 0").select("lang", F.lit(0).alias("bucket"), F.lit(0).cast("long").alias("n_terms")).distinct()
-    heads = sides.join(units.unionByName(empty), "lang").withColumns({"slot": F.lit(-1).cast("long"), "n": F.lit(0).cast("long")})
-    cells = counts.join(sides, ["lang", "source"]).join(units, ["lang", "bucket"]).select(heads.columns)
 
-    def compare(table: pa.Table) -> pa.Table:
-        lang, n_terms = table.column("lang")[0].as_py(), table.column("n_terms")[0].as_py()
-        slot, n, left = (table.column(c).to_numpy() for c in ("slot", "n", "left"))
-        source = table.column("source").combine_chunks().dictionary_encode()
-        names, code = source.dictionary.to_pylist(), source.indices.to_numpy()
-        kept, total = (table.column(c).to_numpy() for c in ("kept", "total"))
-        rates = []
-        for side in (left, ~left):
-            head = np.flatnonzero(side & (slot < 0))
-            row = np.full(len(names), -1)
-            row[code[head]] = np.arange(len(head))
-            counted = np.zeros((len(head), n_terms), np.int64)
-            cell = np.flatnonzero(side & (slot >= 0))
-            counted[row[code[cell]], slot[cell]] = n[cell]
-            below = np.maximum(1, total[head] + kept[head])
-            rates.append(([names[c] for c in code[head]], _rates(counted, below[:, None])))
-        (ours, p), (others, q) = rates
-        out = {"lang": [], "source": [], "item": [], "value": []}
-        for k, name in enumerate(ours):
-            gap = p[k] - q
-            values = (gap * gap // q).sum(axis=1)
-            keep = [j for j, other in enumerate(others) if other != name]
-            out["lang"] += [lang] * len(keep)
-            out["source"] += [name] * len(keep)
-            out["item"] += [others[j] for j in keep]
-            out["value"] += [int(values[j]) for j in keep]
-        return pa.table(out, schema=_PAIR_TYPES)
+def values_of_shards(counts: DataFrame, groups: DataFrame, langs: DataFrame, shard: DataFrame, top: int) -> DataFrame:
+    """(lang, source, part, item, value): the sum of f over a shard's terms for every ordered pair of sources (part pair), and the
+    shard's `top` terms of every source (part term).
 
-    work = heads.unionByName(cells).groupBy("lang", "bucket", "a", "b").applyInArrow(compare, PAIR)
-    return work.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    The unit of work is a shard and two blocks of sources: their dense slots are two matrices of bounded size. `groups` has
+    (lang, source, total, mine), `langs` (lang, kept, total, blocks).
+    """
+    units = shard.select("lang", "bucket", "n_terms", "terms")
+    bare = langs.filter("kept = 0").select("lang", F.lit(0).alias("bucket"), F.lit(0).alias("n_terms"), F.lit(b"").alias("terms"))
+    units = units.unionByName(bare)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    sizes = langs.select("lang", "kept", "blocks")
+    cells = groups.join(sizes, "lang").join(units.drop("terms"), "lang")
+    cells = cells.join(counts.filter("not whole").select("lang", "source", "bucket", "slots", "amounts"), ["lang", "source", "bucket"], "left")
+    cells = cells.select("*", other).withColumn("terms", F.lit(None).cast("binary"))
+    side = lambda role, a, b: F.struct(F.lit(role).alias("role"), F.col(a).alias("a"), F.col(b).alias("b"))
+    cells = cells.withColumn("side", F.explode(F.array(side(LEFT, "mine", "other"), side(RIGHT, "other", "mine"))))
+    whole = units.join(counts.filter("whole").select("lang", "bucket", "slots", "amounts"), ["lang", "bucket"], "left").join(langs, "lang")
+    whole = whole.select("*", other).withColumns({"side": side(WHOLE, "other", "other"), "source": F.lit("")})
+    names = ("lang", "bucket", "side.a", "side.b", "side.role", "source", "kept", "total", "n_terms", "slots", "amounts", "terms")
 
+    def compare(table: pa.Table) -> pa.Table:
+        lang, n_terms, kept = (table.column(c)[0].as_py() for c in ("lang", "n_terms", "kept"))
+        role, total, source = table.column("role").to_numpy(), table.column("total").to_numpy(), table.column("source").to_pylist()
 
-def term_values(counts: DataFrame, groups: DataFrame, shard: DataFrame, top: int = TOP_TERMS) -> DataFrame:
-    """(lang, source, item, value, rank): the `top` kept terms of each group that it uses more than its language does.
+        def of(wanted: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+            rows = np.flatnonzero(role == wanted)
+            counted = _dense(table, rows, n_terms)
+            return [source[r] for r in rows], counted, rates(counted, np.maximum(1, total[rows] + kept)[:, None])
 
-    Spark keeps the best `top` of each task's part of a group before it shuffles them.
-    """
-    spelled = shard.select("lang", "bucket", F.posexplode("terms").alias("slot", "item"))
-    whole = counts.groupBy("lang", "bucket", "slot").agg(F.sum("n").alias("all_n"))
-    named = whole.join(spelled.withColumn("slot", F.col("slot").cast("long")), ["lang", "bucket", "slot"])
-    langs = groups.groupBy("lang").agg(F.sum("total").alias("all_total"))
-    own = counts.join(named, ["lang", "bucket", "slot"]).join(groups.select("lang", "source", "kept", "total"), ["lang", "source"]).join(langs, "lang")
-    p, q = rate(F.col("n"), F.col("total"), F.col("kept")), rate(F.col("all_n"), F.col("all_total"), F.col("kept"))
-    own = own.select("lang", "source", "item", p.alias("p"), q.alias("q")).filter("p > q")
-    value = F.call_function("div", (F.col("p") - F.col("q")) * (F.col("p") - F.col("q")), F.col("q"))
-    valued = own.select("lang", "source", "item", value.alias("value"))
-    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    return valued.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+        (ours, n, p), (others, _, q) = of(LEFT), of(RIGHT)
+        out = []
+        for k, name in enumerate(ours):
+            gap = p[k] - q
+            found = (gap * gap // q).sum(axis=1)
+            out += [(lang, name, "pair", item, int(found[j])) for j, item in enumerate(others) if item != name]
+        if (role == WHOLE).any() and n_terms:
+            spelling = table.column("terms")[int(np.flatnonzero(role == WHOLE)[0])].as_py().split(b"\n")
+            mean = of(WHOLE)[2][0]
+            for k, name in enumerate(ours):
+                at = np.flatnonzero((n[k] > 0) & (p[k] > mean))
+                gap = p[k][at] - mean[at]
+                found = gap * gap // mean[at]
+                if len(at) > top:  # ties with the last one stay, as the spelling decides between them
+                    keep = found >= np.partition(found, len(at) - top)[len(at) - top]
+                    at, found = at[keep], found[keep]
+                best = sorted(zip((-found).tolist(), (spelling[i] for i in at.tolist())))[:top]
+                out += [(lang, name, "term", item.decode(), -value) for value, item in best]
+        columns = list(zip(*out)) if out else [()] * 5
+        return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, _VALUE_TYPES)], schema=_VALUE_TYPES)
+
+    work = cells.select(*names).unionByName(whole.select(*names))
+    return work.groupBy("lang", "bucket", "a", "b").applyInArrow(compare, VALUE)
 
 
 def source_divergence(
@@ -413,15 +495,18 @@ def source_divergence(
     kept = document_counts(given).filter(F.col("docs") >= least_docs).select("lang", "term")
     shard = stored(shards(stored(kept, "kept-terms"), shard_terms), "term-shards")
     counts = recount(given, shard, round_bytes)
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    totals = counts.filter("not whole").groupBy("lang", "source").agg(F.sum("total").alias("total"))
+    groups = given.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").na.fill(0, ["total"])
+    groups = stored(groups, "source-totals")
     sizes = shard.groupBy("lang").agg(F.max("kept").alias("kept"))
-    groups = given.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
-    groups = groups.na.fill(0, ["total", "kept"])
-    per_lang = groups.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / source_block).cast("int").alias("blocks"))
-    place = F.xxhash64("source").alias("place")
-    groups = stored(groups.join(per_lang, "lang").select("lang", "source", "kept", "total", place, "blocks"), "source-groups")
-    pairs = pair_values(counts, groups, shard)
+    blocks = F.ceil(F.count(F.lit(1)) / source_block).cast("int").alias("blocks")
+    langs = groups.groupBy("lang").agg(F.sum("total").alias("total"), blocks).join(sizes, "lang", "left").na.fill(0, ["kept"])
+    langs = stored(langs, "language-totals")
+    mine = F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int").alias("mine")
+    groups = groups.join(langs.select("lang", "blocks"), "lang").select("lang", "source", "total", mine)
+    found = stored(values_of_shards(counts, groups, langs, shard, top), "shard-values")
+    pairs = found.filter("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    pairs = pairs.withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit("pair"))
-    terms = term_values(counts, groups, shard, top).withColumn("part", F.lit("term"))
+    pairs = pairs.withColumn("rank", F.row_number().over(order))
+    terms = found.filter("part = 'term'").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return pairs.unionByName(terms).select("lang", "source", "part", "item", "value", "rank")
