@@ -211,20 +211,34 @@ def ids_of(found):
 @settings(max_examples=400, deadline=None)
 @given(pieces_of_text)
 def test_encoder_equals_the_library(parts):
-    from tokenizers import Tokenizer
-
-    test_encoder_equals_the_library.model = getattr(test_encoder_equals_the_library, "model", None) or Tokenizer.from_file(BPE)
     text = "".join(parts)
     own = packing.encoder(BPE)
-    assert own.in_chunks
-    assert ids_of(own.encode([text])[0]) == test_encoder_equals_the_library.model.encode(text, add_special_tokens=False).ids
+    assert own.fast is not None
+    assert ids_of(own.encode(text)) == own.library.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_equals_the_library_on_every_character_and_piece():
+    own = packing.encoder(BPE)
+    pieces = [own.library.decode([i]) for i in range(own.library.get_vocab_size() - 1)]
+    rng = random.Random(2)
+    texts = pieces + [f"a{chr(c)} b{chr(c)}{chr(c)} 1{chr(c)}' {chr(c)}s" for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    texts += ["".join(rng.choices(pieces, k=4)) for _ in range(30000)]
+    want = own.library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [t for t, w in zip(texts, want) if ids_of(own.encode(t)) != w.ids] == []
+
+
+@pytest.mark.parametrize("text", [" " * 200_000 + "x", "\n" * 200_000, "x" * 200_000, "!?" * 50_000, "a" + " \t" * 50_000])
+def test_encoder_on_long_runs(text):
+    own = packing.encoder(BPE)
+    want = own.library.encode(text, add_special_tokens=False).ids if text[0] != "x" else ids_of(own.encode(text[:80_000])) * 2 + ids_of(own.encode(text[:40_000]))
+    assert ids_of(own.encode(text)) == want
 
 
-def test_encoder_forgets_without_harm(library, monkeypatch):
-    monkeypatch.setattr(packing, "KEEP_CHUNKS", 3)
-    own = packing.Encoder(BPE)
-    texts = ["one two three four", "two three five six seven", "x" * 500 + " one", "one two"] * 3
-    assert [ids_of(own.encode([t])[0]) for t in texts] == [library(t) for t in texts]
+def test_other_kinds_of_files_are_encoded_by_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own = packing.Encoder(path)
+    assert own.fast is None
+    assert ids_of(own.encode("Some words")) == own.library.encode("Some words", add_special_tokens=False).ids
 
 
 def whole_and_gapless(rows, want, window=1024):
