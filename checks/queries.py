@@ -298,8 +298,8 @@ def class_weights(spark, sf_dir):
 
 
 def train_model(spark, sf_dir):
-    fitted, path = fixture.trained(spark, sf_dir)
-    return model.tree_nodes(spark, path, fitted)
+    _, path = fixture.trained(spark, sf_dir)
+    return model.tree_nodes(spark, path)
 
 
 def _predictions(spark, sf_dir) -> DataFrame:
@@ -334,9 +334,9 @@ def predict_summary(spark, sf_dir):
 
 def explain_summary(spark, sf_dir):
     """Transactions whose attributions and base value do not add up to the log-odds of their score."""
-    fitted, path = fixture.trained(spark, sf_dir)
-    explained = explain.with_attributions(_predictions(spark, sf_dir), fitted, path, FEATURES)
-    base = explain.base_value(explained, fitted, path)
+    fitted, _ = fixture.trained(spark, sf_dir)
+    explained = explain.with_attributions(_predictions(spark, sf_dir), fitted)
+    base = explain.base_value(fitted)
     total = F.aggregate("attributions", F.lit(base), lambda a, x: a + x)
     p = F.col("fraud_probability")
     off = F.abs(total - F.ln(p / (F.lit(1.0) - p))) > 1e-6
@@ -367,13 +367,13 @@ def feature_importance(spark, sf_dir):
 
 
 def global_explain(spark, sf_dir):
-    fitted, path = fixture.trained(spark, sf_dir)
-    return explain.global_explain(slicing.split_by_day(fixture.stored(spark, sf_dir))["validation"], fitted, path, FEATURES, AUDIT)
+    fitted, _ = fixture.trained(spark, sf_dir)
+    return explain.global_explain(slicing.split_by_day(fixture.stored(spark, sf_dir))["validation"], fitted, AUDIT)
 
 
 def local_explain(spark, sf_dir):
-    fitted, path = fixture.trained(spark, sf_dir)
-    return explain.local_explain(_predictions(spark, sf_dir), global_explain(spark, sf_dir), fitted, path, FEATURES)
+    fitted, _ = fixture.trained(spark, sf_dir)
+    return explain.local_explain(_predictions(spark, sf_dir), global_explain(spark, sf_dir), fitted)
 
 
 def daily_pipeline(spark, sf_dir):
@@ -383,7 +383,7 @@ def daily_pipeline(spark, sf_dir):
     sources.replace_table(fixture.transactions(spark, sf_dir), tables["outside"])
     sources.copy_source(spark, tables["outside"], tables["public"])
     initial.build_slices(spark, tables)
-    initial.store_model_facts(spark, tables, fitted, path, FEATURES)
+    initial.store_model_facts(spark, tables, fitted, path)
     for day, run_ts in ((15, RUN_TS), (16, "2024-01-16T03:00:00")):
         daily.run_daily(spark, tables, path, day, run_ts, FEATURES, AUDIT)
     return spark.table(tables["evaluation_matrix"])

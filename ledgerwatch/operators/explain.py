@@ -1,7 +1,7 @@
 """Feature attributions of the boosted trees, and the tables built from them.
 
 The attributions are path-dependent tree Shapley values (Lundberg et al., 2018) in log-odds. They are computed in a
-Pandas UDF that sees only the model features: the trees are small (at most 50), Spark spreads the rows. Everything
+Pandas UDF that sees only the model features: the trees are small, Spark spreads the rows. Everything
 after that - averages, ranks, shares, signs - is plain DataFrame work on an array column, and takes attributions from
 any other source as well.
 """
@@ -9,107 +9,101 @@ any other source as well.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from math import factorial
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from ledgerwatch import config
-from ledgerwatch.operators.model import SCALED_AMOUNT, model_features, tree_nodes
-
-LOG_ODDS_PER_MARGIN = 2.0
-
-
-def _leaf_tables(nodes: list) -> tuple[list, float]:
-    """Per leaf: its features, the interval each must lie in, and its Shapley values for every yes/no pattern.
-
-    A leaf is reached when each of its d features lies in the feature's interval. With z the share of training weight
-    that passes a feature's splits by itself, the leaf is a product game over d players, so its Shapley values depend
-    only on which intervals hold: 2^d patterns, worked out once here. Returns the tables and the base value.
-    """
-    tables, base = [], 0.0
-    trees: dict[int, dict[int, object]] = {}
-    for node in nodes:
-        trees.setdefault(node.tree_id, {})[node.node_id] = node
-    for tree in trees.values():
-        pending = [(tree[0], {})]
-        while pending:
-            node, limits = pending.pop()
-            if node.left_child >= 0:
-                low, high, share = limits.get(node.feature_index, (-np.inf, np.inf, 1.0))
-                for child, bounds in (
-                    (tree[node.left_child], (low, min(high, node.threshold))),
-                    (tree[node.right_child], (max(low, node.threshold), high)),
-                ):
-                    part = share * child.cover / node.cover
-                    pending.append((child, {**limits, node.feature_index: (*bounds, part)}))
-                continue
-            value = node.prediction * node.tree_weight * LOG_ODDS_PER_MARGIN
-            shares = np.array([limit[2] for limit in limits.values()])
-            base += value * shares.prod()
-            if limits:
-                low, high = (np.array([limit[i] for limit in limits.values()]) for i in (0, 1))
-                tables.append((np.array(list(limits)), low, high, value * _product_game(shares)))
-    return tables, base
-
-
-def _product_game(shares: np.ndarray) -> np.ndarray:
-    """Shapley values of v(S) = prod_{j in S} held_j * prod_{j not in S} share_j, for all 2^d patterns of held."""
-    d = len(shares)
-    held = ((np.arange(2**d)[:, None] >> np.arange(d)) & 1).astype(float)
-    out = np.empty((2**d, d))
-    for i in range(d):
-        by_size = np.zeros((2**d, d))  # column s: sum over coalitions of size s of the other players' product
-        by_size[:, 0] = 1.0
-        for j in range(d):
-            if j != i:
-                joined = by_size[:, :-1] * held[:, [j]]
-                by_size *= shares[j]
-                by_size[:, 1:] += joined
-        weight = np.array([factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)])
-        out[:, i] = (held[:, i] - shares[i]) * (by_size @ weight)
+from ledgerwatch.operators.boosting import Node
+from ledgerwatch.operators.model import BoostedTrees
+
+BATCH_ROWS = 2048
+
+
+@dataclass(frozen=True)
+class Leaf:
+    """The way to a leaf: its features, the interval each value must lie in and whether a missing value passes, the share of
+    the training weight that passes a feature's splits by itself, and the leaf's value."""
+
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    missing: np.ndarray
+    share: np.ndarray
+    value: float
+
+
+def leaf_paths(nodes: Sequence[Node]) -> list[Leaf]:
+    tree = {n.node: n for n in nodes}
+    out, pending = [], [(tree[0], {})]
+    while pending:
+        node, limits = pending.pop()
+        if node.feature < 0:
+            columns = [np.array([limit[i] for limit in limits.values()]) for i in range(4)]
+            out.append(Leaf(np.array(list(limits), int), *columns, node.value))
+            continue
+        low, high, missing, share = limits.get(node.feature, (-np.inf, np.inf, True, 1.0))
+        for child, bounds, passes in (
+            (tree[2 * node.node + 1], (low, min(high, node.threshold)), node.missing_left),
+            (tree[2 * node.node + 2], (max(low, node.threshold), high), not node.missing_left),
+        ):
+            pending.append((child, {**limits, node.feature: (*bounds, missing and passes, share * child.cover / node.cover)}))
     return out
 
 
-def with_attributions(df: DataFrame, model, path: str, features: Sequence[str] = config.FEATURES) -> DataFrame:
-    """Add `attributions`, one number per model feature. `model` and `path` are the trained model and where it is stored.
+def leaf_attributions(leaf: Leaf, x: np.ndarray) -> np.ndarray:
+    """Shapley values of one leaf for each row of x, one column per feature of its path.
 
-    The node table has at most 50 trees of 2^(depth+1) nodes, whatever the size of the data; it is read to the driver
-    and broadcast.
+    The leaf is a product game: a coalition is worth the product of 0 or 1 over the features in it (does the value pass?) and of
+    the shares over the others. The weights of coalitions are integrals of t^k (1 - t)^(d - 1 - k), so the value of a
+    feature is (passes - share) times the integral of the product of t * passes + (1 - t) * share over the other features.
+    That is a polynomial of degree d - 1, which d / 2 Gauss points integrate exactly: the path is extended by a factor per
+    feature, and a feature is unwound by a division, at each point. The cost grows with d^2, not 2^d.
     """
-    spark = df.sparkSession
-    inner = model_features(features)
-    shared = spark.sparkContext.broadcast(_leaf_tables(tree_nodes(spark, path, model).collect())[0])
+    d = len(leaf.features)
+    seen = x[:, leaf.features]
+    missing = ~np.isfinite(seen)
+    passes = np.where(missing, leaf.missing, (seen > leaf.low) & (seen <= leaf.high)).astype(float)
+    points, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
+    out = np.zeros_like(passes)
+    for t, weight in zip((points + 1) / 2, weights / 2):
+        factor = t * passes + (1 - t) * leaf.share
+        out += weight * factor.prod(axis=1, keepdims=True) / factor
+    return leaf.value * (passes - leaf.share) * out
+
+
+def attributions(paths: Sequence[Leaf], x: np.ndarray) -> np.ndarray:
+    """Shapley values of all leaves for the rows of x, one column per feature."""
+    total = np.zeros_like(x)
+    for begin in range(0, len(x), BATCH_ROWS):
+        part = x[begin : begin + BATCH_ROWS]
+        for leaf in paths:
+            if len(leaf.features):
+                total[begin : begin + BATCH_ROWS, leaf.features] += leaf_attributions(leaf, part)
+    return total
+
+
+def with_attributions(df: DataFrame, model: BoostedTrees) -> DataFrame:
+    """Add `attributions`, one number per model feature, whatever the depth of the trees. The paths of the leaves are broadcast;
+    they are bounded by the number of trees and their depth."""
+    shared = df.sparkSession.sparkContext.broadcast([leaf for tree in model.trees for leaf in leaf_paths(tree)])
 
     @F.pandas_udf(ArrayType(DoubleType()))
     def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        leaves = shared.value
         for batch in batches:
-            x = batch.to_numpy(dtype=float)
-            total = np.zeros_like(x)
-            for players, low, high, table in leaves:
-                seen = x[:, players]
-                # A missing value fails every comparison, so it goes right and stays below no upper limit.
-                held = ~(seen <= low) & ((seen <= high) | np.isposinf(high))
-                pattern = held @ (1 << np.arange(len(players)))
-                total[:, players] += table[pattern]
-            yield pd.Series(list(total))
+            yield pd.Series(list(attributions(shared.value, batch.to_numpy(dtype=float))))
 
-    scaled, stages = df, model.stages
-    if SCALED_AMOUNT in inner:
-        scaled = stages[1].transform(stages[0].transform(df))
-        inputs = [vector_to_array(F.col(c))[0].alias(c) if c == SCALED_AMOUNT else F.col(c).cast("double") for c in inner]
-    else:
-        inputs = [F.col(c).cast("double") for c in inner]
-    return scaled.select(*df.columns, attribute(F.struct(*inputs)).alias("attributions"))
+    inputs = [F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(model.inputs)]
+    return df.withColumn("attributions", attribute(F.struct(*inputs)))
 
 
-def base_value(df: DataFrame, model, path: str) -> float:
-    return _leaf_tables(tree_nodes(df.sparkSession, path, model).collect())[1]
+def base_value(model: BoostedTrees) -> float:
+    """The log-odds that the attributions of a row are added to: the mean leaf by training weight."""
+    return sum(leaf.value * float(leaf.share.prod()) for tree in model.trees for leaf in leaf_paths(tree))
 
 
 def global_attributions(attributed: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -223,20 +217,17 @@ def local_report(
     )
 
 
-def global_explain(df: DataFrame, model, path: str, features: Sequence[str] = config.FEATURES, audit=config.AUDIT_FEATURES):
-    attributed = with_attributions(df, model, path, features)
-    return global_report(global_attributions(attributed, model_features(features)), audit)
+def global_explain(df: DataFrame, model: BoostedTrees, audit: Sequence[str] = config.AUDIT_FEATURES) -> DataFrame:
+    return global_report(global_attributions(with_attributions(df, model), model.features), audit)
 
 
 def local_explain(
     predictions: DataFrame,
     global_table: DataFrame,
-    model,
-    path: str,
-    features: Sequence[str] = config.FEATURES,
+    model: BoostedTrees,
     label: str = "Class",
     tie_break: Sequence[str | Column] = ("Time", "Amount", "V1"),
 ) -> DataFrame:
     """Explain the high-risk rows. Each row carries its own features, so nothing is joined back by key."""
-    attributed = with_attributions(high_risk(predictions, tie_break), model, path, features)
-    return local_report(attributed, model_features(features), global_table, label)
+    attributed = with_attributions(high_risk(predictions, tie_break), model)
+    return local_report(attributed, model.features, global_table, label)

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch import config
 from ledgerwatch.functions.columns import is_finite
+from ledgerwatch.operators import boosting
+from ledgerwatch.operators.boosting import Node
 from ledgerwatch.session import use_checkpoint_dir
+from ledgerwatch.sources import versions
 
 SCALED_AMOUNT = "Amount_scaled"
-FINITE_LIMIT = 1e200
-MOST_DEPTH = 7
 # The model sees the scaled amount; the separation tables show the raw one.
 RAW_NAME = {SCALED_AMOUNT: "Amount"}
 
@@ -35,11 +35,68 @@ def class_weights(df: DataFrame, label: str = "Class") -> DataFrame:
     return counts.withColumn("class_weight", weight)
 
 
-def _trainable(value: Column) -> Column:
-    """The trainer takes finite numbers only: a missing or infinite value becomes the limit, a finite one stays."""
-    limit = F.lit(FINITE_LIMIT)
-    missing = value.isNull() | F.isnan(value) | (value == F.lit(float("inf")))
-    return F.when(missing, limit).when(value == F.lit(float("-inf")), -limit).otherwise(value)
+NODE = """tree_id int, node_id int, prediction double, cover double, gain double, left_child int, right_child int,
+feature_index int, threshold double, missing_left boolean, gradient double, n_rows long"""
+ABOUT = "feature string, input string, place int, mean double, deviation double"
+
+
+@dataclass(frozen=True)
+class BoostedTrees:
+    """A trained model: the columns it reads, the scaling of each, and its trees.
+
+    Thresholds and rows are compared as they are; the scaling tells how a feature looks inside the model, where only the amount is
+    scaled. `inputs` are the columns of a table, `features` their names in the model, in the order of `Node.feature`.
+    """
+
+    features: tuple[str, ...]
+    inputs: tuple[str, ...]
+    scaling: tuple[tuple[float, float], ...]
+    trees: tuple[tuple[Node, ...], ...]
+
+    def rows(self) -> list[tuple]:
+        """One row per node, as in `NODE`."""
+        out = []
+        for tree, nodes in enumerate(self.trees):
+            for n in nodes:
+                inner = n.feature >= 0
+                children = (2 * n.node + 1, 2 * n.node + 2) if inner else (-1, -1)
+                out.append((tree, n.node, n.value, n.cover, n.gain, *children, n.feature, n.threshold if inner else None, n.missing_left, n.gradient, n.n_rows))
+        return out
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Store as a new version at `path`; until it is whole, the version before it is the one that loads."""
+
+        def write(folder: str) -> None:
+            spark.createDataFrame(self.rows(), NODE).write.parquet(f"{folder}/nodes")
+            about = [(f, i, k, *s) for k, (f, i, s) in enumerate(zip(self.features, self.inputs, self.scaling))]
+            spark.createDataFrame(about, ABOUT).write.parquet(f"{folder}/about")
+
+        versions.put(spark, path, write)
+
+
+def load(spark: SparkSession, path: str) -> BoostedTrees:
+    """The last version stored at `path`. The nodes are bounded by trees and depth, whatever the data."""
+    folder = versions.current(spark, path)
+    about = spark.read.schema(ABOUT).parquet(f"{folder}/about").orderBy("place").collect()
+    trees: dict[int, list[Node]] = {}
+    for r in spark.read.schema(NODE).parquet(f"{folder}/nodes").orderBy("tree_id", "node_id").collect():
+        threshold = float("nan") if r.threshold is None else r.threshold
+        node = Node(r.node_id, r.gradient, r.cover, r.n_rows, r.prediction, r.feature_index, -1, threshold, r.missing_left, r.gain)
+        trees.setdefault(r.tree_id, []).append(node)
+    scaling = tuple((a.mean, a.deviation) for a in about)
+    return BoostedTrees(tuple(a.feature for a in about), tuple(a.input for a in about), scaling, tuple(tuple(t) for t in trees.values()))
+
+
+def _scaling(df: DataFrame, column: str) -> tuple[float, float]:
+    """Mean and sample deviation of the finite values of a column, from decimal sums, which do not depend on the order of the rows."""
+    exact = F.col(column).cast("double").try_cast("decimal(30,10)")
+    known = df.filter(is_finite(F.col(column).cast("double"))).select(exact.alias("v"))
+    n, mean = known.agg(F.count("v"), F.avg("v")).first()
+    if not n:
+        return 0.0, 1.0
+    gap = (F.col("v").cast("double") - F.lit(float(mean))).try_cast("decimal(30,10)").cast("double")
+    squares = known.agg(F.sum((gap * gap).try_cast("decimal(38,10)"))).first()[0]
+    return float(mean), (float(squares or 0) / max(1, n - 1)) ** 0.5 or 1.0
 
 
 def train(
@@ -51,95 +108,61 @@ def train(
     max_iter: int = config.MAX_TREES,
     max_depth: int = 6,
     step_size: float = 0.3,
-    seed: int = 42,
-) -> PipelineModel:
-    """Fit, store at `path`, and return the model. Training stops early when the validation rows stop gaining.
+    min_progress: float = 0.01,
+) -> BoostedTrees:
+    """Fit, store a new version at `path`, and return the model. Training stops early when the validation rows stop gaining.
 
-    `max_depth` is at most MOST_DEPTH: the attribution tables have 2^depth rows for each of up to 2^depth leaves of a tree,
-    about 50 MB for 50 trees at that depth, and they are broadcast.
-    A missing feature value does not stop a row: as in every comparison of a tree, it goes to the right.
+    The trees are the same however the rows are split or ordered. A missing or infinite feature value does not stop a row: each
+    split learns the side such values take. Rows without a label of 0 or 1 take no part. `train_df` is read four times:
+    give it a stored table. A training that fails leaves the model that is stored.
     """
-    if not 1 <= max_depth <= MOST_DEPTH:
-        raise ValueError(f"max_depth must be between 1 and {MOST_DEPTH}, got {max_depth}")
-    use_checkpoint_dir(train_df.sparkSession)
+    if max_depth < 1:
+        raise ValueError(f"max_depth must be at least 1, got {max_depth}")
+    spark = train_df.sparkSession
+    use_checkpoint_dir(spark)
     inner = model_features(features)
-    needed = [*features, label]
-    rows = (
-        train_df.select(*needed)
-        .withColumn("is_validation", F.lit(False))
-        .unionByName(valid_df.select(*needed).withColumn("is_validation", F.lit(True)))
-    )
-    weights = class_weights(train_df, label).select(F.col("class_label").alias("__class"), "class_weight")
-    rows = rows.withColumn("__class", F.col(label).cast("long")).join(F.broadcast(weights), "__class", "left")
-    rows = rows.withColumns({f: _trainable(F.col(f).cast("double")) for f in features})
-    rows = rows.withColumns({"__label": F.col(label).cast("double"), "__weight": F.coalesce("class_weight", F.lit(1.0))})
-
-    stages = []
-    if "Amount" in features:
-        amount = VectorAssembler(inputCols=["Amount"], outputCol="__amount", handleInvalid="keep")
-        scaler = StandardScaler(inputCol="__amount", outputCol=SCALED_AMOUNT, withMean=True, withStd=True)
-        known = train_df.select("Amount").filter(is_finite(F.col("Amount").cast("double")))
-        stages += [amount, scaler.fit(amount.transform(known))]
-    stages.append(VectorAssembler(inputCols=inner, outputCol="__features", handleInvalid="keep"))
-    for stage in stages:
-        rows = stage.transform(rows)
-    booster = GBTClassifier(
-        featuresCol="__features",
-        labelCol="__label",
-        weightCol="__weight",
-        validationIndicatorCol="is_validation",
-        maxIter=max_iter,
-        maxDepth=max_depth,
-        stepSize=step_size,
-        checkpointInterval=10,
-        seed=seed,
-    )
-    model = PipelineModel([*stages, booster.fit(rows.select("__features", "__label", "__weight", "is_validation"))])
-    model.write().overwrite().save(path)
-    return model
-
-
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Input columns, `predicted_Class`, and the positive class's probability as a plain number."""
-    out = model.transform(df)
-    return out.select(
-        *df.columns,
-        F.col("prediction").cast("long").alias("predicted_Class"),
-        vector_to_array(F.col("probability"))[1].alias("fraud_probability"),
-    )
+    inputs = [RAW_NAME.get(f, f) for f in inner]
+    found = {r.class_label: r.class_weight for r in class_weights(train_df.filter(F.col(label).cast("int").isin(0, 1)), label).collect()}
+    settings = boosting.Settings(max_iter, max_depth, step_size, min_progress=min_progress)
+    trees, _ = boosting.fit(train_df, valid_df, inputs, label, (found.get(0, 1.0), found.get(1, 1.0)), settings)
+    scaling = tuple(_scaling(train_df, c) if f != c else (0.0, 1.0) for f, c in zip(inner, inputs))
+    nodes = tuple(tuple(sorted(t.nodes, key=lambda n: n.node)) for t in trees)
+    fitted = BoostedTrees(tuple(inner), tuple(inputs), scaling, nodes)
+    fitted.save(spark, path)
+    return fitted
 
 
-def predict(model: PipelineModel, df: DataFrame, days: tuple[int, int] = config.SCORING_DAYS) -> DataFrame:
+def score(model: BoostedTrees, df: DataFrame) -> DataFrame:
+    """Input columns, `predicted_Class`, and the positive class's probability as a plain number.
+
+    The trees (bounded by their number and depth) are broadcast; rows are scored in Arrow batches of the model's columns only.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(model.trees)
+
+    @F.pandas_udf("double")
+    def probability(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(1 / (1 + np.exp(-boosting.margins(shared.value, batch.to_numpy(dtype=float)))))
+
+    inputs = F.struct(*[F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(model.inputs)])
+    scored = df.withColumn("fraud_probability", probability(inputs))
+    label = (F.col("fraud_probability") > F.lit(0.5)).cast("long").alias("predicted_Class")
+    return scored.select(*[F.col(f"`{c}`") for c in df.columns], label, "fraud_probability")
+
+
+def predict(model: BoostedTrees, df: DataFrame, days: tuple[int, int] = config.SCORING_DAYS) -> DataFrame:
     """Score the slices that took no part in training."""
     return score(model, df.filter(F.col("Date").between(*days)))
 
 
-def tree_nodes(spark: SparkSession, path: str, model: PipelineModel | None = None) -> DataFrame:
-    """The stored trees as a table: one row per node, with its weight sum, gain, split and children."""
-    model = model or PipelineModel.load(path)
-    folder = f"{path}/stages/{len(model.stages) - 1}_{model.stages[-1].uid}"
-    weights = spark.read.parquet(f"{folder}/treesMetadata").toDF("treeID", "metadata", "tree_weight").drop("metadata")
-    node = F.col("nodeData")
-    return (
-        spark.read.parquet(f"{folder}/data")
-        .join(F.broadcast(weights), "treeID")
-        .select(
-            F.col("treeID").alias("tree_id"),
-            "tree_weight",
-            node["id"].alias("node_id"),
-            node["prediction"].alias("prediction"),
-            node["impurityStats"][0].alias("cover"),
-            node["gain"].alias("gain"),
-            node["leftChild"].alias("left_child"),
-            node["rightChild"].alias("right_child"),
-            node["split"]["featureIndex"].alias("feature_index"),
-            F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
-        )
-    )
+def tree_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """The stored trees as a table: one row per node, with its split and children, the loss reduction of the split (`gain`), and
+    the hessian sum of its rows (`cover`)."""
+    return spark.read.schema(NODE).parquet(f"{versions.current(spark, path)}/nodes")
 
 
 def raw_importance(nodes: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Mean gain per split, mean weight through the split, and number of splits, for every model feature."""
+    """Mean loss reduction per split, mean hessian sum through the split, and number of splits, for every model feature."""
     splits = (
         nodes.filter(F.col("left_child") >= 0)
         .groupBy("feature_index")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ledgerwatch import config
@@ -27,7 +26,7 @@ def snapshot_all(spark: SparkSession, tables: Tables) -> None:
         history.snapshot_history(spark, tables[name], tables.history(name))
 
 
-def score_batch(spark: SparkSession, tables: Tables, fitted: PipelineModel) -> None:
+def score_batch(spark: SparkSession, tables: Tables, fitted: model.BoostedTrees) -> None:
     replace_table(slicing.add_hour(spark.table(tables["batch"])), tables["daily_converted"])
     replace_table(model.predict(fitted, spark.table(tables["daily_converted"])), tables["predictions"])
 
@@ -35,8 +34,7 @@ def score_batch(spark: SparkSession, tables: Tables, fitted: PipelineModel) -> N
 def evaluate_batch(
     spark: SparkSession,
     tables: Tables,
-    fitted: PipelineModel,
-    model_path: str,
+    fitted: model.BoostedTrees,
     run_ts: datetime | str,
     features: Sequence[str] = config.FEATURES,
     audit: Sequence[str] = config.AUDIT_FEATURES,
@@ -68,7 +66,7 @@ def evaluate_batch(
     put("global_explain", explain.global_report(get("model_attributions"), audit))
     put(
         "local_explain",
-        explain.local_explain(predictions, get("global_explain"), fitted, model_path, features, tie_break=tie_break),
+        explain.local_explain(predictions, get("global_explain"), fitted, tie_break=tie_break),
     )
     replace_table(
         scorecards.feature_matrix(get("feature_separation"), get("feature_importance"), get("global_explain")),
@@ -108,8 +106,8 @@ def run_daily(
     moment = as_instant(run_ts) if run_ts else datetime.now(timezone.utc)
     rows = ingest_day(spark, tables, day if day is not None else slicing.default_day(moment))
     snapshot_all(spark, tables)
-    fitted = PipelineModel.load(model_path)
+    fitted = model.load(spark, model_path)
     score_batch(spark, tables, fitted)
-    evaluate_batch(spark, tables, fitted, model_path, moment, features, audit, tie_break)
+    evaluate_batch(spark, tables, fitted, moment, features, audit, tie_break)
     store_signal(spark, tables)
     return rows

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from ledgerwatch import config
@@ -24,16 +23,13 @@ def build_slices(spark: SparkSession, tables: Tables, order: Sequence[str] = con
         )
 
 
-def store_model_facts(
-    spark: SparkSession, tables: Tables, fitted: PipelineModel, path: str, features: Sequence[str] = config.FEATURES
-) -> None:
+def store_model_facts(spark: SparkSession, tables: Tables, fitted: model.BoostedTrees, path: str) -> None:
     """Facts that change only with the model: score histogram of the training days, importances, global attributions."""
     baseline = drift.score_histogram(model.score(fitted, spark.table(tables["train"])))
     replace_table(baseline, tables["baseline_histogram"])
-    inner = model.model_features(features)
-    replace_table(model.raw_importance(model.tree_nodes(spark, path, fitted), inner), tables["model_importance"])
-    attributed = explain.with_attributions(spark.table(tables["validation"]), fitted, path, features)
-    replace_table(explain.global_attributions(attributed, inner), tables["model_attributions"])
+    replace_table(model.raw_importance(model.tree_nodes(spark, path), fitted.features), tables["model_importance"])
+    attributed = explain.with_attributions(spark.table(tables["validation"]), fitted)
+    replace_table(explain.global_attributions(attributed, fitted.features), tables["model_attributions"])
 
 
 def set_up(
@@ -44,11 +40,11 @@ def set_up(
     features: Sequence[str] = config.FEATURES,
     order: Sequence[str] = config.SLICE_ORDER,
     **training,
-) -> PipelineModel:
+) -> model.BoostedTrees:
     copy_source(spark, source, tables["public"])
     build_slices(spark, tables, order)
     fitted = model.train(
         spark.table(tables["train"]), spark.table(tables["validation"]), model_path, features, **training
     )
-    store_model_facts(spark, tables, fitted, model_path, features)
+    store_model_facts(spark, tables, fitted, model_path)
     return fitted

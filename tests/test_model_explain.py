@@ -3,10 +3,11 @@ from math import factorial
 
 import numpy as np
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from ledgerwatch.operators import explain, model
+from ledgerwatch.operators import boosting, explain, model
+from ledgerwatch.operators.boosting import Node
+from ledgerwatch.sources import versions
 
 FEATURES = ("V1", "V2", "Amount", "Hour")
 
@@ -32,7 +33,7 @@ def test_class_weights(spark):
 
 def test_scoring_days_and_columns(spark, trained):
     fitted, path, df = trained
-    out = model.predict(PipelineModel.load(path), df)
+    out = model.predict(model.load(spark, path), df)
     assert out.columns == [*df.columns, "predicted_Class", "fraud_probability"]
     assert out.agg(F.max("Date")).first()[0] == 31
     bad = out.filter((F.col("fraud_probability") > 0.5) != (F.col("predicted_Class") == 1)).count()
@@ -56,54 +57,224 @@ def test_importance_matches_the_trees(spark, trained):
     assert rows["V1"].top5_gain_share == pytest.approx(1) and rows["V1"].rank_gain == 1
 
 
-def expected_margin(tree, node_id, x, known):
-    node = tree[node_id]
-    if node.left_child < 0:
-        return node.prediction
-    left, right = tree[node.left_child], tree[node.right_child]
-    if node.feature_index in known:
-        return expected_margin(tree, node.left_child if x[node.feature_index] <= node.threshold else node.right_child, x, known)
-    return (
-        left.cover * expected_margin(tree, node.left_child, x, known)
-        + right.cover * expected_margin(tree, node.right_child, x, known)
-    ) / node.cover
+def passes_left(node, value):
+    return node.missing_left if not np.isfinite(value) else value <= node.threshold
+
+
+def expected_margin(tree, number, x, known):
+    node = tree[number]
+    if node.feature < 0:
+        return node.value
+    left, right = tree[2 * number + 1], tree[2 * number + 2]
+    if node.feature in known:
+        return expected_margin(tree, left.node if passes_left(node, x[node.feature]) else right.node, x, known)
+    parts = [child.cover * expected_margin(tree, child.node, x, known) for child in (left, right)]
+    return sum(parts) / node.cover
+
+
+def shapley_by_definition(trees, x, d):
+    trees = [{n.node: n for n in nodes} for nodes in trees]
+    worth = {}
+    for size in range(d + 1):
+        for known in combinations(range(d), size):
+            worth[known] = sum(expected_margin(t, 0, x, set(known)) for t in trees)
+    out = []
+    for i in range(d):
+        total = 0.0
+        for size in range(d):
+            for others in combinations([j for j in range(d) if j != i], size):
+                weight = factorial(size) * factorial(d - size - 1) / factorial(d)
+                total += weight * (worth[tuple(sorted({*others, i}))] - worth[others])
+        out.append(total)
+    return out
 
 
 def test_attributions_equal_shapley_values_by_definition(spark, trained):
     fitted, path, df = trained
-    some = df.orderBy("V1").limit(40).unionByName(df.orderBy(F.desc("V1")).limit(40))
-    out = explain.with_attributions(model.score(fitted, some), fitted, path, FEATURES).collect()
-    scaler = fitted.stages[1]
-    trees = {}
-    for n in model.tree_nodes(spark, path).collect():
-        trees.setdefault(n.tree_id, {})[n.node_id] = n
-    base = explain.base_value(df, fitted, path)
-    d = 4
+    some = df.orderBy("V1").limit(20).unionByName(df.orderBy(F.desc("V1")).limit(20))
+    gaps = some.limit(5).withColumns({"V2": F.lit(None).cast("double"), "Amount": F.lit(float("nan"))})
+    out = explain.with_attributions(model.score(fitted, some.unionByName(gaps)), fitted).collect()
+    base = explain.base_value(fitted)
     for row in out:
-        x = [row.V1, row.V2, row.Hour, (row.Amount - scaler.mean[0]) / scaler.std[0]]
-
-        def value(known):
-            return sum(2 * t[0].tree_weight * expected_margin(t, 0, x, known) for t in trees.values())
-
-        for i in range(d):
-            want = 0.0
-            for size in range(d):
-                for others in combinations([j for j in range(d) if j != i], size):
-                    weight = factorial(size) * factorial(d - size - 1) / factorial(d)
-                    want += weight * (value({*others, i}) - value(set(others)))
-            assert row.attributions[i] == pytest.approx(want, abs=1e-9)
+        x = [float("nan") if row[c] is None else float(row[c]) for c in fitted.inputs]
+        assert row.attributions == pytest.approx(shapley_by_definition(fitted.trees, x, 4), abs=1e-9)
         log_odds = np.log(row.fraud_probability / (1 - row.fraud_probability))
         assert sum(row.attributions) + base == pytest.approx(log_odds, abs=1e-9)
 
 
+def random_tree(rng, depth, n_features, number=0, cover=1000.0):
+    if depth == 0 or (number and rng.random() < 0.1):
+        return [Node(number, 0.0, cover, 1, float(rng.normal()))]
+    share = rng.uniform(0.05, 0.95)
+    node = Node(number, 0.0, cover, 1, 0.0, int(rng.integers(n_features)), 1, float(rng.normal()), bool(rng.random() < 0.5), 1.0)
+    left = random_tree(rng, depth - 1, n_features, 2 * number + 1, cover * share)
+    return [node, *left, *random_tree(rng, depth - 1, n_features, 2 * number + 2, cover * (1 - share))]
+
+
+@pytest.mark.parametrize("depth, n_features", [(0, 1), (1, 1), (3, 2), (5, 7)])
+def test_attributions_of_random_trees(depth, n_features):
+    rng = np.random.default_rng(depth)
+    trees = [random_tree(rng, depth, n_features) for _ in range(3)]
+    x = rng.normal(size=(12, n_features))
+    x[rng.random(x.shape) < 0.2] = np.nan
+    got = explain.attributions([leaf for t in trees for leaf in explain.leaf_paths(t)], x)
+    for row, found in zip(x, got):
+        assert found == pytest.approx(shapley_by_definition(trees, row, n_features), abs=1e-9)
+
+
+def test_attributions_of_deep_trees_add_up():
+    rng = np.random.default_rng(12)
+    tree = random_tree(rng, 12, 30)
+    paths = explain.leaf_paths(tree)
+    assert max(len(leaf.features) for leaf in paths) > 9
+    x = rng.normal(size=(40, 30))
+    base = sum(leaf.value * leaf.share.prod() for leaf in paths)
+    assert explain.attributions(paths, x).sum(axis=1) + base == pytest.approx(boosting.margins([tree], x), abs=1e-9)
+
+
 def test_missing_values_are_scored_and_explained(spark, trained):
     fitted, path, df = trained
     gaps = df.limit(1).select("Class", "Date", "Time", "Hour").withColumns(
         {"V1": F.lit(None).cast("double"), "V2": F.lit(0.3), "Amount": F.lit(None).cast("double")}
     )
-    row = explain.with_attributions(model.score(fitted, gaps), fitted, path, FEATURES).first()
+    row = explain.with_attributions(model.score(fitted, gaps), fitted).first()
     log_odds = np.log(row.fraud_probability / (1 - row.fraud_probability))
-    assert sum(row.attributions) + explain.base_value(df, fitted, path) == pytest.approx(log_odds, abs=1e-9)
+    assert sum(row.attributions) + explain.base_value(fitted) == pytest.approx(log_odds, abs=1e-9)
+
+
+def test_missing_values_learn_their_side(spark, tmp_path):
+    """Rows without V1 are mostly positive, as are those with a high V1: they must go right, and left with the sign turned."""
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=2000)
+    gone = rng.random(2000) < 0.2
+    label = np.where(gone, rng.random(2000) < 0.9, v > 0.5).astype(int)
+    rows = [(None if g else float(x), int(c)) for x, g, c in zip(v, gone, label)]
+    df = spark.createDataFrame(rows, "V1 double, Class int")
+    for sign, left in ((1.0, False), (-1.0, True)):
+        turned = df.withColumn("V1", F.col("V1") * sign)
+        fitted = model.train(turned, turned.limit(0), str(tmp_path / f"m{left}"), ("V1",), max_iter=1, max_depth=1)
+        assert fitted.trees[0][0].missing_left is left
+        p = model.score(fitted, turned.filter("V1 IS NULL")).first().fraud_probability
+        assert p > 0.5
+
+
+def brute_tree(x, y, margin, weights, settings, edges, number=0, rows=None):
+    """Nodes of one tree by trying every edge of every feature on the rows themselves."""
+    rows = np.arange(len(y)) if rows is None else rows
+    p = 1 / (1 + np.exp(-margin))
+    w = np.where(y == 1, weights[1], weights[0])
+    g, h = (w * (p - y)), (w * p * (1 - p))
+    own = (g[rows].sum(), h[rows].sum())
+    out = {number: {"g": own[0], "h": own[1], "n": len(rows), "feature": -1}}
+    if (number + 1).bit_length() - 1 == settings.max_depth:
+        return out
+    best = None
+    for f in range(x.shape[1]):
+        for edge in edges[f]:
+            for missing_left in (False, True):
+                left = np.where(np.isfinite(x[rows, f]), x[rows, f] <= edge, missing_left)
+                a, b = rows[left], rows[~left]
+                if not len(a) or not len(b) or h[a].sum() < 1 or h[b].sum() < 1:
+                    continue
+                gain = g[a].sum() ** 2 / (h[a].sum() + 1) + g[b].sum() ** 2 / (h[b].sum() + 1) - own[0] ** 2 / (own[1] + 1)
+                if best is None or gain > best[0] + 1e-7:
+                    best = (gain, f, edge, missing_left, a, b)
+    if best is None or best[0] <= boosting.LEAST_GAIN:
+        return out
+    out[number] |= {"feature": best[1], "threshold": best[2], "missing_left": best[3], "gain": best[0]}
+    for k, part in ((1, best[4]), (2, best[5])):
+        out |= brute_tree(x, y, margin, weights, settings, edges, 2 * number + k, part)
+    return out
+
+
+@pytest.fixture(scope="module")
+def gappy(spark):
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(700, 3)), 1)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    y = ((np.nan_to_num(x[:, 0]) + np.nan_to_num(x[:, 1]) * np.isnan(x[:, 2]) + rng.normal(0, 0.5, 700)) > 0.9).astype(int)
+    rows = [(*[None if np.isnan(v) else float(v) for v in r], int(c)) for r, c in zip(x, y)]
+    return x, y, spark.createDataFrame(rows, "a double, b double, c double, Class int")
+
+
+@pytest.mark.parametrize("held", [boosting.HELD_CELLS, 60])
+def test_trees_equal_those_of_brute_force(gappy, held, monkeypatch):
+    """With all histograms kept (siblings by subtraction) and with nodes counted in parts."""
+    monkeypatch.setattr(boosting, "HELD_CELLS", held)
+    x, y, df = gappy
+    settings = boosting.Settings(max_trees=3, max_depth=3, n_bins=12)
+    weights = (len(y) / (2 * (y == 0).sum()), len(y) / (2 * (y == 1).sum()))
+    trees, binning = boosting.fit(df, df.limit(0), ("a", "b", "c"), "Class", weights, settings)
+    assert len(trees) == 3 and all(1 < len(e) <= 12 for e in binning.edges)
+    margin = np.zeros(len(y))
+    for tree in trees:
+        want = brute_tree(x, y, margin, weights, settings, binning.edges)
+        assert {n.node for n in tree.nodes} == set(want)
+        for n in tree.nodes:
+            w = want[n.node]
+            assert (n.feature, n.n_rows) == (w["feature"], w["n"])
+            assert (n.gradient, n.cover) == (pytest.approx(w["g"], abs=1e-5), pytest.approx(w["h"], abs=1e-5))
+            assert n.value == pytest.approx(-0.3 * w["g"] / (w["h"] + 1), abs=1e-6)
+            if n.feature >= 0:
+                assert (n.threshold, n.missing_left) == (w["threshold"], w["missing_left"])
+                assert n.gain == pytest.approx(w["gain"], abs=1e-4)
+        margin += boosting.margins([tree.nodes], x)
+
+
+def test_training_is_the_same_however_rows_are_split(spark, trained, tmp_path):
+    fitted, _, df = trained
+    train, valid = df.filter("Date >= 37"), df.filter("Date BETWEEN 32 AND 36")
+    again = model.train(train.repartition(5, "V2").sortWithinPartitions("Amount"), valid.repartition(3), str(tmp_path / "m"), FEATURES, max_iter=4, max_depth=3)
+    assert again == fitted
+
+
+def test_a_stored_model_loads_as_it_was(spark, trained):
+    fitted, path, df = trained
+    loaded = model.load(spark, path)
+    assert model.score(loaded, df).exceptAll(model.score(fitted, df)).count() == 0
+    assert (loaded.features, loaded.inputs, loaded.scaling) == (fitted.features, fitted.inputs, fitted.scaling)
+    n, mean, std = df.filter("Date >= 37").agg(F.count("Amount"), F.avg("Amount"), F.stddev("Amount")).first()
+    assert fitted.scaling[-1] == (pytest.approx(mean), pytest.approx(std)) and fitted.scaling[0] == (0.0, 1.0)
+
+
+def test_a_failed_training_leaves_the_stored_model(spark, trained, tmp_path, monkeypatch):
+    fitted, _, df = trained
+    path = str(tmp_path / "served")
+    fitted.save(spark, path)
+    before = versions.current(spark, path)
+    bad = df.withColumn("V1", F.when(F.col("V1") > 1, F.raise_error(F.lit("stop")).cast("double")).otherwise(F.col("V1")))
+    with pytest.raises(Exception, match="stop"):
+        model.train(bad, bad.limit(0), path, FEATURES, max_iter=1, max_depth=1)
+
+    def stop(*_):
+        raise RuntimeError("killed")
+
+    for step in ("createDataFrame", None):
+        with monkeypatch.context() as m:
+            if step:
+                m.setattr(type(spark), step, stop)
+            else:
+                m.setattr(versions, "_files", lambda s, p, f=versions._files: stop() if "/committed/" in p else f(s, p))
+            with pytest.raises(RuntimeError, match="killed"):
+                fitted.save(spark, path)
+        assert versions.current(spark, path) == before and model.load(spark, path).features == fitted.features
+    for _ in range(3):
+        fitted.save(spark, path)
+    assert len(versions.names(spark, f"{path}/versions")) == versions.KEPT_VERSIONS == len(versions.names(spark, f"{path}/committed"))
+    with pytest.raises(FileNotFoundError):
+        model.load(spark, str(tmp_path / "nothing"))
+
+
+def test_training_stops_when_validation_stops_gaining(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    rows = [(float(v), int(c)) for v, c in zip(rng.normal(size=600), rng.random(600) < 0.5)]
+    noise = spark.createDataFrame(rows, "V1 double, Class int")
+    assert len(model.train(noise, noise.limit(300), str(tmp_path / "n"), ("V1",), max_depth=2).trees) < 10
+    one = noise.filter("Class = 1")
+    assert len(model.train(one, one, str(tmp_path / "o"), ("V1",), max_iter=3, max_depth=2).trees) >= 1
+    none = noise.limit(0)
+    empty = model.train(none, none, str(tmp_path / "e"), ("V1",), max_iter=3)
+    assert model.score(empty, noise).filter("fraud_probability = 0.5").count() == 600
 
 
 def test_training_with_missing_values(spark, trained, tmp_path):
@@ -117,12 +288,12 @@ def test_training_with_missing_values(spark, trained, tmp_path):
 def test_global_and_local_tables(spark, trained):
     fitted, path, df = trained
     scored = model.predict(fitted, df)
-    overall = explain.global_explain(df, fitted, path, FEATURES, audit=("V1", "V9"))
+    overall = explain.global_explain(df, fitted, audit=("V1", "V9"))
     rows = {r.feature: r for r in overall.collect()}
     assert rows["V1"].is_audit_variable and rows["V1"].audit_in_top5 and not rows["V2"].is_audit_variable
     assert sum(r.shap_share for r in rows.values()) == pytest.approx(1)
     assert sorted(r.rank_shap for r in rows.values()) == [1, 2, 3, 4]
-    local = explain.local_explain(scored, overall, fitted, path, FEATURES)
+    local = explain.local_explain(scored, overall, fitted)
     high = max(20, scored.filter("fraud_probability >= 0.85").count())
     assert local.count() == high * 4
     for r in local.filter("shap_rank = 1").collect():
