@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,11 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(0x100 + k): b for k, b in enumerate(rest)}
 
 
+def _numbers(ids: list[int]) -> bytes:
+    own = array("I", ids)
+    return own.tobytes() if own.itemsize == 4 and sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
+
+
 class Encoder:
     """Token ids of texts under a tokenizers file, as the tokenizers library gives them without added special tokens.
 
@@ -73,7 +80,7 @@ class Encoder:
         """The ids as little-endian 32-bit numbers."""
         usual = self.fast is not None and not any(s in text for s in self.special) and not (len(text) >= BLANK_RUN and _blank_run(text))
         ids = self.fast.encode_ordinary(text) if usual else self.library.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return _numbers(ids)
 
 
 _encoders: dict[str, Encoder] = {}
