@@ -69,7 +69,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 _work: dict[tuple[str, str], Tables] = {}
-_models: dict[tuple[str, str], tuple] = {}
+_models: dict[tuple[str, str, str], tuple] = {}
 
 
 def work_tables(spark: SparkSession, name: str) -> Tables:
@@ -93,11 +93,15 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_tables(spark, sf_dir)["converted"])
 
 
-def trained(spark: SparkSession, sf_dir: str) -> tuple:
+def trained(spark: SparkSession, sf_dir: str, name: str = "model", **options) -> tuple:
     """(model, path), trained once per session and data set."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _models:
         days = slicing.split_by_day(stored(spark, sf_dir))
-        path = f"{use_checkpoint_dir(spark)}/model_{uuid.uuid4().hex[:8]}"
-        _models[key] = (model.train(days["training"], days["validation"], path, FEATURES), path)
+        path = f"{use_checkpoint_dir(spark)}/{name}_{uuid.uuid4().hex[:8]}"
+        _models[key] = (model.train(days["training"], days["validation"], path, FEATURES, **options), path)
     return _models[key]
+
+
+def trained_small(spark: SparkSession, sf_dir: str) -> tuple:
+    return trained(spark, sf_dir, "small", max_iter=2, max_depth=2, n_bins=16)

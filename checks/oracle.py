@@ -187,8 +187,8 @@ ORACLE["slices_of_ties"] = sql("SELECT (count(*) - 15) // 50 + 1 AS n_rows, CAST
 # --- the trained model: what holds whatever the trees ----------------------------------------------------------
 
 ORACLE["train_summary"] = sql(
-    """SELECT TRUE AS trees_in_range, CAST(0 AS BIGINT) AS n_unknown_features, CAST(count(*) AS DOUBLE) AS least_root_weight,
-  CAST(count(*) AS DOUBLE) AS most_root_weight FROM sliced WHERE "Date" BETWEEN 37 AND 50""",
+    f"""SELECT TRUE AS trees_in_range, CAST(0 AS BIGINT) AS n_unknown_features, count(*) AS least_root_rows, count(*) AS most_root_rows,
+  round(count(*) / {D('4')}, 3) AS first_root_cover FROM sliced WHERE "Date" BETWEEN 37 AND 50""",
     "sliced",
 )
 ORACLE["predict_summary"] = sql(

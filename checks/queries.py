@@ -308,15 +308,17 @@ def _predictions(spark, sf_dir) -> DataFrame:
 
 
 def train_summary(spark, sf_dir):
-    """What must hold for any trained ensemble: number of trees, features in range, and the weight at every root."""
+    """What must hold for any trained ensemble: number of trees, features in range, the rows at every root, and the hessian sum at the
+    first, where every row has a quarter of its weight."""
     nodes = train_model(spark, sf_dir)
     splits = F.col("left_child") >= 0
-    root = F.when(F.col("node_id") == 0, F.col("cover"))
+    root = F.when(F.col("node_id") == 0, F.col("n_rows"))
     return nodes.agg(
         F.count_distinct("tree_id").between(1, 50).alias("trees_in_range"),
         F.count_if(splits & ~F.col("feature_index").between(0, len(FEATURES) - 1)).alias("n_unknown_features"),
-        F.round(F.min(root), 3).alias("least_root_weight"),
-        F.round(F.max(root), 3).alias("most_root_weight"),
+        F.min(root).alias("least_root_rows"),
+        F.max(root).alias("most_root_rows"),
+        F.round(F.max(F.when((F.col("node_id") == 0) & (F.col("tree_id") == 0), F.col("cover"))), 3).alias("first_root_cover"),
     )
 
 
@@ -343,6 +345,47 @@ def explain_summary(spark, sf_dir):
     return explained.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(off, F.lit(True))).alias("n_off"))
 
 
+def train_small(spark, sf_dir):
+    """Two small trees, whose training the SQL repeats step by step."""
+    _, path = fixture.trained_small(spark, sf_dir)
+    return rounded(model.tree_nodes(spark, path))
+
+
+def _small_predictions(spark, sf_dir, fitted) -> DataFrame:
+    return model.predict(fitted, fixture.stored(spark, sf_dir))
+
+
+def predict_small(spark, sf_dir):
+    fitted, _ = fixture.trained_small(spark, sf_dir)
+    p = F.col("fraud_probability")
+    figures = (F.sum("predicted_Class").alias("n_detected"), F.avg(p).alias("mean_score"), F.max(p).alias("most_score"))
+    return rounded(_small_predictions(spark, sf_dir, fitted).groupBy("Date", "Class").agg(F.count(F.lit(1)).alias("n_rows"), *figures))
+
+
+def feature_importance_small(spark, sf_dir):
+    _, path = fixture.trained_small(spark, sf_dir)
+    return rounded(model.feature_importance(spark, path, FEATURES))
+
+
+def tree_shap_small(spark, sf_dir):
+    """The attributions of every scored transaction."""
+    fitted, _ = fixture.trained_small(spark, sf_dir)
+    explained = explain.with_attributions(_small_predictions(spark, sf_dir, fitted), fitted)
+    parts = [F.col("attributions")[i].alias(f"a{i}") for i in range(len(fitted.features))]
+    return rounded(explained.select("Time", "Amount", "V1", "fraud_probability", *parts))
+
+
+def global_explain_small(spark, sf_dir):
+    fitted, _ = fixture.trained_small(spark, sf_dir)
+    return rounded(explain.global_explain(slicing.split_by_day(fixture.stored(spark, sf_dir))["validation"], fitted, AUDIT))
+
+
+def local_explain_small(spark, sf_dir):
+    fitted, _ = fixture.trained_small(spark, sf_dir)
+    overall = explain.global_explain(slicing.split_by_day(fixture.stored(spark, sf_dir))["validation"], fitted, AUDIT)
+    return rounded(explain.local_explain(_small_predictions(spark, sf_dir, fitted), overall, fitted))
+
+
 def slices_of_ties(spark, sf_dir):
     """Rows of day 15, on a table full of ties, that the raw table and the stored slices do not share."""
     tx = fixture.transactions(spark, sf_dir)
@@ -432,6 +475,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         train_summary,
         predict_summary,
         explain_summary,
+        train_small,
+        predict_small,
+        feature_importance_small,
+        tree_shap_small,
+        global_explain_small,
+        local_explain_small,
         slices_of_ties,
         evaluate_model,
         feature_importance,

@@ -109,6 +109,7 @@ def train(
     max_depth: int = 6,
     step_size: float = 0.3,
     min_progress: float = 0.01,
+    n_bins: int = boosting.MAX_BINS,
 ) -> BoostedTrees:
     """Fit, store a new version at `path`, and return the model. Training stops early when the validation rows stop gaining.
 
@@ -123,7 +124,7 @@ def train(
     inner = model_features(features)
     inputs = [RAW_NAME.get(f, f) for f in inner]
     found = {r.class_label: r.class_weight for r in class_weights(train_df.filter(F.col(label).cast("int").isin(0, 1)), label).collect()}
-    settings = boosting.Settings(max_iter, max_depth, step_size, min_progress=min_progress)
+    settings = boosting.Settings(max_iter, max_depth, step_size, min_progress=min_progress, n_bins=n_bins)
     trees, _ = boosting.fit(train_df, valid_df, inputs, label, (found.get(0, 1.0), found.get(1, 1.0)), settings)
     scaling = tuple(_scaling(train_df, c) if f != c else (0.0, 1.0) for f, c in zip(inner, inputs))
     nodes = tuple(tuple(sorted(t.nodes, key=lambda n: n.node)) for t in trees)
