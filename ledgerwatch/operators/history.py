@@ -2,25 +2,67 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch import config
+from ledgerwatch.sources.tables import quoted
+
+
+ROWS, DATES = "__rows", "__dates"
+
+
+def _prepare(spark: SparkSession, like: DataFrame, history: str) -> None:
+    """The three parts of a history: its rows by date, the dates that are whole, and a view of the rows of those dates.
+
+    A plain table of that name becomes the rows; all its dates count as whole.
+    """
+    rows, dates = history + ROWS, history + DATES
+    plain = spark.catalog.tableExists(history) and spark.catalog.getTable(history).tableType != "VIEW"
+    if plain:
+        spark.table(history).select("evaluation_date").distinct().write.mode("overwrite").saveAsTable(dates)
+        spark.sql(f"ALTER TABLE {quoted(history)} RENAME TO {quoted(rows.split('.', 1)[1])}")
+        spark.sql(f"MSCK REPAIR TABLE {quoted(rows)} SYNC PARTITIONS")
+    if not spark.catalog.tableExists(rows):
+        like.limit(0).write.partitionBy("evaluation_date").saveAsTable(rows)
+    if not spark.catalog.tableExists(dates):
+        like.limit(0).select("evaluation_date").write.saveAsTable(dates)
+    if not spark.catalog.tableExists(history):
+        spark.sql(
+            f"CREATE VIEW {quoted(history)} AS SELECT * FROM {quoted(rows)} WHERE evaluation_date IN (SELECT evaluation_date FROM {quoted(dates)})"
+        )
+
+
+def _replace_date(df: DataFrame, rows: str, day: date) -> None:
+    """Put `df` in place of the partition of one date."""
+    columns = [c for c in df.columns if c != "evaluation_date"]
+    listed = ", ".join(f"`{c}`" for c in columns)
+    insert = f"INSERT OVERWRITE TABLE {quoted(rows)} PARTITION (evaluation_date = DATE '{day}') SELECT {listed} FROM {{df}}"
+    df.sparkSession.sql(insert, df=df)
 
 
 def snapshot_history(spark: SparkSession, source: str, history: str) -> None:
-    """Append the rows of `source` whose evaluation date the history does not have yet. Runs before `source` is replaced.
+    """Add the rows of `source` whose evaluation date the history does not have yet. Runs before `source` is replaced.
 
-    The history is stored by evaluation date, so the dates it holds are read from a handful of small columns. The
-    first copy of a date stays: a second run on the same day is not stored again.
+    The first copy of a date stays: a second run on the same day is not stored again. Rows are written into the partition of
+    their date, replacing what an unfinished run left there, and the date is noted after that. Only noted dates are seen
+    under the name `history`, so a run that ends anywhere can be repeated.
     """
     if not spark.catalog.tableExists(source):
         return
-    rows = spark.table(source)
-    if not spark.catalog.tableExists(history):
-        rows.write.partitionBy("evaluation_date").saveAsTable(history)
+    current = spark.table(source)
+    _prepare(spark, current, history)
+    rows, dates = history + ROWS, history + DATES
+    new = new_rows(current, spark.table(dates)).select(*spark.table(rows).columns)
+    added = [r.evaluation_date for r in new.select("evaluation_date").distinct().collect()]
+    if not added:
         return
-    new_rows(rows, spark.table(history)).write.mode("append").partitionBy("evaluation_date").saveAsTable(history)
+    for day in added:  # a run has one date
+        _replace_date(new.filter(F.col("evaluation_date") == F.lit(day)), rows, day)
+    note = spark.createDataFrame([(d,) for d in added], "evaluation_date date")
+    note.coalesce(1).write.mode("append").saveAsTable(dates)
 
 
 def new_rows(rows: DataFrame, history: DataFrame) -> DataFrame:

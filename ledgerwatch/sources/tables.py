@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ledgerwatch import config
+from ledgerwatch.sources import versions
 
 # Fixed value: accepted form of a target name, catalog.schema.table.
 TABLE_NAME = re.compile(r"^[a-zA-Z0-9_-]+\.[a-zA-Z0-9_]+\.[a-zA-Z0-9_]+$")
@@ -41,37 +43,65 @@ def read_transactions(spark: SparkSession, source: str) -> DataFrame:
     return spark.table(source)
 
 
-def _rename(spark: SparkSession, table: str, to: str, partition_by: tuple[str, ...]) -> None:
-    """Rename inside a schema. The catalog is told again where the partitions are, as they moved with the table."""
-    spark.sql(f"ALTER TABLE {table} RENAME TO {to.split('.', 1)[1]}")
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {to} SYNC PARTITIONS")
+# --- versions of a table ---------------------------------------------------------------------------------------
+#
+# The name of a table is a view of its current version, which is a table of its own. A load writes a new version beside it
+# and points the view there: one change of the catalog. A job that ends at any point leaves a readable table, the old one
+# or the new one; what it left behind goes with the next load. One writer at a time for each table.
 
+VERSION = "__v_"
 
-def _swap_in(df: DataFrame, table: str, partition_by: tuple[str, ...]) -> None:
-    """Write a table of its own beside `table`, then put it in its place by renames; the old one goes last.
 
-    A load that fails leaves `table` as it was, and no other table.
-    """
+def quoted(table: str) -> str:
+    return ".".join(f"`{part}`" for part in table.split("."))
+
+
+def version_of(spark: SparkSession, table: str) -> str | None:
+    """The table that the view `table` shows; None if there is no such view."""
+    if not spark.catalog.tableExists(table) or spark.catalog.getTable(table).tableType != "VIEW":
+        return None
+    found = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(table)}").collect()}
+    return found.get("ledgerwatch.version")
+
+
+def _point(spark: SparkSession, table: str, version: str) -> None:
+    """Show `version` under the name `table`. A plain table of that name becomes a version first."""
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted((table + VERSION + '0').split('.', 1)[1])}")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {quoted(table)} TBLPROPERTIES ('ledgerwatch.version' = '{version}') AS SELECT * FROM {quoted(version)}"
+    )
+
+
+def _clean(spark: SparkSession, table: str) -> None:
+    """Drop all versions but the current one and the one before it, which readers may still use, and folders of loads that
+    ended while they wrote."""
+    catalog, schema, name = table.split(".")
+    current = (version_of(spark, table) or "").split(".")[-1]
+    known = sorted(t.name for t in spark.catalog.listTables(f"{catalog}.{schema}") if t.name.startswith(name.lower() + VERSION))
+    before = [v for v in known if v < current][-1:]
+    for version in known:
+        if version not in (current, *before):
+            spark.sql(f"DROP TABLE IF EXISTS {quoted(f'{catalog}.{schema}.{version}')}")
+    home = spark.catalog.getDatabase(f"{catalog}.{schema}").locationUri
+    for folder in versions.names(spark, home):
+        if folder.startswith(name.lower() + VERSION) and folder not in known:
+            versions.remove(spark, f"{home}/{folder}")
+
+
+def _switch_to(df: DataFrame, table: str, partition_by: tuple[str, ...]) -> None:
+    """Write a new version of `table` and show it. A load that fails leaves `table` as it was, and no other table."""
     spark = df.sparkSession
-    run = uuid.uuid4().hex[:8]
-    new, old = f"{table}__new_{run}", f"{table}__old_{run}"
+    version = f"{table}{VERSION}{time.time_ns():020d}_{uuid.uuid4().hex[:8]}".lower()
     try:
         writer = df.write.mode("errorifexists")
-        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(new)
-        present = spark.catalog.tableExists(table)
-        if present:
-            _rename(spark, table, old, partition_by)
-        try:
-            _rename(spark, new, table, partition_by)
-        except Exception:
-            if present:
-                _rename(spark, old, table, partition_by)
-            raise
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(version)
+        _point(spark, table, version)
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        if version_of(spark, table) != version:
+            spark.sql(f"DROP TABLE IF EXISTS {quoted(version)}")
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    _clean(spark, table)
 
 
 def overwrite_slice(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> int:
@@ -84,14 +114,14 @@ def overwrite_slice(df: DataFrame, table: str, partition_by: tuple[str, ...] = (
     if df.isEmpty():
         raise EmptyInput(f"no rows for {table}; the table is left unchanged")
     loaded = Observation()
-    _swap_in(df.observe(loaded, F.count(F.lit(1)).alias("n")), table, partition_by)
+    _switch_to(df.observe(loaded, F.count(F.lit(1)).alias("n")), table, partition_by)
     return int(loaded.get["n"])
 
 
 def replace_table(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> None:
     """Create or replace a derived table; an empty result is a valid one."""
     check_table_name(table)
-    _swap_in(df, table, partition_by)
+    _switch_to(df, table, partition_by)
 
 
 def known_time(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from ledgerwatch.functions.columns import stamp
 from ledgerwatch.operators import history
 from ledgerwatch.plans.names import WITH_HISTORY, Tables
 from ledgerwatch.sources import tables as sources
+from ledgerwatch.sources import versions
 
 
 @pytest.fixture
@@ -49,7 +50,66 @@ def test_a_failed_load_leaves_the_table(spark, tables, load, by):
     load(good.limit(4), tables["x"], partition_by=by)
     assert spark.table(tables["x"]).count() == 4
     names = [t.name for t in spark.catalog.listTables(tables["x"].split(".")[1])]
-    assert names == ["x"]
+    assert [n for n in names if sources.VERSION not in n] == ["x"] and len(names) == 3
+
+
+class Killed(BaseException):
+    """Ends a job without its clean-up, as a kill does."""
+
+
+@pytest.mark.parametrize("by", [(), ("part",)])
+@pytest.mark.parametrize("step", ["before", "write", "point", "clean"])
+def test_a_killed_load_leaves_a_readable_table(spark, tables, monkeypatch, by, step):
+    old, new = (spark.range(n).withColumn("part", F.col("id") % 2) for n in (10, 4))
+    sources.replace_table(old, tables["x"], partition_by=by)
+
+    def stop(*_, **__):
+        raise Killed
+
+    with monkeypatch.context() as m:
+        if step == "before":
+            m.setattr(type(old.write), "saveAsTable", stop)
+        elif step == "write":
+            save = type(old.write).saveAsTable
+            m.setattr(type(old.write), "saveAsTable", lambda self, *a, **b: (save(self, *a, **b), stop()))
+        else:
+            m.setattr(sources, f"_{step}", stop)
+        with pytest.raises(Killed):
+            sources.replace_table(new, tables["x"], partition_by=by)
+    assert spark.table(tables["x"]).count() == (4 if step == "clean" else 10)
+    sources.replace_table(new.limit(3), tables["x"], partition_by=by)
+    assert spark.table(tables["x"]).count() == 3
+    schema = tables["x"].split(".")[1]
+    assert len(spark.catalog.listTables(schema)) == 3
+    home = spark.catalog.getDatabase(schema).locationUri
+    assert len(versions.names(spark, home)) == 2
+
+
+def test_folders_of_unfinished_writes_are_removed(spark, tables):
+    sources.replace_table(spark.range(3), tables["x"])
+    home = spark.catalog.getDatabase(tables["x"].split(".")[1]).locationUri
+    spark.range(5).write.parquet(f"{home}/x{sources.VERSION}00_left")
+    sources.replace_table(spark.range(2), tables["x"])
+    assert not [n for n in versions.names(spark, home) if n.endswith("_left")]
+
+
+def test_a_reader_keeps_the_version_it_began_with(spark, tables):
+    sources.replace_table(spark.range(7), tables["x"])
+    reader = spark.table(tables["x"])
+    sources.replace_table(spark.range(2).withColumn("more", F.lit(1)), tables["x"])
+    assert reader.count() == 7 and spark.table(tables["x"]).columns == ["id", "more"]
+
+
+def test_a_plain_table_is_taken_over(spark, tables):
+    spark.range(6).write.saveAsTable(tables["x"])
+    assert sources.overwrite_slice(spark.range(2), tables["x"]) == 2
+    assert spark.table(tables["x"]).count() == 2 and sources.version_of(spark, tables["x"])
+
+
+def test_pruning_reaches_the_version(spark, tables):
+    sources.replace_table(spark.range(10).withColumn("part", F.col("id") % 5), tables["x"], partition_by=("part",))
+    plan = spark.table(tables["x"]).filter("part = 3")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan and plan.count("Exchange") == 0
 
 
 def test_copy_source(spark, tables):
@@ -87,6 +147,44 @@ def test_snapshot_keeps_the_first_copy_of_a_date(spark, tables):
     assert set(spark.table(past).columns) == set(spark.table(source).columns)
 
 
+@pytest.mark.parametrize("step", ["half", "after", "note"])
+def test_a_killed_snapshot_can_be_repeated(spark, tables, monkeypatch, step):
+    source, past = tables["psi"], tables.history("psi")
+    sources.replace_table(run(spark, 1.0, "2024-01-15T03:00:00"), source)
+    history.snapshot_history(spark, source, past)
+    whole = run(spark, 2.0, "2024-01-16T03:00:00").unionByName(run(spark, 3.0, "2024-01-16T03:00:00"))
+    sources.replace_table(whole, source)
+    if step == "half":  # a part of the date is there, the rest is not
+        spark.table(source).limit(1).select(*spark.table(past + history.ROWS).columns).write.insertInto(past + history.ROWS)
+    else:
+        real = history._replace_date
+
+        def stop(*a, **b):
+            if step == "after":
+                real(*a, **b)
+            raise Killed
+
+        where, name = (history, "_replace_date") if step == "after" else (type(whole.write), "saveAsTable")
+        with monkeypatch.context() as m:
+            m.setattr(where, name, stop)
+            with pytest.raises(Killed):
+                history.snapshot_history(spark, source, past)
+    assert [r.psi for r in spark.table(past).collect()] == [1.0]
+    history.snapshot_history(spark, source, past)
+    assert sorted(r.psi for r in spark.table(past).collect()) == [1.0, 2.0, 3.0]
+    sources.replace_table(run(spark, 9.0, "2024-01-16T09:00:00"), source)
+    history.snapshot_history(spark, source, past)
+    assert sorted(r.psi for r in spark.table(past).collect()) == [1.0, 2.0, 3.0]
+
+
+def test_a_plain_history_is_taken_over(spark, tables):
+    past = tables.history("psi")
+    run(spark, 1.0, "2024-01-15T03:00:00").write.partitionBy("evaluation_date").saveAsTable(past)
+    sources.replace_table(run(spark, 5.0, "2024-01-15T03:00:00").unionByName(run(spark, 2.0, "2024-01-16T03:00:00")), tables["psi"])
+    history.snapshot_history(spark, tables["psi"], past)
+    assert sorted(r.psi for r in spark.table(past).collect()) == [1.0, 2.0]
+
+
 def test_series_prefers_the_current_table(spark):
     past = run(spark, 1.0, "2024-01-15T03:00:00").unionByName(run(spark, 2.0, "2024-01-16T03:00:00"))
     rows = history.series(past, run(spark, 9.0, "2024-01-16T05:00:00")).orderBy("evaluation_date").collect()
