@@ -609,13 +609,80 @@ UNION ALL SELECT DATE '2024-02-04', TIMESTAMP '2024-02-03 16:30:00', {PSI_COLUMN
     "psi_first",
     "psi_daily",
 )
-ORACLE["retrain_trigger"] = sql(
-    f"""SELECT 'psi_daily' AS signal, make_date(2024, 1, "Date") AS period, round(avg(score), 6) AS metric_value, {D('0.25')} AS limit_value,
-  avg(score) >= 0.25 AS retrain FROM sliced WHERE "Date" <= 31 GROUP BY "Date"
-UNION ALL SELECT 'pr_auc_monthly', DATE '2024-01-01', round(avg(m), 6), {D('0.80')}, avg(m) < 0.80
-FROM (SELECT max(score) AS m FROM sliced WHERE "Date" <= 31 GROUP BY "Date")""",
+PERIOD = """CASE WHEN "Date" <= 16 THEN make_date(2024, 1, "Date") ELSE make_date(2024, 2, "Date" - 16) END"""
+part(
+    "psi_days",
+    f"""SELECT "Date", sum((n - o) * ln(n / o)) AS psi FROM (
+  SELECT "Date", i, greatest(n / {D('sum(n) OVER (PARTITION BY "Date")')}, {D('0.0001')}) AS n, greatest(o / {D('total')}, {D('0.0001')}) AS o FROM (
+    SELECT "Date", i, count(*) FILTER (b = i) AS n FROM (SELECT "Date", least(floor(score * 10), 9) AS b FROM sliced WHERE "Date" <= 31), range(10) AS t(i) GROUP BY 1, 2)
+  JOIN (SELECT i, count(*) FILTER (b = i) AS o, count(*) AS total FROM (SELECT least(floor(score * 10), 9) AS b FROM sliced WHERE "Date" BETWEEN 37 AND 50), range(10) AS t(i) GROUP BY 1) USING (i))
+GROUP BY 1""",
+    "sliced",
+)
+ORACLE["psi_by_day"] = sql(f'SELECT "Date", round(psi, 6) AS psi, {PSI_RATING} AS psi_rating FROM psi_days', "psi_days")
+part(
+    "month_order",
+    """SELECT date_trunc('month', period) AS period, class_label, sum(class_label) OVER best AS tp, count(*) OVER best AS n,
+  sum(class_label) OVER (PARTITION BY date_trunc('month', period)) AS n_pos
+FROM (SELECT CAST(Class AS BIGINT) AS class_label, Amount, score, """
+    + PERIOD
+    + """ AS period FROM sliced WHERE "Date" <= 31)
+WINDOW best AS (PARTITION BY date_trunc('month', period) ORDER BY score DESC, Amount, class_label ROWS UNBOUNDED PRECEDING)""",
     "sliced",
 )
+ORACLE["retrain_trigger"] = sql(
+    f"""SELECT 'psi_daily' AS signal, {PERIOD} AS period, round(psi, 6) AS metric_value, {D('0.25')} AS limit_value, psi >= 0.25 AS retrain FROM psi_days
+UNION ALL SELECT 'pr_auc_monthly', CAST(period AS DATE), round(m, 6), {D('0.80')}, m < 0.80
+FROM (SELECT period, sum(CASE WHEN class_label = 1 THEN tp / {D('n')} ELSE 0 END) / max(n_pos) AS m FROM month_order GROUP BY 1)""",
+    "psi_days",
+    "month_order",
+)
+
+
+def single_days() -> None:
+    """The single-table figures, once for each day."""
+    columns = """n_rows, n_pos, n_neg, pr_auc, pr_auc_rating, capture_rate_0_1pct, capture_rate_0_5pct, k_0_1, k_0_5, capture_0_1_rating,
+  capture_0_5_rating, optimal_threshold, min_expected_loss, fn_loss_at_opt, fp_loss_at_opt, tp_cost_at_opt, precision, recall, accuracy, f1_score, log_loss, roc_auc"""
+    figures, curves = [], []
+    for day in range(1, 32):
+        part(f"pred_d{day}", f'SELECT CAST(Class AS BIGINT) AS class_label, Amount AS amount, score AS p FROM sliced WHERE "Date" = {day}', "sliced")
+        score_parts(f"d{day}", f"pred_d{day}")
+        figures.append(f'SELECT CAST({day} AS INT) AS "Date", {columns} FROM imbalance_d{day}, evaluation_d{day}')
+        curves.append(f'SELECT CAST({day} AS INT) AS "Date", * FROM curve_d{day}')
+    part("figures_by_day", " UNION ALL ".join(figures), *[f"{n}_d{d}" for d in range(1, 32) for n in ("imbalance", "evaluation")])
+    part("curves_by_day", " UNION ALL ".join(curves), *[f"curve_d{d}" for d in range(1, 32)])
+
+
+single_days()
+ORACLE["metrics_by_day"] = sql(
+    """SELECT "Date", n_rows, n_pos, n_neg, pr_auc_rating, k_0_1, k_0_5, capture_0_1_rating, capture_0_5_rating, """
+    + ", ".join(
+        f"round({c}, {3 if 'loss_at' in c or 'expected' in c or 'cost_at' in c else 6}) AS {c}"
+        for c in (
+            "pr_auc",
+            "capture_rate_0_1pct",
+            "capture_rate_0_5pct",
+            "optimal_threshold",
+            "min_expected_loss",
+            "fn_loss_at_opt",
+            "fp_loss_at_opt",
+            "tp_cost_at_opt",
+            "precision",
+            "recall",
+            "accuracy",
+            "f1_score",
+            "log_loss",
+            "roc_auc",
+        )
+    )
+    + " FROM figures_by_day",
+    "figures_by_day",
+)
+ORACLE["cost_curve_by_day"] = sql(
+    """SELECT "Date", round(threshold, 3) AS threshold, round(fn_loss, 3) AS fn_loss, round(fp_loss, 3) AS fp_loss, round(tp_cost, 3) AS tp_cost,
+  round(expected_loss, 3) AS expected_loss, tp_count, fn_count, fp_count, tn_count, is_optimal_threshold FROM curves_by_day""",
+    "curves_by_day",
+)
 ORACLE["class_weights"] = sql(
     f"""SELECT CAST(Class AS BIGINT) AS class_label, count(*) AS n, round(sum(count(*)) OVER () / ({D('count(*)')} * count(*) OVER ()), 6) AS class_weight
 FROM txh GROUP BY 1""",

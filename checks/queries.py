@@ -281,13 +281,34 @@ def history_series(spark, sf_dir):
     return rounded(history.series(past, current))
 
 
+def _by_day(df: DataFrame) -> DataFrame:
+    """Every slice number stands for a day of January or, from 17 on, of February 2024."""
+    day = F.col("Date")
+    month = F.when(day <= 16, 1).otherwise(2)
+    return df.withColumn("evaluation_date", F.make_date(F.lit(2024), month, F.when(day <= 16, day).otherwise(day - 16)))
+
+
+def psi_by_day(spark, sf_dir):
+    parts = fixture.scored(spark, sf_dir)
+    return rounded(drift.psi_by(drift.score_histogram(parts["training"]), drift.score_histogram(parts["scoring"], by=["Date"]), ["Date"]))
+
+
+def metrics_by_day(spark, sf_dir):
+    """All score figures of 31 days from one order of the scores."""
+    return _money(scores.metrics_by(fixture.scored(spark, sf_dir)["scoring"]))
+
+
+def cost_curve_by_day(spark, sf_dir):
+    return rounded(scores.cost_curve(fixture.scored(spark, sf_dir)["scoring"], by=["Date"]), 3)
+
+
 def retrain_trigger(spark, sf_dir):
-    """Signals over a series in which every slice number stands for a day of January 2024."""
+    """The signals of two months: the PSI of each day, and the PR-AUC of each month over all its transactions."""
     parts = fixture.scored(spark, sf_dir)
-    day = F.make_date(F.lit(2024), F.lit(1), F.col("Date")).alias("evaluation_date")
-    daily_psi = parts["scoring"].groupBy(day).agg(F.avg("score").alias("psi"))
-    quality = parts["scoring"].groupBy(day).agg(F.max("score").alias("pr_auc"))
-    return rounded(history.retrain_trigger(daily_psi, quality))
+    days = _by_day(parts["scoring"])
+    histogram = drift.score_histogram(days, by=["evaluation_date"])
+    daily_psi = drift.psi_by(drift.score_histogram(parts["training"]), histogram, ["evaluation_date"])
+    return rounded(history.retrain_trigger(daily_psi, scores.score_ladder(days, by=["evaluation_date"])))
 
 
 # --- the trained model: results depend on the trainer, so only the rows are checked ----------------------------
@@ -469,6 +490,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         evaluation_matrix,
         snapshot_history,
         history_series,
+        psi_by_day,
+        metrics_by_day,
+        cost_curve_by_day,
         retrain_trigger,
         train_model,
         predict,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,14 +14,16 @@ from ledgerwatch.functions.columns import clean_double, is_finite
 from ledgerwatch.operators import ordering
 
 
-def score_histogram(df: DataFrame, score: str = "fraud_probability", n_bins: int = config.PSI_BINS) -> DataFrame:
-    """(bin_id, n) over equal-width bins of [0, 1]; at most `n_bins` rows, small enough to store per model version.
+def score_histogram(
+    df: DataFrame, score: str = "fraud_probability", n_bins: int = config.PSI_BINS, by: Sequence[str] = ()
+) -> DataFrame:
+    """(bin_id, n) over equal-width bins of [0, 1], for each group of the columns `by`; at most `n_bins` rows each.
 
     Missing and non-finite scores are left out.
     """
     value = clean_double(score)
     bin_id = F.least(F.floor(value * F.lit(n_bins)).cast("long"), F.lit(n_bins - 1).cast("long"))
-    return df.filter(is_finite(value)).groupBy(bin_id.alias("bin_id")).agg(F.count(F.lit(1)).alias("n"))
+    return df.filter(is_finite(value)).groupBy(*by, bin_id.alias("bin_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _shares(histogram: DataFrame, name: str) -> DataFrame:
@@ -63,6 +66,23 @@ def psi(baseline: DataFrame, daily: DataFrame, n_bins: int = config.PSI_BINS) ->
     return whole.withColumn("psi_rating", ratings.rate_psi(F.col("psi")))
 
 
+def psi_by(baseline: DataFrame, daily: DataFrame, by: Sequence[str], n_bins: int = config.PSI_BINS) -> DataFrame:
+    """(by, psi, psi_rating): the total of `psi` for every group of `daily`, a histogram with the columns `by`, in one pass."""
+    old = baseline.groupBy().pivot("bin_id", list(range(n_bins))).agg(F.sum("n"))
+    sides = old.select(F.array(*[F.coalesce(F.col(f"`{i}`"), F.lit(0)) for i in range(n_bins)]).alias("old_n"))
+    whole = baseline.agg(F.sum("n").alias("old_total")).filter("old_total IS NOT NULL")
+    new_n = F.array(*[F.sum(F.when(F.col("bin_id") == i, F.col("n")).otherwise(F.lit(0))) for i in range(n_bins)])
+    groups = daily.groupBy(*by).agg(new_n.alias("new_n"), F.sum("n").alias("new_total"))
+    both = groups.join(F.broadcast(sides)).join(F.broadcast(whole))  # one row each
+    floor = F.lit(config.PSI_FLOOR)
+
+    def share(side: str, i: int) -> Column:
+        return F.greatest(F.col(f"{side}_n")[i] / F.col(f"{side}_total"), floor)
+
+    total = sum((_contribution(share("old", i), share("new", i)) for i in range(1, n_bins)), _contribution(share("old", 0), share("new", 0)))
+    return both.select(*by, total.alias("psi")).withColumn("psi_rating", ratings.rate_psi(F.col("psi")))
+
+
 def psi_of_scores(
     baseline: DataFrame, daily: DataFrame, score: str = "fraud_probability", daily_score: str | None = None
 ) -> DataFrame:

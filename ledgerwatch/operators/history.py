@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch import config
+from ledgerwatch.operators import scores
 from ledgerwatch.sources.tables import quoted
 
 
@@ -77,8 +78,12 @@ def series(history: DataFrame, current: DataFrame) -> DataFrame:
     return past.select(*current.columns).unionByName(current)
 
 
-def retrain_trigger(psi_series: DataFrame, imbalance_series: DataFrame) -> DataFrame:
-    """Signals to retrain: PSI of a day at or above 0.25, or the month's mean PR-AUC below 0.80."""
+def retrain_trigger(psi_series: DataFrame, ladder_series: DataFrame) -> DataFrame:
+    """Signals to retrain: PSI of a day at or above 0.25, or the month's PR-AUC below 0.80.
+
+    `ladder_series` has the score ladders of all dates (`scores.score_ladder`). A month's PR-AUC is that of all its
+    transactions together, as if they had been scored on one day.
+    """
     daily = psi_series.groupBy("evaluation_date").agg(F.any_value("psi").alias("metric_value")).select(
         F.lit("psi_daily").alias("signal"),
         F.col("evaluation_date").alias("period"),
@@ -86,15 +91,12 @@ def retrain_trigger(psi_series: DataFrame, imbalance_series: DataFrame) -> DataF
         F.lit(config.PSI_ALARM).alias("limit_value"),
         (F.col("metric_value") >= F.lit(config.PSI_ALARM)).alias("retrain"),
     )
-    monthly = (
-        imbalance_series.groupBy(F.trunc("evaluation_date", "month").alias("period"))
-        .agg(F.avg("pr_auc").alias("metric_value"))
-        .select(
-            F.lit("pr_auc_monthly").alias("signal"),
-            "period",
-            "metric_value",
-            F.lit(config.PR_AUC_PASS).alias("limit_value"),
-            (F.col("metric_value") < F.lit(config.PR_AUC_PASS)).alias("retrain"),
-        )
+    months = ladder_series.withColumn("period", F.trunc("evaluation_date", "month"))
+    monthly = scores.pooled_ranking(months, ["period"]).select(
+        F.lit("pr_auc_monthly").alias("signal"),
+        "period",
+        F.col("pr_auc").alias("metric_value"),
+        F.lit(config.PR_AUC_PASS).alias("limit_value"),
+        (F.col("pr_auc") < F.lit(config.PR_AUC_PASS)).alias("retrain"),
     )
     return daily.unionByName(monthly)

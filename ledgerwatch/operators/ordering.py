@@ -66,14 +66,12 @@ def quantiles(
 
 @dataclass(frozen=True)
 class Cuts:
-    """Bucketizer splits of one column, the values that would fill a cell alone, how much of it repeats, and the
-    number of distinct values seen."""
+    """Bucketizer splits of one column, the values that would fill a cell alone, and how much of it repeats."""
 
     splits: tuple[float, ...]
     hot: tuple[float, ...]
     hot_share: float
     repeated_share: float
-    n_values: int
 
     @property
     def tied(self) -> bool:
@@ -95,7 +93,6 @@ def cut_points(found: list[float] | None, n_cells: int) -> Cuts:
         tuple(hot),
         sum(repeats[q] for q in hot) / total,
         sum(times for times in repeats.values() if times > 1) / total,
-        len(repeats),
     )
 
 
@@ -232,11 +229,14 @@ def count_equal(rows: DataFrame, by: list[str], order: list[str], measures: dict
     return to_slots(counted) if tied else counted, totals
 
 
-def prefix_counts(counted: DataFrame, totals: DataFrame, measures: list[str], by: list[str], order: list[str]) -> DataFrame:
+def prefix_counts(
+    counted: DataFrame, totals: DataFrame, measures: list[str], by: list[str], order: list[str], few_groups: bool = True
+) -> DataFrame:
     """Exclusive prefix sums of `measures` along `order`, for a frame that has one row per (by, cell, order).
 
     Adds `before_<m>` and `all_<m>`. The offsets of the cells are joined after the window, so they do not travel with
-    the rows. `totals` has at most a small multiple of `MAX_CELLS` rows, which bounds the broadcast.
+    the rows. `totals` has at most a small multiple of `MAX_CELLS` rows, which bounds the broadcast; where the number of groups
+    is not known to be small, Spark chooses the join.
     """
     others = [c for c in totals.columns if c not in (*by, "cell", *measures)]
     offsets = cell_offsets(totals, [*measures, *others], by).drop(*[f"before_{m}" for m in others])
@@ -244,6 +244,6 @@ def prefix_counts(counted: DataFrame, totals: DataFrame, measures: list[str], by
     inside = Window.partitionBy("slot", *by, "cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     running = counted.withColumns({f"__inside_{m}": F.coalesce(F.sum(m).over(inside), zero) for m in measures})
-    joined = running.join(F.broadcast(offsets), [*by, "cell"])
+    joined = running.join(F.broadcast(offsets) if few_groups else offsets, [*by, "cell"])
     summed = {f"before_{m}": F.col(f"__offset_{m}") + F.col(f"__inside_{m}") for m in measures}
     return joined.withColumns(summed).drop(*[f"__{part}_{m}" for m in measures for part in ("offset", "inside")])

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from ledgerwatch import config
 from ledgerwatch.functions.columns import as_instant, stamp
 from ledgerwatch.operators import drift, explain, history, model, scorecards, scores, separation, slicing
-from ledgerwatch.plans.names import WITH_HISTORY, Tables
+from ledgerwatch.plans.names import POOLED, WITH_HISTORY, Tables
 from ledgerwatch.session import use_checkpoint_dir
 from ledgerwatch.sources.tables import overwrite_slice, replace_table
 
@@ -22,7 +22,7 @@ def ingest_day(spark: SparkSession, tables: Tables, day: int) -> int:
 
 
 def snapshot_all(spark: SparkSession, tables: Tables) -> None:
-    for name in WITH_HISTORY:
+    for name in (*WITH_HISTORY, *POOLED):
         history.snapshot_history(spark, tables[name], tables.history(name))
 
 
@@ -58,9 +58,11 @@ def evaluate_batch(
     put("feature_separation", separation.feature_separation(transactions, features, profile=profile))
     put("woe_bins", separation.woe_bins_from(profile))
     put("kpis", scores.daily_kpis(predictions))
-    put("evaluation", scores.evaluate(predictions))
+    put("score_ladder", scores.score_ladder(predictions))
+    rungs = scores.ladder(scores.scored(predictions))
+    put("evaluation", scores.evaluate(predictions, area=scores.roc_auc(rungs)))
     put("cost_curve", scores.cost_curve(predictions))
-    put("imbalance_metrics", scores.imbalance_metrics(predictions, curve=get("cost_curve")))
+    put("imbalance_metrics", scores.imbalance_metrics(predictions, curve=get("cost_curve"), ranking=scores.ranking_of(rungs)))
     put("psi", drift.psi(get("baseline_histogram"), drift.score_histogram(predictions)))
     put("feature_importance", model.importance_report(get("model_importance")))
     put("global_explain", explain.global_report(get("model_attributions"), audit))
@@ -87,8 +89,8 @@ def whole_series(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
 
 
 def store_signal(spark: SparkSession, tables: Tables) -> None:
-    """The retraining signal from the PSI and the PR-AUC of every date so far."""
-    signal = history.retrain_trigger(whole_series(spark, tables, "psi"), whole_series(spark, tables, "imbalance_metrics"))
+    """The retraining signal from the PSI and the scores of every date so far."""
+    signal = history.retrain_trigger(whole_series(spark, tables, "psi"), whole_series(spark, tables, "score_ladder"))
     replace_table(signal, tables["retrain_signal"])
 
 

@@ -16,6 +16,8 @@ WITH_HISTORY = (
     "cost_curve",
     "psi",
 )
+# Kept by date as well: what a month's figures are pooled from.
+POOLED = ("score_ladder",)
 
 
 @dataclass(frozen=True)

@@ -111,3 +111,51 @@ def test_rows_without_a_label_do_not_count(spark):
     rows = [(1, 1.0, 0.9), (0, 1.0, 0.1), (None, 1.0, 0.9)]
     got = scores.evaluate(spark.createDataFrame(rows, "Class int, Amount double, fraud_probability double")).first()
     assert got.log_loss == pytest.approx(-math.log(0.9)) and got.accuracy == 1.0
+
+
+def random_scores(spark, n, levels, seed):
+    rng = np.random.default_rng(seed)
+    rows = [(int(d), float(p), float(a), None if c == 2 else int(c)) for d, p, a, c in zip(rng.integers(1, 4, n), rng.integers(0, levels, n) / levels, rng.integers(0, 5, n), rng.choice([0, 1, 2], n, p=[0.6, 0.3, 0.1]))]
+    return spark.createDataFrame(rows, "Date int, fraud_probability double, Amount double, Class int").repartition(5)
+
+
+def auc(rows):
+    pos, neg = ([r.fraud_probability for r in rows if r.Class == c] for c in (1, 0))
+    return sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg)) if pos and neg else None
+
+
+@pytest.mark.parametrize("n, levels", [(400, 3), (400, 1), (300, 1000), (6000, 4)])
+def test_roc_auc_from_the_order(spark, n, levels):
+    df = random_scores(spark, n, levels, levels)
+    rungs = scores.ladder(scores.scored(df))
+    assert levels > 4 or rungs.hot  # frequent scores lie in several cells
+    assert scores.roc_auc(rungs).first().roc_auc == pytest.approx(auc(df.collect()))
+    by = scores.roc_auc(scores.ladder(scores.scored(df, by=["Date"]), ["Date"]))
+    for r in by.collect():
+        assert r.roc_auc == pytest.approx(auc(df.filter(F.col("Date") == r.Date).collect()))
+
+
+def test_roc_auc_without_one_class(spark):
+    df = random_scores(spark, 50, 10, 1).filter("Class = 0")
+    assert scores.roc_auc(scores.ladder(scores.scored(df))).first().roc_auc is None
+    assert scores.evaluate(df).first().roc_auc is None
+
+
+@pytest.mark.parametrize("levels", [3, 500])
+def test_all_days_at_once_equal_single_days(spark, levels):
+    df = random_scores(spark, 900, levels, 7)
+    together = {r.Date: r for r in scores.metrics_by(df).collect()}
+    assert sorted(together) == [1, 2, 3]
+    for day, got in together.items():
+        one = df.filter(F.col("Date") == day)
+        for want in (scores.imbalance_metrics(one).first(), scores.evaluate(one).first()):
+            for name, value in want.asDict().items():
+                assert got[name] == (pytest.approx(value) if isinstance(value, float) else value), name
+
+
+def test_pooled_ladders_equal_single_rows(spark):
+    df = random_scores(spark, 700, 40, 3)
+    stored = scores.score_ladder(df, by=["Date"])
+    assert stored.count() < df.count()
+    want, got = scores.ranking_metrics(scores.scored(df)).first(), scores.pooled_ranking(stored).first()
+    assert got.asDict() == {k: pytest.approx(v) if isinstance(v, float) else v for k, v in want.asDict().items()}

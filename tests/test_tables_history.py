@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import stamp
-from ledgerwatch.operators import history
+from ledgerwatch.operators import history, scores
 from ledgerwatch.plans.names import WITH_HISTORY, Tables
 from ledgerwatch.sources import tables as sources
 from ledgerwatch.sources import versions
@@ -198,15 +198,15 @@ def test_stamp_uses_the_business_date(spark):
 
 def test_retrain_trigger(spark):
     psi = spark.createDataFrame([(date(2024, 1, 1), 0.3), (date(2024, 1, 2), 0.1)], "evaluation_date date, psi double")
-    quality = spark.createDataFrame(
-        [(date(2024, 1, 1), 0.9), (date(2024, 1, 2), 0.6), (date(2024, 2, 1), 0.85)], "evaluation_date date, pr_auc double"
-    )
-    got = {(r.signal, r.period): r.retrain for r in history.retrain_trigger(psi, quality).collect()}
+    rows = [(date(2024, 1, 1), 0.9, 1), (date(2024, 1, 1), 0.8, 0), (date(2024, 1, 2), 0.85, 0), (date(2024, 1, 2), 0.7, 1), (date(2024, 2, 1), 0.5, 1)]
+    scored = spark.createDataFrame([(*r, 5.0) for r in rows], "evaluation_date date, fraud_probability double, Class int, Amount double")
+    ladders = scores.score_ladder(scored, by=["evaluation_date"])
+    got = {(r.signal, r.period): (r.metric_value, r.retrain) for r in history.retrain_trigger(psi, ladders).collect()}
     assert got == {
-        ("psi_daily", date(2024, 1, 1)): True,
-        ("psi_daily", date(2024, 1, 2)): False,
-        ("pr_auc_monthly", date(2024, 1, 1)): True,
-        ("pr_auc_monthly", date(2024, 2, 1)): False,
+        ("psi_daily", date(2024, 1, 1)): (0.3, True),
+        ("psi_daily", date(2024, 1, 2)): (0.1, False),
+        ("pr_auc_monthly", date(2024, 1, 1)): (pytest.approx((1 + 2 / 4) / 2), True),  # pooled: 1 of 1, then 2 of 4
+        ("pr_auc_monthly", date(2024, 2, 1)): (1.0, False),
     }
 
 
