@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.session import use_checkpoint_dir
@@ -15,17 +15,53 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
 
 
+_tables: dict[str, str] = {}
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet into the shared folder and read it back: lineage ends there, and it survives lost executors.
 
-    The folder is removed when the session's file system is closed.
+    The table is removed by `forget`, by the next stage of a pipeline (`forget_before`), or when the session ends.
     """
     spark = df.sparkSession
     path = f"{use_checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    files, where = _files(spark, path)
+    files.deleteOnExit(where)
+    _tables[path] = spark.sparkContext.applicationId
+    out = spark.read.schema(df.schema).parquet(path)
+    out._work_table = path
+    return out
+
+
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, where = _files(spark, path)
+    files.delete(where, True)
+    _tables.pop(path, None)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove work tables that nothing reads any more."""
+    for table in tables:
+        _remove(table.sparkSession, table._work_table)
+
+
+def forget_before(docs: DataFrame) -> None:
+    """Remove the work tables that earlier operators of this session left, where `docs` is a stored table and reads none of them.
+
+    For stages that run one after the other, each on the written result of the one before.
+    """
+    spark = docs.sparkSession
+    old = [path for path, session in _tables.items() if session == spark.sparkContext.applicationId]
+    read = docs.inputFiles()
+    if read and not any("/llm/" in f and p.rsplit("/", 1)[1] in f for f in read for p in old):
+        for path in old:
+            _remove(spark, path)
 
 
 def text_of(docs: DataFrame, text: str = "text") -> Column:

@@ -12,7 +12,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgerwatch.llm import divergence, fill_middle, packing
+from pyspark.sql import functions as F
+from test_operators_llm import brute_components
+
+from ledgerwatch.llm import decontamination, divergence, fill_middle, near_dup, packing
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -346,3 +349,81 @@ def test_neighbours_share_windows(spark):
         windows[r.sequence_id].append(r.id % 4)
     alike = sum(Counter(w).most_common(1)[0][1] for w in windows.values()) / sum(map(len, windows.values()))
     assert alike > 0.8
+
+
+# --- rows of one id, null ids, and the pipeline ------------------------------------------------------------------
+
+
+def test_deduplication_loses_no_text(spark):
+    a, b, c = (" ".join(f"{w}{k}" for k in range(30)) for w in ("alpha", "one", "red"))
+    near_b = b.replace("one0 ", "other ")
+    rows = [(5, a), (5, b), (6, b), (7, near_b), (None, c), (None, c), (None, b), (8, "  "), (9, None), (None, ""), (5, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in near_dup.deduplicated(docs).collect()]
+    assert in_order(kept) == in_order([(5, a), (5, b), (None, c), (8, "  "), (9, None), (None, "")])
+    found = {(r.id, r.component_id, r.kept) for r in near_dup.near_duplicates(docs).collect()}
+    assert found == {(5, 5, True), (6, 5, False), (7, 5, False), (None, None, True), (None, 5, False), (8, 8, True), (9, 9, True)}
+
+
+def test_near_duplicates_with_a_hot_id_and_copies(spark):
+    base = [f"w{k}" for k in range(40)]
+    rows = [(1, " ".join(base)) for _ in range(300)] + [(1, " ".join(base[:-1] + [f"x{n}"])) for n in range(100)] + [(n, f"only {n} " * 9) for n in range(2, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    kept = near_dup.deduplicated(docs, k=2).collect()
+    assert sum(r.text.startswith("w0") for r in kept) == 1
+    assert near_dup.near_duplicates(docs, k=2).filter("component_id = 1").count() == 400
+
+
+def test_dense_sets_are_found_without_hubs_too(spark, monkeypatch):
+    """Groups of texts about one base, at 0.8 to its neighbours and 0.2 to 0.7 to most others, in nodes that are large."""
+    rng = random.Random(1)
+    base = [f"b{k}" for k in range(60)]
+    docs, i = [], 0
+    for group in range(60):
+        own = base[:20] + [f"g{group}_{k}" for k in range(80)]
+        for _ in range(6):
+            text = list(own)
+            for at in rng.sample(range(20, 100), 3):
+                text[at] = f"z{rng.randrange(10**9)}"
+            docs.append((i, " ".join(text)))
+            i += 1
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    want = brute_components(docs, 2)
+    pairs = Counter(want.values())
+    for alike in (near_dup.ALIKE, -1):
+        monkeypatch.setattr(near_dup, "ALIKE", alike)
+        got = {r.id: r.component_id for r in near_dup.near_duplicates(df, k=2).collect()}
+        joined = sum(got[d] == got[want[d]] for d in want if d != want[d])
+        assert joined >= 0.99 * sum(n - 1 for n in pairs.values())
+        assert all(want[d] == want[got[d]] for d in want)
+
+
+def test_clean_rows_go_by_text(spark):
+    item = " ".join(f"bench{k}" for k in range(20))
+    rows = [(None, f"before {item} after"), (None, f"once more {item}"), (None, "clean words only here"), (5, item), (5, "a clean text of five")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(r.text for r in decontamination.clean_rows(docs, benchmark).collect()) == ["a clean text of five", "clean words only here"]
+
+
+def test_pipeline_on_odd_and_empty_input(spark, odd, none, tmp_path):
+    import corpus_pipeline
+
+    item = " ".join(f"bench{k}" for k in range(20))
+    folder = str(tmp_path / "data")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    long_text = " ".join(f"word{k}" for k in range(30))
+    extra = spark.createDataFrame([(None, f"{long_text} {n}" + (f" {item}" if n == 2 else ""), "en", None, False, n) for n in range(3)], odd.schema)
+    for name, docs in (("odd", odd.unionByName(extra).withColumn("shard", F.lit("x"))), ("none", none)):
+        docs.write.parquet(f"{folder}/{name}.parquet")
+        read = spark.read.parquet(f"{folder}/{name}.parquet")
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, read, folder).write.parquet(f"{folder}/{name}-{k}")
+            read = spark.read.parquet(f"{folder}/{name}-{k}")
+        assert [c for c in read.columns if c in docs.columns] == docs.columns
+        if name == "none":
+            assert read.count() == 0
+            continue
+        texts = {r.text for r in read.collect()}
+        assert all(item not in t for t in texts) and any(t.startswith(long_text) for t in texts)
+        assert sum(t.startswith("One two three") for t in texts) == 1 and "" not in texts
