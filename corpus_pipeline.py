@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerwatch.llm import decontamination, mixing, near_dup, quality_rules, sharding
+from ledgerwatch.llm.store import forget_before
 from ledgerwatch.session import use_checkpoint_dir
 
 SHARD_BYTES = 1 << 20
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,16 +37,33 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the shard they belong to."""
-    return sharding.shard(docs, SHARD_BYTES)
+    """Documents with the shard they belong to; the names of the new columns get a prefix where `docs` has such columns."""
+    added, prefix = ("shard", "shard_depth", "shard_bytes", "row_bytes"), ""
+    while any(prefix + name in docs.columns for name in added):
+        prefix += "new_"
+    return sharding.shard(docs, SHARD_BYTES, prefix_name=prefix)
 
 
-STAGES = [
-    ("quality_rules", quality),
-    ("minhash_near_dedup", near_dedup),
-    ("benchmark_decontamination", decontaminate),
-    ("source_mixing", mix),
-    ("sharding", shard),
+def _tidy(stage: Stage) -> Stage:
+    """The stage, after the work tables of the stages before it are removed: its input is their written result."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        forget_before(docs)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+# Every stage keeps all columns of its input. Null, empty and very long texts, null ids, ties and repeated rows are handled as the
+# docstring of each operator says: without words a document fails the quality rules, so none reaches the other stages; equal
+# texts are one document after near-dedup. Empty input: empty result.
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", _tidy(quality)),
+    ("minhash_near_dedup", _tidy(near_dedup)),
+    ("benchmark_decontamination", _tidy(decontaminate)),
+    ("source_mixing", _tidy(mix)),
+    ("sharding", _tidy(shard)),
 ]
 
 
