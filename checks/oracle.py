@@ -75,24 +75,24 @@ long_part("long_ev", "ev", ("value", "Hour"))
 
 
 def separation_parts(tag: str, long: str) -> None:
+    # The distribution function of each class where it rises, read off at every value of the feature.
+    part(f"edf_{tag}", f"SELECT DISTINCT feature_name, class_label, feature_value, cume_dist() OVER (PARTITION BY feature_name, class_label ORDER BY feature_value) AS edf FROM {long}", long)
     part(
-        f"cdf_{tag}",
-        f"""SELECT *,
-  sum(n_pos) OVER (PARTITION BY feature_name) AS total_pos,
-  sum(n_neg) OVER (PARTITION BY feature_name) AS total_neg,
-  sum(n_pos) OVER (PARTITION BY feature_name ORDER BY feature_value) AS cum_pos,
-  sum(n_neg) OVER (PARTITION BY feature_name ORDER BY feature_value) AS cum_neg
-FROM (SELECT feature_name, feature_value, count(*) FILTER (class_label = 1) AS n_pos, count(*) FILTER (class_label = 0) AS n_neg
-  FROM {long} GROUP BY 1, 2)""",
-        long,
+        f"gaps_{tag}",
+        f"""SELECT v.feature_name, max(abs(coalesce(a.edf, 0) - coalesce(b.edf, 0))) AS ks_statistic FROM (SELECT DISTINCT feature_name, feature_value FROM {long}) AS v
+ASOF LEFT JOIN (FROM edf_{tag} WHERE class_label = 1) AS a ON v.feature_name = a.feature_name AND v.feature_value >= a.feature_value
+ASOF LEFT JOIN (FROM edf_{tag} WHERE class_label = 0) AS b ON v.feature_name = b.feature_name AND v.feature_value >= b.feature_value GROUP BY 1""",
+        f"edf_{tag}",
     )
+    # Cliff's delta is 2 U / (n_pos n_neg) - 1, with U the rank sum of the positives, ties at their mean rank, less its least value.
     part(
         f"ranked_{tag}",
-        f"""SELECT feature_name,
-  max(abs(cum_pos / {D('total_pos')} - cum_neg / {D('total_neg')})) AS ks_statistic,
-  (sum(n_pos * (cum_neg - n_neg)) - sum(n_pos * (total_neg - cum_neg))) / {D('max(total_pos) * max(total_neg)')} AS cliffs_delta
-FROM cdf_{tag} WHERE total_pos > 0 AND total_neg > 0 GROUP BY feature_name""",
-        f"cdf_{tag}",
+        f"""SELECT feature_name, ks_statistic, (2 * rank_sum - n_pos * (n_pos + 1)) / (n_pos * n_neg) - 1 AS cliffs_delta FROM gaps_{tag} JOIN (
+  SELECT feature_name, sum(mid_rank) FILTER (class_label = 1) AS rank_sum, {D('count(*) FILTER (class_label = 1)')} AS n_pos, {D('count(*) FILTER (class_label = 0)')} AS n_neg
+  FROM (SELECT *, rank() OVER (PARTITION BY feature_name ORDER BY feature_value) + (count(*) OVER (PARTITION BY feature_name, feature_value) - 1) / {D('2')} AS mid_rank
+    FROM {long}) GROUP BY 1) USING (feature_name) WHERE n_pos > 0 AND n_neg > 0""",
+        long,
+        f"gaps_{tag}",
     )
     part(
         f"z_{tag}",
@@ -152,6 +152,7 @@ LEFT JOIN z_{tag} AS z ON k.feature_name = z.feature_name""",
     )
 
 
+# Rating labels and their limits, which results must agree on.
 KS = """CASE WHEN ks_statistic >= 0.50 THEN '卓越' WHEN ks_statistic >= 0.40 THEN '優秀' WHEN ks_statistic >= 0.20 THEN '許容' ELSE '分離能不足' END"""
 IV = """CASE WHEN information_value >= 0.50 THEN '過学習疑い' WHEN information_value >= 0.30 THEN '強い予測力' WHEN information_value >= 0.10 THEN '中程度' WHEN information_value >= 0.02 THEN '弱い予測力' ELSE '無効変数' END"""
 DELTA = """CASE WHEN abs(cliffs_delta) >= 0.474 THEN 'Large' WHEN abs(cliffs_delta) >= 0.330 THEN 'Medium' WHEN abs(cliffs_delta) >= 0.147 THEN 'Small' ELSE 'Negligible' END"""
@@ -240,6 +241,31 @@ part(
     "ranked_tx",
     "shape_tx",
 )
+ORACLE["feature_report_bins"] = sql("SELECT feature_name AS feature, CAST(bin_id AS BIGINT) AS bin_id, round(woe, 6) AS woe FROM bins_floor_tx", "bins_floor_tx")
+# One day's exact p-values: the chance of i positives after t values, step by step; what reaches the bound stops and counts.
+part(
+    "day_long",
+    " UNION ALL ".join(f"""SELECT Class AS c, '{f}' AS feature, CAST("{f}" AS DOUBLE) AS v FROM sliced WHERE "Date" = 15""" for f in ("V1", "V2", "V3", "Amount", "Hour")),
+    "sliced",
+)
+part(
+    "day_bound",
+    """SELECT feature, max(n1) AS m, max(n0) AS n, max(abs(i * n0 - (t - i) * n1)) AS h FROM (
+  SELECT feature, v, sum(c) OVER upto AS i, count(*) OVER upto AS t, sum(c) OVER whole AS n1, sum(1 - c) OVER whole AS n0 FROM day_long
+  WINDOW upto AS (PARTITION BY feature ORDER BY v), whole AS (PARTITION BY feature)) GROUP BY 1""",
+    "day_long",
+)
+part(
+    "paths",
+    f"""SELECT feature, 0 AS t, 0 AS i, {D('1')} AS p, m, n, h, FALSE AS reached FROM day_bound
+UNION ALL SELECT feature, t + 1, k, sum(q), m, n, h, abs(k * n - (t + 1 - k) * m) >= h FROM (
+  SELECT feature, t, i + up AS k, p * CASE up WHEN 1 THEN m - i ELSE n - (t - i) END / (m + n - t) AS q, m, n, h
+  FROM paths, (SELECT unnest([0, 1]) AS up) WHERE NOT reached AND t < m + n) WHERE q > 0 GROUP BY feature, t, k, m, n, h""",
+    "day_bound",
+)
+ORACLE["exact_ks_pvalue"] = sql(
+    """SELECT feature, round(h / (m * n), 6) AS ks_statistic, round(coalesce(sum(p) FILTER (reached), 0), 6) AS ks_pvalue FROM paths GROUP BY feature, m, n, h""", "paths"
+).replace("WITH ", "WITH RECURSIVE ", 1)
 ORACLE["feature_report"] = sql(
     f"""SELECT k.feature_name AS feature, round(z_score_diff, 6) AS z_score_diff, round(ks_statistic, 6) AS ks_statistic,
   round(ks_pvalue, 6) AS ks_pvalue, round(cliffs_delta, 6) AS cliffs_delta, round(skewness, 6) AS skewness_fraud,

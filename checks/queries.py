@@ -114,6 +114,18 @@ def feature_report(spark, sf_dir):
     )
 
 
+def feature_report_bins(spark, sf_dir):
+    report = separation.feature_report(fixture.with_hour(spark, sf_dir), FEATURES)
+    bins = report.select("feature", F.posexplode("woe_bins").alias("at", "woe"))
+    return rounded(bins.select("feature", (F.col("at") + 1).cast("long").alias("bin_id"), "woe"))
+
+
+def exact_ks_pvalue(spark, sf_dir):
+    """The exact p-values of one day, whose positives are few."""
+    report = separation.feature_report(slicing.stored_day(fixture.stored(spark, sf_dir), 15), FEATURES, pvalue="exact")
+    return rounded(report.select("feature", "ks_statistic", "ks_pvalue"))
+
+
 def sampled_cliffs_delta(spark, sf_dir):
     df = fixture.with_hour(spark, sf_dir)
     draw = (F.col("Time") * F.lit(7919.0) + F.floor(F.col("Amount") * F.lit(100.0) + F.lit(0.5)).cast("double")) % F.lit(9973.0)
@@ -473,6 +485,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feature_separation_events,
         woe_bins,
         feature_report,
+        feature_report_bins,
+        exact_ks_pvalue,
         sampled_cliffs_delta,
         psi,
         psi_by_edges,

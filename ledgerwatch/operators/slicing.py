@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 from zoneinfo import ZoneInfo
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerwatch import config
 from ledgerwatch.functions.columns import clean_double
 from ledgerwatch.operators import ordering
+from ledgerwatch.session import use_checkpoint_dir
 
 COPIES_PER_CHUNK = 100_000
 
@@ -61,13 +63,19 @@ def assign_pseudo_day(
     So a row's slice depends neither on how the input is split, nor on the order of its columns, nor on derived columns:
     a table sliced before and after `add_hour` gets the same slices. The hash spreads frequent keys over cells. Rank inside an order cell is a window; the cells before it come from a small broadcast.
     Cells that hold copies of one and the same row are collapsed to a count first and written out again in chunks.
+    A sample is read while the plan is built.
     """
+    ties = list(tie_break) if tie_break is not None else tie_columns(df)
+    return _dealt(df, n, order, ties, F.xxhash64(*[F.col(f"`{c}`") for c in ties])).select(*df.columns, "Date")
+
+
+def _dealt(df: DataFrame, n: int, order: Sequence[str], ties: list[str], row_hash: Column) -> DataFrame:
+    """The rows of `df` with Date, and with `__copies`, the number of rows equal to theirs in order, hash and ties."""
     source = list(df.columns)
     rows = df.filter(F.col(order[0]).isNotNull())
     keys = [f"__key_{i}" for i in range(len(order))]
     keyed = rows.withColumns({k: clean_double(c) for k, c in zip(keys, order)})
-    ties = list(tie_break) if tie_break is not None else tie_columns(df)
-    keyed = keyed.withColumn("__row_hash", F.xxhash64(*[F.col(f"`{c}`") for c in ties]))
+    keyed = keyed.withColumn("__row_hash", row_hash)
     keyed = keyed.withColumn("__hash_key", F.col("__row_hash").cast("double"))
     cells = ordering.plan_cells(keyed, [*keys, "__hash_key"])
     celled = cells.assign(keyed)
@@ -79,9 +87,10 @@ def assign_pseudo_day(
     copies = cells.is_hot_key()
     single = celled if not cells.hot_last else celled.filter(~copies)
     inside = F.row_number().over(Window.partitionBy("slot", "cell").orderBy(*position))
-    ranked = ordering.to_slots(single).withColumn("__inside", inside.cast("long")).join(F.broadcast(offsets), "cell")
+    equal = F.count(F.lit(1)).over(Window.partitionBy("slot", "cell", *position))
+    ranked = ordering.to_slots(single).withColumns({"__inside": inside.cast("long"), "__copies": equal}).join(F.broadcast(offsets), "cell")
     dated = ranked.withColumn("Date", _slice(F.col("before_n") + F.col("__inside") - 1, n))
-    result = dated.select(*source, "Date")
+    result = dated.select(*source, "Date", "__copies")
     if cells.hot_last:
         result = result.unionByName(_deal_copies(celled.filter(copies), offsets, source, position, n))
     return result
@@ -107,12 +116,55 @@ def _deal_copies(rows: DataFrame, offsets: DataFrame, source: list[str], positio
     spread = chunked.repartition("__from", "__row_hash")
     until = F.least(F.col("__from") + step, F.col("__copies")) - 1
     each = spread.withColumn("__copy", F.explode(F.sequence(F.col("__from"), until)))
-    return each.withColumn("Date", _slice(F.col("__start") + F.col("__copy"), n)).select(*source, "Date")
+    return each.withColumn("Date", _slice(F.col("__start") + F.col("__copy"), n)).select(*source, "Date", "__copies")
+
+
+ROW_KEY = ("__row_hash_a", "__row_hash_b")
+BROADCAST_KEYS = 1_000_000
+
+
+def _row_key(df: DataFrame) -> list[Column]:
+    ties = [F.col(f"`{c}`") for c in tie_columns(df)]
+    return [F.xxhash64(*ties).alias(ROW_KEY[0]), F.xxhash64(F.lit(1), *ties).alias(ROW_KEY[1])]
 
 
-def extract_day(df: DataFrame, day: int) -> DataFrame:
-    """One slice of a raw table. A table that is stored by `Date` should be read with `stored_day` instead."""
-    return assign_pseudo_day(df).filter(F.col("Date") == check_day(day))
+def order_index(df: DataFrame, n: int = config.SLICE_COUNT, order: Sequence[str] = config.SLICE_ORDER) -> DataFrame:
+    """(row key, Date, n_rows, copies): for each row, named by 128 bits of hash, the slices that its copies are dealt to.
+
+    Only the order columns and the hashes are ordered and shuffled. Store it to take many slices out of one raw table.
+    """
+    narrow = df.select(*order, *_row_key(df))
+    dealt = _dealt(narrow, n, order, [ROW_KEY[1]], F.col(ROW_KEY[0]))
+    return dealt.groupBy(*ROW_KEY, "Date").agg(F.count(F.lit(1)).alias("n_rows"), F.max("__copies").alias("copies"))
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = f"{use_checkpoint_dir(df.sparkSession)}/{name}_{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def extract_day(df: DataFrame, day: int, index: DataFrame | None = None) -> DataFrame:
+    """One slice of a raw table. A table that is stored by `Date` should be read with `stored_day` instead.
+
+    The slice is chosen on narrow keys (`order_index`, or a stored one) and written to the shared folder, which runs while the
+    plan is built. The rows themselves are then read once and matched with it where they are: up to BROADCAST_KEYS
+    chosen keys are broadcast, beyond that Spark joins them.
+    """
+    found = index if index is not None else order_index(df)
+    chosen = _kept(found.filter(F.col("Date") == check_day(day)).drop("Date"), "chosen_rows")
+    if chosen.count() <= BROADCAST_KEYS:
+        chosen = F.broadcast(chosen)
+    rows = df.select("*", *_row_key(df)).join(chosen, list(ROW_KEY))
+    names = [F.col(f"`{c}`") for c in df.columns]
+    out = rows.filter(F.col("n_rows") == F.col("copies")).select(*names)
+    if not chosen.filter(F.col("n_rows") < F.col("copies")).isEmpty():  # copies of one row in several slices: this one's share
+        one = rows.filter(F.col("n_rows") < F.col("copies")).dropDuplicates(list(ROW_KEY))
+        first = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_rows"), F.lit(COPIES_PER_CHUNK).cast("long"))).alias("__from")
+        chunks = one.select("*", first).repartition("__from", *ROW_KEY)
+        last = F.least(F.col("__from") + F.lit(COPIES_PER_CHUNK - 1), F.col("n_rows"))
+        out = out.unionByName(chunks.withColumn("__copy", F.explode(F.sequence("__from", last))).select(*names))
+    return out.withColumn("Date", F.lit(day))
 
 
 def stored_day(sliced: DataFrame, day: int) -> DataFrame:

@@ -1,4 +1,5 @@
 import math
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -190,3 +191,40 @@ def test_cut_points_isolate_frequent_values():
     assert math.nextafter(0.0, 1.0) in cuts.splits
     smooth = ordering.cut_points([float(i) for i in range(255)], 32)
     assert not smooth.tied and len(smooth.splits) == 33
+
+
+def enumerated_pvalue(gap, m, n):
+    """Share of all orders of m and n values in which the distance reaches the bound."""
+    hits = total = 0
+    for places in combinations(range(m + n), m):
+        i = j = 0
+        reached = False
+        for t in range(m + n):
+            i, j = (i + 1, j) if t in places else (i, j + 1)
+            reached = reached or abs(i * n - j * m) >= gap
+        hits, total = hits + reached, total + 1
+    return hits / total
+
+
+@pytest.mark.parametrize("m, n", [(1, 1), (1, 5), (3, 4), (4, 4), (5, 6), (2, 9)])
+def test_exact_pvalue_equals_enumeration(m, n):
+    for gap in range(m * n + 2):
+        assert separation.exact_pvalue(gap, m, n) == pytest.approx(enumerated_pvalue(gap, m, n), abs=1e-12), gap
+        assert separation.exact_pvalue(gap, n, m) == separation.exact_pvalue(gap, m, n)
+
+
+def test_exact_pvalue_keeps_small_values_and_nears_the_limit():
+    full = separation.exact_pvalue(60 * 60, 60, 60)
+    assert full == pytest.approx(2 / math.comb(120, 60), rel=1e-9)
+    scaled = 0.05 * math.sqrt(2000 * 3000 / 5000)
+    limit = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * scaled * scaled) for k in range(1, 50))
+    assert separation.exact_pvalue(round(0.05 * 2000 * 3000), 2000, 3000) == pytest.approx(limit, abs=0.01)
+
+
+def test_report_with_exact_pvalues(spark):
+    rows = [(0, v) for v in (0.0, 1.0, 1.5, 2.0)] + [(1, v) for v in (1.0, 2.0, 3.0, 10.0)]
+    df = spark.createDataFrame([(c, v) for c, v in rows], "Class int, x double")
+    got = separation.feature_report(df, ["x"], pvalue="exact").first()
+    assert got.ks_statistic == 0.5 and got.ks_pvalue == pytest.approx(enumerated_pvalue(8, 4, 4))
+    with pytest.raises(ValueError):
+        separation.feature_report(df, ["x"], pvalue="other")

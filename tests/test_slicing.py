@@ -119,3 +119,24 @@ def test_ties_get_the_same_slice_with_and_without_derived_columns(spark):
     turned = {r.V2: r.Date for r in slicing.assign_pseudo_day(df.select("V2", "V1", "Time", "Amount")).collect()}
     assert plain == with_hour == turned
     assert {r.V2 for r in slicing.extract_day(df, 15).collect()} == {v for v, d in with_hour.items() if d == 15}
+
+
+def test_one_slice_shuffles_no_feature_column(spark):
+    df = make(spark, random_rows(500)).withColumn("V9", F.col("V1") * 2)
+    plan = slicing.extract_day(df, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("keys", [slicing.BROADCAST_KEYS, 0])
+def test_single_slices_equal_those_of_the_whole_table(spark, monkeypatch, keys):
+    """With ties, with copies of one row that are dealt to all slices, and with either join."""
+    monkeypatch.setattr(slicing, "BROADCAST_KEYS", keys)
+    monkeypatch.setattr(slicing, "COPIES_PER_CHUNK", 40)
+    df = make(spark, random_rows(300) + [(5.0, 1.0, 1.0, 0)] * 4000 + [(7.0, 2.0, 2.0, 1)] * 30)
+    whole = slicing.assign_pseudo_day(df).checkpoint()
+    index = slicing.order_index(df).checkpoint()
+    for day in (1, 20, 50):
+        want = whole.filter(F.col("Date") == day)
+        for got in (slicing.extract_day(df, day), slicing.extract_day(df, day, index)):
+            assert got.columns == want.columns
+            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
