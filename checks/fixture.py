@@ -11,6 +11,7 @@ from ledgerwatch.config import ScoreColumns
 from ledgerwatch.operators import model, slicing
 from ledgerwatch.plans.names import Tables
 from ledgerwatch.session import use_checkpoint_dir
+from ledgerwatch.sources import sketches
 from ledgerwatch.sources.tables import replace_table
 
 FEATURES = ("V1", "V2", "V3", "Amount", "Hour")
@@ -85,6 +86,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> Tables:
     if key not in _work:
         tables = work_tables(spark, "sliced")
         replace_table(sliced(spark, sf_dir), tables["converted"], partition_by=("Date",))
+        replace_table(sketches.sketches(spark.table(tables["converted"]), [*FEATURES, "score"]), tables["converted_sketches"])
         _work[key] = tables
     return _work[key]
 
@@ -93,6 +95,11 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_tables(spark, sf_dir)["converted"])
 
 
+def cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quantile sketches that are stored with the sliced table."""
+    return spark.table(_tables(spark, sf_dir)["converted_sketches"])
+
+
 def trained(spark: SparkSession, sf_dir: str, name: str = "model", **options) -> tuple:
     """(model, path), trained once per session and data set."""
     key = (spark.sparkContext.applicationId, sf_dir, name)

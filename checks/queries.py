@@ -93,7 +93,7 @@ def information_value_floor(spark, sf_dir):
 
 
 def feature_separation(spark, sf_dir):
-    return rounded(separation.feature_separation(fixture.with_hour(spark, sf_dir), FEATURES))
+    return rounded(separation.feature_separation(fixture.stored(spark, sf_dir), FEATURES, cuts=fixture.cuts(spark, sf_dir)))
 
 
 def feature_separation_events(spark, sf_dir):
@@ -138,11 +138,11 @@ def sampled_cliffs_delta(spark, sf_dir):
 
 
 def pr_auc(spark, sf_dir):
-    return rounded(scores.pr_auc(fixture.transactions(spark, sf_dir), SCORE))
+    return rounded(scores.pr_auc(fixture.stored(spark, sf_dir), SCORE, fixture.cuts(spark, sf_dir)))
 
 
 def capture_rate(spark, sf_dir):
-    return rounded(scores.capture_rate(fixture.transactions(spark, sf_dir), 0.005, SCORE))
+    return rounded(scores.capture_rate(fixture.stored(spark, sf_dir), 0.005, SCORE, fixture.cuts(spark, sf_dir)))
 
 
 def cost_curve(spark, sf_dir):
@@ -154,7 +154,7 @@ def optimal_threshold(spark, sf_dir):
 
 
 def imbalance_metrics(spark, sf_dir):
-    return _money(scores.imbalance_metrics(fixture.transactions(spark, sf_dir), SCORE))
+    return _money(scores.imbalance_metrics(fixture.stored(spark, sf_dir), SCORE, cuts=fixture.cuts(spark, sf_dir)))
 
 
 def _money(df: DataFrame) -> DataFrame:
@@ -163,7 +163,7 @@ def _money(df: DataFrame) -> DataFrame:
 
 
 def evaluate_scores(spark, sf_dir):
-    return rounded(scores.evaluate(fixture.transactions(spark, sf_dir), SCORE))
+    return rounded(scores.evaluate(fixture.stored(spark, sf_dir), SCORE, cuts=fixture.cuts(spark, sf_dir)))
 
 
 def daily_kpis(spark, sf_dir):
@@ -237,7 +237,7 @@ def _cards(spark, sf_dir) -> dict[str, DataFrame]:
     parts = fixture.scored(spark, sf_dir)
     attributed, _ = _linear_attributions(spark, sf_dir)
     tables = {
-        "separation": separation.feature_separation(fixture.with_hour(spark, sf_dir), FEATURES),
+        "separation": separation.feature_separation(fixture.stored(spark, sf_dir), FEATURES, cuts=fixture.cuts(spark, sf_dir)),
         "importance": model.importance_report(_stand_in_importance(spark, sf_dir)),
         "explained": explain.global_report(explain.global_attributions(attributed, MODEL_FEATURES), AUDIT),
         "local": _linear_local(spark, sf_dir),

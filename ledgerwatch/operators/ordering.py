@@ -37,7 +37,7 @@ def target_cells(spark: SparkSession, sharing: int = 1) -> int:
     return max(8, min(MAX_CUTS, math.ceil(2 * slots(spark) / sharing)))
 
 
-def _points(n_cells: int) -> int:
+def n_points(n_cells: int) -> int:
     """Quantiles to look at: a multiple of the cells, and enough to see which values repeat."""
     return n_cells * math.ceil(QUANTILE_POINTS / n_cells)
 
@@ -53,7 +53,7 @@ def quantiles(
 
     One pass over a sample. Where that sample turns out too small for the cuts, so is the table, and all of it is read.
     """
-    n = _points(n_cells)
+    n = n_points(n_cells)
     shares = F.expr(f"array({', '.join(f'{i / n!r}D' for i in range(1, n))})")
     found = [F.percentile_approx(c, shares, F.lit(10 * n)).alias(c) for c in columns]
     size = F.count(F.lit(1)).alias("__rows")
@@ -82,7 +82,7 @@ class Cuts:
 def cut_points(found: list[float] | None, n_cells: int) -> Cuts:
     """Every cell gets the same share of the quantiles; a value that spans two cells or more stands alone."""
     points = [q for q in found or [] if q is not None and math.isfinite(q)]
-    per_cell = max(1, _points(n_cells) // n_cells)
+    per_cell = max(1, n_points(n_cells) // n_cells)
     repeats = Counter(points)
     hot = sorted(q for q, times in repeats.items() if times >= max(3, 2 * per_cell))
     cuts = {*points[per_cell - 1 :: per_cell], *hot, *(math.nextafter(q, math.inf) for q in hot)}
@@ -176,9 +176,13 @@ class Cells:
         return test
 
 
-def plan_cells(df: DataFrame, keys: list[str], n_cells: int | None = None) -> Cells:
+def plan_cells(
+    df: DataFrame, keys: list[str], n_cells: int | None = None, known: Callable[[int], list[float] | None] | None = None
+) -> Cells:
     """Find cut points, one small sample per level. A level is only looked at where the one before has frequent values.
 
+    `known` gives evenly spaced quantiles of the first key where they are stored (`sources/sketches.py`), which spares its sample.
+
     The product of the levels is held near `MAX_CELLS`, which is what bounds the table of cell totals that is
     broadcast later.
     """
@@ -187,7 +191,8 @@ def plan_cells(df: DataFrame, keys: list[str], n_cells: int | None = None) -> Ce
     scope, room, rate = df, MAX_CELLS, FIRST_SAMPLE
     for key in keys:
         n = max(2, min(wanted, room))
-        cuts = cut_points(quantiles(scope.select(key), [key], n, rate=rate)[key], n)
+        found = known(n_points(n)) if known and not levels else None
+        cuts = cut_points(found or quantiles(scope.select(key), [key], n, rate=rate)[key], n)
         levels.append(Level(key, cuts))
         if not cuts.hot:
             break

@@ -17,6 +17,7 @@ from ledgerwatch.config import ScoreColumns
 from ledgerwatch.functions import ratings
 from ledgerwatch.functions.columns import clean_double, count_where
 from ledgerwatch.operators import ordering
+from ledgerwatch.sources import sketches
 
 DIRECT_TERMS = 1000
 TINY_PROBABILITY = 1e-15
@@ -65,16 +66,23 @@ class Ladder:
     hot: tuple[float, ...]
 
 
-def ladder(scores: DataFrame, by: Sequence[str] = (), measures: dict[str, Column] | None = None) -> Ladder:
+def ladder(
+    scores: DataFrame, by: Sequence[str] = (), measures: dict[str, Column] | None = None, cuts: DataFrame | None = None, score: str = "fraud_probability"
+) -> Ladder:
     """Order all rows by score, in each group of the columns `by`, in one pass.
 
     `scores` is the output of `scored`, or of `score_ladder` with sums of its counts as measures. Equal (score, amount) rows are counted
     before anything is ordered. Cells are cut for all groups together, so a large group is as spread as a table of its own.
-    Samples are read while the plan is built.
+    `cuts` are the stored sketches of the table, which know the column `score`; without them samples are read while the plan
+    is built.
     """
     measures = measures or class_counts()
     keyed = scores.withColumn("rank_key", F.when(F.col("fraud_probability") == 0, F.lit(0.0)).otherwise(-F.col("fraud_probability")))
-    cells = ordering.plan_cells(keyed, ["rank_key", "amount"])
+
+    def descending(n: int) -> list[float]:
+        return [0.0 if p == 0 else -p for p in reversed(sketches.points(cuts, [score], n).get(score, []))]
+
+    cells = ordering.plan_cells(keyed, ["rank_key", "amount"], known=descending if cuts is not None else None)
     keys = ["rank_key", "amount"]
     counted, totals = ordering.count_equal(cells.assign(keyed), list(by), keys, measures, cells.tied)
     steps = ordering.prefix_counts(counted, totals, list(measures), list(by), keys, few_groups=not by)
@@ -183,8 +191,8 @@ def ranking_of(rungs: Ladder) -> DataFrame:
     )
 
 
-def ranking_metrics(scores: DataFrame) -> DataFrame:
-    return ranking_of(ladder(scores))
+def ranking_metrics(scores: DataFrame, cuts: DataFrame | None = None, score: str = "fraud_probability") -> DataFrame:
+    return ranking_of(ladder(scores, cuts=cuts, score=score))
 
 
 def pooled_ranking(ladders: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -192,13 +200,14 @@ def pooled_ranking(ladders: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return ranking_of(ladder(ladders, by, {name: F.sum(name) for name in class_counts()}))
 
 
-def pr_auc(df: DataFrame, columns: ScoreColumns = ScoreColumns()) -> DataFrame:
-    return ranking_metrics(scored(df, columns)).select("n_pos", "pr_auc")
+def pr_auc(df: DataFrame, columns: ScoreColumns = ScoreColumns(), cuts: DataFrame | None = None) -> DataFrame:
+    """Average precision. `cuts`: stored sketches of the table (`ladder`)."""
+    return ranking_metrics(scored(df, columns), cuts, columns.score).select("n_pos", "pr_auc")
 
 
-def capture_rate(df: DataFrame, share: float, columns: ScoreColumns = ScoreColumns()) -> DataFrame:
-    """Share of all positives among the best max(ceil(n * share), 1) rows."""
-    steps = ladder(scored(df, columns)).steps.withColumn("k", top_rows(F.col("all_n_all"), share))
+def capture_rate(df: DataFrame, share: float, columns: ScoreColumns = ScoreColumns(), cuts: DataFrame | None = None) -> DataFrame:
+    """Share of all positives among the best max(ceil(n * share), 1) rows. `cuts`: stored sketches of the table (`ladder`)."""
+    steps = ladder(scored(df, columns), cuts=cuts, score=columns.score).steps.withColumn("k", top_rows(F.col("all_n_all"), share))
     left = F.col("k") - F.col("before_n_all") - F.col("n_neg")
     return (
         steps.agg(
@@ -305,10 +314,12 @@ def imbalance_metrics(
     curve: DataFrame | None = None,
     ranking: DataFrame | None = None,
     by: Sequence[str] = (),
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
-    """The summary, one row per group. Pass a stored cost curve, or a stored ranking, to spare its scan."""
+    """The summary, one row per group. Pass a stored cost curve, or a stored ranking, to spare its scan. `cuts`: stored sketches of
+    the table (`ladder`)."""
     best = optimal_threshold(curve if curve is not None else cost_curve(df, columns, by), by)
-    ranked = ranking if ranking is not None else ranking_of(ladder(scored(df, columns, by), by))
+    ranked = ranking if ranking is not None else ranking_of(ladder(scored(df, columns, by), by, cuts=cuts, score=columns.score))
     both = ranked.join(best, list(by)) if by else merge_single_rows(ranked, best)
     n_pos = F.col("n_pos")
     return both.select(
@@ -336,7 +347,12 @@ def imbalance_metrics(
 
 
 def evaluate(
-    df: DataFrame, columns: ScoreColumns = ScoreColumns(), cutoff: float = 0.5, area: DataFrame | None = None, by: Sequence[str] = ()
+    df: DataFrame,
+    columns: ScoreColumns = ScoreColumns(),
+    cutoff: float = 0.5,
+    area: DataFrame | None = None,
+    by: Sequence[str] = (),
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Precision, recall, accuracy, F1, log loss and ROC-AUC of a scored table, one row per group. Rows without a label do not count.
 
@@ -353,7 +369,7 @@ def evaluate(
         F.avg(-F.when(positive, F.ln(sure)).otherwise(F.ln(F.lit(1.0) - sure))).alias("log_loss"),
     )
     if area is None:
-        area = roc_auc(ladder(scored(df, columns, by), by))
+        area = roc_auc(ladder(scored(df, columns, by), by, cuts=cuts, score=columns.score))
     tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
     both = counts.join(area, list(by), "left") if by else merge_single_rows(counts, area.agg(F.max("roc_auc").alias("roc_auc")))
     return both.select(
@@ -367,13 +383,13 @@ def evaluate(
     )
 
 
-def metrics_by(df: DataFrame, by: str = "Date", columns: ScoreColumns = ScoreColumns()) -> DataFrame:
+def metrics_by(df: DataFrame, by: str = "Date", columns: ScoreColumns = ScoreColumns(), cuts: DataFrame | None = None) -> DataFrame:
     """The figures of `imbalance_metrics` and `evaluate` for every value of a column, all from one order of the scores.
 
     A year of days costs one pass, not one per day. Rows without a value of `by` are left out.
     """
     known = df.filter(F.col(by).isNotNull())
-    rungs = ladder(scored(known, columns, [by]), [by])
+    rungs = ladder(scored(known, columns, [by]), [by], cuts=cuts, score=columns.score)
     imbalance = imbalance_metrics(known, columns, ranking=ranking_of(rungs), by=[by])
     return imbalance.join(evaluate(known, columns, area=roc_auc(rungs), by=[by]), by)
 

@@ -18,6 +18,7 @@ from ledgerwatch import config
 from ledgerwatch.functions import ratings
 from ledgerwatch.functions.columns import clean_double, count_where, is_finite
 from ledgerwatch.operators import ordering
+from ledgerwatch.sources import sketches
 
 KS_SERIES_TERMS = 100
 
@@ -33,14 +34,17 @@ def _name(features: Sequence[str]) -> Column:
     return F.element_at(F.array(*[F.lit(f) for f in features]), F.col("fid") + 1).alias("feature")
 
 
-def value_counts(df: DataFrame, features: Sequence[str] = config.FEATURES, label: str = "Class") -> DataFrame:
+def value_counts(
+    df: DataFrame, features: Sequence[str] = config.FEATURES, label: str = "Class", cuts: DataFrame | None = None
+) -> DataFrame:
     """One row per (feature, value) with class counts, the counts before it, and the feature totals.
 
     `all_n_values` is the exact number of distinct values of the feature.
 
     Features travel as a number. Values get their cell while the table is still wide, then one generator makes it long.
     Features with frequent values and features without them are counted in their own way (see `count_equal`); each
-    part reads only its own columns.
+    part reads only its own columns. Cut points come from `cuts`, the stored sketches of the table, or else from a sample that is
+    read while the plan is built.
     """
     names = [f"v{i}" for i in range(len(features))]
 
@@ -51,7 +55,11 @@ def value_counts(df: DataFrame, features: Sequence[str] = config.FEATURES, label
 
     finite = finite_values(df)
     n_cells = ordering.target_cells(df.sparkSession, len(features))
-    found = ordering.quantiles(df, names, n_cells, finite_values)
+    if cuts is None:
+        found = ordering.quantiles(df, names, n_cells, finite_values)
+    else:
+        stored = sketches.points(cuts, features, ordering.n_points(n_cells))
+        found = {v: stored.get(f) for v, f in zip(names, features)}
     cuts = {v: ordering.cut_points(found[v], n_cells) for v in names}
     measures = {
         "n_pos": count_where(F.col("label") == 1),
@@ -113,17 +121,18 @@ def profile_features(
     label: str = "Class",
     n_bins: int = config.NTILES,
     mode: str = "ntile",
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """At most `n_bins` rows per feature, holding all that KS, Cliff's delta, IV and WoE need.
 
     `mode="ntile"` gives equal-frequency bins whose first ones take the remainder; `"floor"` puts rank i into bin
     floor(i * n_bins / n) and uses no more bins than there are distinct values. Within equal values negatives come
     before positives. Bins are cut by arithmetic on the rank interval a value covers, not by ranking rows.
-    Features that lack one of the classes are left out.
+    Features that lack one of the classes are left out. `cuts`: stored sketches of the table (`value_counts`).
     """
     if n_bins < 1:
         raise ValueError(f"n_bins must be at least 1, got {n_bins}")
-    counts = value_counts(df, features, label).filter((F.col("all_n_pos") > 0) & (F.col("all_n_neg") > 0))
+    counts = value_counts(df, features, label, cuts).filter((F.col("all_n_pos") > 0) & (F.col("all_n_neg") > 0))
     wanted = F.lit(n_bins).cast("long")
     bins = wanted if mode == "ntile" else F.least(wanted, F.col("all_n_values"))
     bin_of, first_of = _bin_rules(mode, F.col("all_n_all"), F.col("n_bins"))
@@ -269,9 +278,11 @@ def feature_separation(
     features: Sequence[str] = config.FEATURES,
     label: str = "Class",
     profile: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
-    """All four separation metrics with their ratings. Pass a stored `profile` to spare the shuffle."""
-    ranked = rank_metrics(profile if profile is not None else profile_features(df, features, label))
+    """All four separation metrics with their ratings. Pass a stored `profile` to spare the shuffle. `cuts`: stored sketches of the
+    table (`value_counts`)."""
+    ranked = rank_metrics(profile if profile is not None else profile_features(df, features, label, cuts=cuts))
     both = ranked.join(F.broadcast(z_score_diff(df, features, label)), "feature", "left")
     return both.select(
         "feature",

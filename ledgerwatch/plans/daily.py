@@ -12,6 +12,7 @@ from ledgerwatch.functions.columns import as_instant, stamp
 from ledgerwatch.operators import drift, explain, history, model, scorecards, scores, separation, slicing
 from ledgerwatch.plans.names import POOLED, WITH_HISTORY, Tables
 from ledgerwatch.session import use_checkpoint_dir
+from ledgerwatch.sources import sketches
 from ledgerwatch.sources.tables import overwrite_slice, replace_table
 
 
@@ -31,6 +32,12 @@ def score_batch(spark: SparkSession, tables: Tables, fitted: model.BoostedTrees)
     replace_table(model.predict(fitted, spark.table(tables["daily_converted"])), tables["predictions"])
 
 
+def store_sketches(spark: SparkSession, tables: Tables, features: Sequence[str]) -> None:
+    """Quantile sketches of what the batch's metrics order: the features and the score. One pass, in place of a sample for each."""
+    for source, columns in (("daily_converted", list(features)), ("predictions", ["fraud_probability"])):
+        replace_table(sketches.sketches(spark.table(tables[source]), columns), tables[f"{source}_sketches"])
+
+
 def evaluate_batch(
     spark: SparkSession,
     tables: Tables,
@@ -54,12 +61,12 @@ def evaluate_batch(
         return spark.table(tables[name])
 
     transactions, predictions = get("daily_converted"), get("predictions")
-    profile = separation.profile_features(transactions, features).checkpoint()
+    profile = separation.profile_features(transactions, features, cuts=get("daily_converted_sketches")).checkpoint()
     put("feature_separation", separation.feature_separation(transactions, features, profile=profile))
     put("woe_bins", separation.woe_bins_from(profile))
     put("kpis", scores.daily_kpis(predictions))
     put("score_ladder", scores.score_ladder(predictions))
-    rungs = scores.ladder(scores.scored(predictions))
+    rungs = scores.ladder(scores.scored(predictions), cuts=get("predictions_sketches"))
     put("evaluation", scores.evaluate(predictions, area=scores.roc_auc(rungs)))
     put("cost_curve", scores.cost_curve(predictions))
     put("imbalance_metrics", scores.imbalance_metrics(predictions, curve=get("cost_curve"), ranking=scores.ranking_of(rungs)))
@@ -110,6 +117,7 @@ def run_daily(
     snapshot_all(spark, tables)
     fitted = model.load(spark, model_path)
     score_batch(spark, tables, fitted)
+    store_sketches(spark, tables, features)
     evaluate_batch(spark, tables, fitted, moment, features, audit, tie_break)
     store_signal(spark, tables)
     return rows
