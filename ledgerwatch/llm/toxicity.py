@@ -1,4 +1,9 @@
-"""Toxicity by a weighted finite-state grammar over clauses: insult, threat, target, negation, reported speech."""
+"""Toxicity by a weighted finite-state grammar over clauses: insult, threat, target, negation, reported speech.
+
+Each part of the grammar is a small transducer over word classes. They are composed into one machine, whose table drives the
+scan of a clause; a second pass from the right looks for targets that follow. The machine writes the weight of every insult or
+threat to the pattern of its state, and the weights of the patterns are fitted to labels.
+"""
 
 from __future__ import annotations
 
@@ -38,6 +43,75 @@ TARGET_REACH = 4
 FEATURES = ("plain", "targeted", "negated", "reported", "threat", "threat_targeted", "strongest", "clauses", "density")
 
 
+# Input classes of the transducers.
+NEGATION, REPORT, TARGET, OTHER = range(4)
+
+
+def word_class(token: str) -> int:
+    if token in NEGATIONS:
+        return NEGATION
+    if token in REPORTS or token == '"':
+        return REPORT
+    return TARGET if token in TARGETS else OTHER
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """A machine over word classes, started in state 0: arcs[state][class] is the next state, output[state] what it tells about a word."""
+
+    arcs: tuple[tuple[int, ...], ...]
+    output: tuple[tuple[bool, ...], ...]
+
+    def states(self, classes: list[int]) -> list[int]:
+        """The state after each word."""
+        state, out = 0, []
+        for c in classes:
+            state = self.arcs[state][c]
+            out.append(state)
+        return out
+
+
+def within(wanted: int, reach: int) -> Transducer:
+    """Is a word of the wanted class at most `reach` words back? States: out of reach, then 0 to `reach` words back."""
+    arcs = [tuple(1 if c == wanted else later for c in range(4)) for later in (0, *range(2, reach + 2), 0)]
+    return Transducer(tuple(arcs), ((False,), *[(True,)] * (reach + 1)))
+
+
+def since(wanted: int) -> Transducer:
+    """Has there been a word of the wanted class?"""
+    return Transducer((tuple(int(c == wanted) for c in range(4)), (1,) * 4), ((False,), (True,)))
+
+
+def compose(left: Transducer, right: Transducer) -> Transducer:
+    """One machine that runs both on the same words: its states are the pairs that can be reached, its output both outputs."""
+    numbers, pairs, arcs = {(0, 0): 0}, [(0, 0)], []
+    for a, b in pairs:
+        row = []
+        for c in range(4):
+            pair = left.arcs[a][c], right.arcs[b][c]
+            if pair not in numbers:
+                numbers[pair] = len(pairs)
+                pairs.append(pair)
+            row.append(numbers[pair])
+        arcs.append(tuple(row))
+    return Transducer(tuple(arcs), tuple(left.output[a] + right.output[b] for a, b in pairs))
+
+
+FOLLOWED = within(TARGET, TARGET_REACH)
+MACHINE = compose(compose(within(NEGATION, NEGATION_REACH), since(REPORT)), FOLLOWED)
+
+
+def pattern(negated: bool, reported: bool, targeted: bool, threat: bool) -> int:
+    """The pattern that an insult or threat in this state is written to, by its place in FEATURES."""
+    if negated or reported:
+        return 2 if negated else 3
+    return (4 if threat else 0) + int(targeted)
+
+
+# Output arcs of the composed machine: the pattern by state, by whether a target follows, and by kind of word.
+PATTERNS = tuple(tuple(tuple(pattern(n, r, t or ahead, threat) for threat in (False, True)) for ahead in (False, True)) for n, r, t in MACHINE.output)
+
+
 @dataclass
 class Grammar:
     """Weights of the learned insult words and stems (a stem ends in *), and the automaton that finds them in a text."""
@@ -63,39 +137,15 @@ class Grammar:
         return next((w for n in reversed(STEMS) if len(token) > n and (w := self.weights.get(token[:n] + "*")) is not None), 0.0)
 
     def clause(self, tokens: list[str]) -> np.ndarray:
-        """One clause through the composed transducers: output weights by pattern.
-
-        The state is what came before: how far back the last negation and the last target are, and whether speech is
-        reported. An insult or threat writes its weight to the pattern its state stands for; a target that follows it
-        within reach moves it there.
-        """
+        """One clause through the composed machine: output weights by pattern, summed over its paths."""
         out = np.zeros(6)
-        negated, target, reported, pending = -99, -99, False, []
-        for place, token in enumerate(tokens):
-            if token in NEGATIONS:
-                negated = place
-            elif token in REPORTS or token == '"':
-                reported = True
-            elif token in TARGETS:
-                target = place
-                for slot, weight, at in pending:
-                    if place - at <= TARGET_REACH and slot in (0, 4):
-                        out[slot] -= weight
-                        out[slot + 1] += weight
-                pending = []
+        classes = [word_class(t) for t in tokens]
+        ahead = FOLLOWED.states(classes[::-1])[::-1]
+        for token, state, follows in zip(tokens, MACHINE.states(classes), ahead):
             threat = token in THREATS
             weight = 1.0 if threat else self.insult(token)
-            if weight <= 0:
-                continue
-            near = place - target <= TARGET_REACH
-            if place - negated <= NEGATION_REACH:
-                slot = 2
-            elif reported:
-                slot = 3
-            else:
-                slot = (4 if threat else 0) + int(near)
-            out[slot] += weight
-            pending.append((slot, weight, place))
+            if weight > 0:
+                out[PATTERNS[state][FOLLOWED.output[follows][0]][threat]] += weight
         return out
 
     def features(self, text: str) -> np.ndarray:
