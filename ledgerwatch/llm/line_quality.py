@@ -194,15 +194,15 @@ class QualityModel:
 def train(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """A chain over the lines of one half of at most about FIT_DOCS labelled documents; the other half calibrates it."""
     rows = labelled(docs, labels, "quality", FOLDS, HELD_OUT, FIT_DOCS)
-    half = F.pmod(F.xxhash64(F.col("id"), F.lit("half")), F.lit(2)).alias("half")
+    half = F.pmod(F.xxhash64(F.col("id"), F.lit("half")), F.lit(2))
 
     def run(batches):
         for batch in batches:
-            found = [line_features(t)[0].astype(np.float32).tobytes() for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["half", "y", "x"])
+            found = [line_features(t)[0].astype(np.float32).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["y", "x"])
 
-    got = rows.select(half.cast("int").alias("half"), "y", "text").mapInArrow(run, "half int, y int, x binary").collect()
-    first = [(np.frombuffer(r.x, np.float32).reshape(-1, FEATURES).astype(float), r.y) for r in got if r.half == 0 and r.x]
+    got = rows.filter(half == 0).select("y", "text").mapInArrow(run, "y int, x binary").collect()
+    first = [(np.frombuffer(r.x, np.float32).reshape(-1, FEATURES).astype(float), r.y) for r in got if r.x]
     field_ = fit_field([x for x, _ in first], np.array([y for _, y in first], int))
     figures = _figures(rows.filter(half == 1).select("id", "text", "y"), field_)
     y = np.array([r.y for r in figures], float)
