@@ -26,12 +26,16 @@ def numbered(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     One row of an id has the hash of the id. Its copies have a hash of the id, of all columns and of their number; rows of
     the id with other content have one of the id, their columns and their number. Which of some equal rows has which number
     makes no difference, so reruns give the same result. Equal rows are collapsed to a count and dealt out again, in chunks
-    where they are many.
+    where they are many. Columns of map type, which cannot be grouped or hashed, are told apart by their JSON text.
     """
-    counted = docs.groupBy(*[docs[c] for c in docs.columns]).agg(F.count(F.lit(1)).alias("__copies"))
+    maps = [c for c in docs.columns if "map<" in docs.schema[c].dataType.simpleString()]
+    same = [F.to_json(F.struct(docs[c])).alias(f"__json_{k}") if c in maps else docs[c] for k, c in enumerate(docs.columns)]
+    copies = F.count(F.lit(1)).alias("__copies")
+    counted = docs.groupBy(*same).agg(copies, *[F.any_value(docs[c]).alias(c) for c in maps])
     row = F.struct(*[counted[c] for c in docs.columns])
+    content = F.struct(*[counted[f"__json_{k}"] if c in maps else counted[c] for k, c in enumerate(docs.columns)])
     key = stable_key(counted, id_col, text)
-    kinds = counted.select(row.alias("row"), key.alias("key"), F.xxhash64(row).alias("content"), hash_bits(counted, id_col, text).alias("hash"), n_bytes(counted, text).alias("bytes"), "__copies")
+    kinds = counted.select(row.alias("row"), key.alias("key"), F.xxhash64(content).alias("content"), hash_bits(counted, id_col, text).alias("hash"), n_bytes(counted, text).alias("bytes"), "__copies")
     kinds = stored(kinds, "shard-kinds")
     several = kinds.groupBy("hash").agg(F.count(F.lit(1)).alias("kinds"), F.min("content").alias("least")).filter("kinds > 1")
     several = stored(several.select(F.col("hash").alias("shared"), "least"), "shard-shared-ids")

@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from test_operators_llm import brute_components
 
-from ledgerwatch.llm import decontamination, divergence, fill_middle, near_dup, packing
+from ledgerwatch.llm import decontamination, divergence, fill_middle, near_dup, packing, sharding, toxicity
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -351,6 +351,48 @@ def test_neighbours_share_windows(spark):
     assert alike > 0.8
 
 
+# --- the toxicity machine ----------------------------------------------------------------------------------------
+
+
+def by_rules(grammar, tokens):
+    """The patterns of a clause by looking around every insult or threat."""
+    out = np.zeros(6)
+    classes = [toxicity.word_class(t) for t in tokens]
+    for k, token in enumerate(tokens):
+        threat = token in toxicity.THREATS
+        weight = 1.0 if threat else grammar.insult(token)
+        if weight <= 0:
+            continue
+        back = lambda c, n: c in classes[max(0, k - n) : k + 1]
+        targeted = back(toxicity.TARGET, toxicity.TARGET_REACH) or toxicity.TARGET in classes[k : k + toxicity.TARGET_REACH + 1]
+        if back(toxicity.NEGATION, toxicity.NEGATION_REACH):
+            out[2] += weight
+        elif toxicity.REPORT in classes[: k + 1]:
+            out[3] += weight
+        else:
+            out[4 * threat + targeted] += weight
+    return out
+
+
+def test_composed_machine_equals_looking_around():
+    grammar = toxicity.Grammar({"idiot": 1.5, "moro*": 0.5, "you": 0.25})
+    rng = random.Random(9)
+    for _ in range(3000):
+        tokens = rng.choices(["idiot", "morons", "kill", "you", "not", "said", '"', "a", "b", "c"], [2, 1, 1, 2, 1, 1, 1, 4, 4, 4], k=rng.randint(0, 14))
+        assert grammar.clause(tokens).tolist() == by_rules(grammar, tokens).tolist(), tokens
+
+
+def test_composition_runs_both_machines():
+    a, b = toxicity.within(toxicity.NEGATION, 2), toxicity.since(toxicity.REPORT)
+    both = toxicity.compose(a, b)
+    assert len(both.arcs) == len(a.arcs) * len(b.arcs) and 30 < len(toxicity.MACHINE.arcs) <= 5 * 2 * 6
+    rng = random.Random(2)
+    for _ in range(200):
+        classes = rng.choices(range(4), k=12)
+        got = [both.output[s] for s in both.states(classes)]
+        assert got == [a.output[x] + b.output[y] for x, y in zip(a.states(classes), b.states(classes))]
+
+
 # --- rows of one id, null ids, and the pipeline ------------------------------------------------------------------
 
 
@@ -406,6 +448,66 @@ def test_clean_rows_go_by_text(spark):
     assert sorted(r.text for r in decontamination.clean_rows(docs, benchmark).collect()) == ["a clean text of five", "clean words only here"]
 
 
+def paraphrased(rng, words, keep, pool):
+    """The words in order, a share of them kept and others put in their places; the last five stay."""
+    return [w if k >= len(words) - 5 or rng.random() < keep else rng.choice(pool) for k, w in enumerate(words)]
+
+
+def test_latent_search_proposes_what_is_found(spark, monkeypatch):
+    rng = random.Random(4)
+    pool = [f"v{k}" for k in range(4000)]
+    items = [(k, " ".join(rng.choices(pool[: 400 + 8 * k], k=rng.randint(20, 60)))) for k in range(60)]
+    docs, held = [], set()
+    for i in range(400):
+        text = rng.choices(pool, k=rng.randint(60, 200))
+        if i % 3 == 0:
+            k = rng.randrange(60)
+            at = rng.randrange(len(text))
+            text[at:at] = paraphrased(rng, items[k][1].split(), rng.choice([0.75, 0.85, 1.0]), pool)
+            held.add((i, k))
+        docs.append((i, " ".join(text)))
+    documents = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    both = decontamination.contaminated(documents, benchmark).collect()
+    found = {(r.id, r.item_id): r.route for r in both}
+    assert held & set(found) == {p for p in held if p in found} and len(held & set(found)) > 0.95 * len(held)
+    true = [found[p] for p in held if p in found]
+    assert true.count("latent") >= 0.9 * len(true)
+    words = {(r.id, r.item_id) for r in both}
+    for route in decontamination.ROUTES:  # each route alone: the latent one finds its share, the exact one all
+        monkeypatch.setattr(decontamination, "near_stretches", (lambda *a: []) if route == "words" else NEAR)
+        monkeypatch.setattr(decontamination, "_stretches", STRETCHES if route == "words" else (lambda *a: (np.zeros(0, int),) * 4))
+        block = decontamination.make_block(items, np.ones(decontamination.BUCKETS, np.float32))
+        alone = searched(decontamination.fit(block, documents.select("text")), docs)
+        assert len(alone & words & held) >= (1.0 if route == "words" else 0.9) * len(words & held)
+
+
+NEAR, STRETCHES = decontamination.near_stretches, decontamination._stretches
+
+
+def searched(block, docs):
+    """The pairs that the routes as they are now propose and that hold, in this process."""
+    import pyarrow as pa
+
+    masks = [decontamination.masks_of(w.tolist()) for w in block.words]
+    out = set()
+    for words in decontamination.split_words(pa.array([t for _, t in docs])):
+        proposed = decontamination.near_stretches(block, words) + list(zip(*(x.tolist() for x in decontamination._stretches(block, words))))
+        for d, item, low, high in proposed:
+            n = len(block.words[item])
+            if decontamination.holds(n, *decontamination.overlap(n, masks[item], words.hash[low:high].tolist())):
+                out.add((docs[words.rows.start + d][0], block.ids[item]))
+    return out
+
+
+def test_sharding_with_maps_and_clashing_names(spark):
+    rows = [(k % 3, f"text {k % 3}" * 20, {"a": str(k % 2)}, [{"b": k % 2}]) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, about map<string,string>, more array<map<string,int>>")
+    got = sharding.shard(docs, 500)
+    assert got.select(docs.columns).count() == 40 and {tuple(sorted(r.about.items())) for r in got.collect()} == {(("a", "0"),), (("a", "1"),)}
+    assert max(r.shard_bytes for r in got.collect()) <= 500
+
+
 def test_pipeline_on_odd_and_empty_input(spark, odd, none, tmp_path):
     import corpus_pipeline
 
