@@ -257,7 +257,7 @@ part(
 )
 part(
     "paths",
-    f"""SELECT feature, 0 AS t, 0 AS i, {D('1')} AS p, m, n, h, FALSE AS reached FROM day_bound
+    f"""SELECT feature, 0 AS t, 0 AS i, {D('1')} AS p, m, n, h, FALSE AS reached FROM day_bound WHERE m > 0 AND n > 0
 UNION ALL SELECT feature, t + 1, k, sum(q), m, n, h, abs(k * n - (t + 1 - k) * m) >= h FROM (
   SELECT feature, t, i + up AS k, p * CASE up WHEN 1 THEN m - i ELSE n - (t - i) END / (m + n - t) AS q, m, n, h
   FROM paths, (SELECT unnest([0, 1]) AS up) WHERE NOT reached AND t < m + n) WHERE q > 0 GROUP BY feature, t, k, m, n, h""",
