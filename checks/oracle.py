@@ -683,7 +683,7 @@ single_days()
 ORACLE["metrics_by_day"] = sql(
     """SELECT "Date", n_rows, n_pos, n_neg, pr_auc_rating, k_0_1, k_0_5, capture_0_1_rating, capture_0_5_rating, """
     + ", ".join(
-        f"round({c}, {3 if 'loss_at' in c or 'expected' in c or 'cost_at' in c else 6}) AS {c}"
+        f"round({f'CASE WHEN isnan(coalesce({c}, 0)) THEN 0 ELSE coalesce({c}, 0) END' if c in ('precision', 'recall', 'f1_score') else c}, {3 if 'loss_at' in c or 'expected' in c or 'cost_at' in c else 6}) AS {c}"
         for c in (
             "pr_auc",
             "capture_rate_0_1pct",
