@@ -91,6 +91,12 @@ def find_bins(df: DataFrame, features: Sequence[str], label: str, n_bins: int =
     return Binning(tuple(tuple(own) for own in edges))
 
 
+def _array(values: Sequence[bool | int | float]) -> Column:
+    """A constant array as one expression, not one literal for each element."""
+    text = (repr(v) + "D" if isinstance(v, float) else str(v).lower() for v in values)
+    return F.expr(f"array({', '.join(text)})")
+
+
 @dataclass
 class Tree:
     """A tree as arrays over heap numbers, for walking rows down it, and its nodes."""
@@ -118,7 +124,7 @@ class Tree:
         """The node a row has come to. The arrays are values, not code, so all levels and trees share their generated code."""
         if not self.levels:
             return F.lit(0)
-        feature, cut, left = F.lit(self.feature), F.lit(self.bin), F.lit(self.missing_left)
+        feature, cut, left = _array(self.feature), _array(self.bin), _array(self.missing_left)
 
         def step(n: Column, _: Column) -> Column:
             own = F.get(bins, F.get(feature, n)).cast("int")
@@ -150,7 +156,7 @@ class Fixed:
 def _histograms(rows: DataFrame, tree: Tree, wanted: list[int], fixed: Fixed, shape: tuple[int, int]) -> dict[int, np.ndarray]:
     """For each wanted node an array (feature, bin, [gradient, hessian, rows]) of whole numbers."""
     chance = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
-    counted = F.lit([n in set(wanted) for n in range(len(tree.feature))])
+    counted = _array([n in wanted for n in range(len(tree.feature))])
     given = rows.select("bins", "label", chance.alias("p"), tree.place(F.col("bins")).alias("node")).filter(F.get(counted, F.col("node")))
     weight = fixed.weight()
     sums = given.select(
@@ -270,7 +276,7 @@ def fit(
             trees.append(tree)
             if not tree.levels:
                 break
-            value = F.get(F.lit(tree.value), tree.place(F.col("bins")))
+            value = F.get(_array(tree.value), tree.place(F.col("bins")))
             moved = state.withColumn("margin", F.col("margin") + value)
             moved = moved.checkpoint() if turn % CHECKPOINT_TREES == 0 else moved.persist()
             loss = moved.agg(_loss(fixed)).first()[0]
