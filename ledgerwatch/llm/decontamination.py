@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,10 +24,12 @@ WINDOW = 24
 STRIDE = 8
 ITEM_STRIDE = 12
 DIMENSIONS = 128
-EXTRA_DIMENSIONS = 16
+EXTRA_DIMENSIONS = 32
 BLOCK_ITEMS = 500
-FIT_DOCS = 500
-FIT_PARTS = 4
+MOST_COLUMNS = 8192
+MOST_PASSAGES = 1 << 22
+SLICE_ROWS = 32
+NOISE = 1e-6
 ENERGY = 0.25
 COSINE = 0.5
 RARE_HITS = 0.25
@@ -159,29 +162,46 @@ def item_windows(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return tuple(np.concatenate(x) for x in (at, starts, ends, owner))
 
 
-def fit(block: Block, sample: DataFrame) -> Block:
-    """Latent space of the block's vocabulary by a distributed randomised SVD of TF-IDF passages.
-
-    The passages are the windows of `sample` and of the items; items weigh as much as the sample. Each pass multiplies a
-    tall thin matrix by A'A: a task returns one such product of its own passages, and there are FIT_PARTS tasks.
+def passage_starts(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the passages that the latent space is fitted on: windows of all texts that do not overlap, but for the last."""
+    lengths = np.diff(words.first)
+    starts = [first + window_starts(int(n), WINDOW) for first, n in zip(words.first, lengths)]
+    first = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+    return first, np.minimum(first + WINDOW, np.repeat(words.first[1:], [len(f) for f in starts]))
+
+
+def count_pairs(block: Block, at: np.ndarray, first: np.ndarray, last: np.ndarray, pairs: np.ndarray, single: np.ndarray) -> None:
+    """Add to `pairs` (column * n_columns + earlier column) and `single` how often words of the vocabulary share a passage."""
+    for part in range(0, len(first), 2048):
+        row, position = rows_of(first[part : part + 2048], last[part : part + 2048])
+        column = block.column[at[position]].astype(np.int64)
+        inside = column >= 0
+        row, column = row[inside], column[inside]
+        single += np.bincount(column, minlength=block.n_columns)
+        for step in range(1, min(WINDOW, len(row))):
+            same = np.flatnonzero(row[step:] == row[:-step])
+            if not len(same):
+                break
+            np.add.at(pairs, column[same + step] * block.n_columns + column[same], np.int32(1))
+
+
+def fit(block: Block, docs: DataFrame) -> Block:
+    """Latent space of the block's vocabulary by a distributed randomised SVD of TF-IDF passages, in one pass.
+
+    The passages are the windows of all texts of `docs` (one column) and of the items; items weigh as much as the documents.
+    The pass multiplies A'A by a tall thin matrix: a task counts the word pairs of its passages and returns the product, which
+    is summed by Spark in slices of SLICE_ROWS words; the eigenvectors of A'A follow from the product (Nystrom). A vocabulary
+    of more than MOST_COLUMNS words, whose pairs do not fit a task, is multiplied passage by passage, with the same sums.
     """
-    spark = sample.sparkSession
+    spark = docs.sparkSession
     at, starts, ends, block.owner = item_windows(block)
-
-    def passages(matrix: np.ndarray, texts) -> tuple[np.ndarray, int]:
-        """A'(A matrix) over the windows of some texts, and their number."""
-        out, n = np.zeros((block.n_columns, matrix.shape[1])), 0
-        for words in split_words(texts):
-            own = buckets(words.hash)
-            firsts = [words.first[d] + window_starts(words.first[d + 1] - words.first[d], WINDOW) for d in range(len(words.first) - 1)]
-            first = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
-            last = np.minimum(first + WINDOW, np.repeat(words.first[1:], [len(f) for f in firsts]))
-            n += len(first)
-            out += transposed(own, first, last, block.project(own, first, last, matrix))
-        return out, n
+    n_columns, width = block.n_columns, min(DIMENSIONS + EXTRA_DIMENSIONS, block.n_columns)
+    test, _ = np.linalg.qr(np.random.default_rng(5).standard_normal((n_columns, width)))
+    weights = np.zeros(n_columns, np.float32)
+    weights[block.column[block.column >= 0]] = block.idf[block.column >= 0]
 
     def transposed(own, first, last, product) -> np.ndarray:
-        out = np.zeros((block.n_columns, product.shape[1]))
+        out = np.zeros((n_columns, product.shape[1]))
         for part in range(0, len(first), 2048):
             row, position = rows_of(first[part : part + 2048], last[part : part + 2048])
             column = block.column[own[position]]
@@ -193,28 +213,61 @@ def fit(block: Block, sample: DataFrame) -> Block:
                 out[column[begin]] += np.add.reduceat(values, begin, axis=0)
         return out
 
-    def product(matrix: np.ndarray) -> np.ndarray:
-        shared = spark.sparkContext.broadcast(matrix.astype(np.float32))
-
-        def run(batches):
-            total, n = np.zeros(shared.value.shape), 0
-            for batch in batches:
-                more, m = passages(shared.value, batch.column(0))
-                total, n = total + more, n + m
-            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["n", "part"])
-
-        got = sample.mapInArrow(run, "n long, part binary").collect()
-        out = np.sum([np.frombuffer(r.part, np.float32).reshape(matrix.shape) for r in got], axis=0, dtype=float)
-        weight = max(1, sum(r.n for r in got)) / max(1, len(starts))
-        shared.unpersist()
-        return out + weight * transposed(at, starts, ends, block.project(at, starts, ends, matrix.astype(np.float32)))
-
-    width = min(DIMENSIONS + EXTRA_DIMENSIONS, block.n_columns)
-    start = np.random.default_rng(5).standard_normal((block.n_columns, width))
-    q, _ = np.linalg.qr(product(start))
-    values, vectors = np.linalg.eigh((lambda m: (m + m.T) / 2)(q.T @ product(q)))
-    keep = np.argsort(-values)[: min(DIMENSIONS, width)]
-    block.basis = np.ascontiguousarray(q @ vectors[:, keep], np.float32)
+    def multiplied(pairs: np.ndarray, single: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+        """A'(A matrix) from the counts of word pairs."""
+        scaled = matrix * weights[:, None]
+        out, table = scaled * single[:, None].astype(np.float32), pairs.reshape(n_columns, n_columns)
+        for low in range(0, n_columns, 512):
+            some = table[low : low + 512].astype(np.float32)
+            out[low : low + 512] += some @ scaled
+            out += some.T @ scaled[low : low + 512]
+        return out * weights[:, None]
+
+    shared = spark.sparkContext.broadcast(test.astype(np.float32))
+
+    def run(batches):
+        matrix, task, counted = shared.value, TaskContext.get().partitionId(), n_columns <= MOST_COLUMNS
+        total, n = np.zeros(matrix.shape), 0
+        pairs, single, held = np.zeros(n_columns**2 if counted else 0, np.int32), np.zeros(n_columns, np.int64), 0
+        for batch in batches:
+            for words in split_words(batch.column(0)):
+                own, (first, last) = buckets(words.hash), passage_starts(words)
+                n += len(first)
+                if counted and held + len(first) > MOST_PASSAGES:
+                    total += multiplied(pairs, single, matrix)
+                    pairs[:], single[:], held = 0, 0, 0
+                if counted:
+                    count_pairs(block, own, first, last, pairs, single)
+                    held += len(first)
+                else:
+                    total += transposed(own, first, last, block.project(own, first, last, matrix))
+        if held:
+            total += multiplied(pairs, single, matrix)
+        if n:
+            parts = [total[low : low + SLICE_ROWS].astype(np.float32).tobytes() for low in range(0, n_columns, SLICE_ROWS)]
+            columns = [pa.array(range(len(parts))), pa.array([task] * len(parts)), pa.array([n] * len(parts)), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["slice", "task", "n", "part"])
+
+    def add_up(table: pa.Table) -> pa.Table:
+        """The sum of one slice over all tasks, in the order of the tasks."""
+        table = table.sort_by("task")
+        total = np.zeros(len(table["part"][0].as_py()) // 4)
+        for part in table["part"]:
+            total += np.frombuffer(part.as_py(), np.float32)
+        return pa.table({"slice": table["slice"][:1], "n": [sum(table["n"].to_pylist())], "part": pa.array([total.tobytes()], pa.binary())})
+
+    made = docs.mapInArrow(run, "slice long, task long, n long, part binary")
+    got = sorted(made.groupBy("slice").applyInArrow(add_up, "slice long, n long, part binary").collect(), key=lambda r: r.slice)
+    shared.unpersist()
+    product = np.concatenate([np.frombuffer(r.part) for r in got]).reshape(test.shape) if got else np.zeros(test.shape)
+    weight = max(1, got[0].n if got else 0) / max(1, len(starts))
+    product = product + weight * transposed(at, starts, ends, block.project(at, starts, ends, test.astype(np.float32)))
+    product += NOISE * np.linalg.norm(product) * test
+    core = test.T @ product
+    values, vectors = np.linalg.eigh((core + core.T) / 2)
+    sure = values > NOISE * values[-1]
+    basis, _, _ = np.linalg.svd(product @ (vectors[:, sure] / np.sqrt(values[sure])), full_matrices=False)
+    block.basis = np.ascontiguousarray(basis[:, :DIMENSIONS], np.float32)
     latent = block.project(at, starts, ends, block.basis)
     block.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
     return block
@@ -400,9 +453,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """(id, item_id, cosine, common, item_words, answer, start, route): the benchmark items that documents hold.
 
     Every document is searched for every item, the items in blocks of about BLOCK_ITEMS, one scan of the documents each.
-    Word statistics cover all documents. The latent space of a block is fitted on the items and on the passages of about
-    FIT_DOCS documents, chosen by a hash of their text. What it does not show is proposed by rare words (`rare_words`), so
-    nothing that `holds` is left out. Ties: an item is reported at the first stretch of the route that shows it.
+    Word statistics cover all documents, and the latent space of a block is fitted on the items and on the passages of all
+    documents, in one more scan. What it does not show is proposed by rare words (`rare_words`), so nothing that `holds` is
+    left out. Ties: an item is reported at the first stretch of the route that shows it.
 
     Null or empty texts hold nothing, and null or empty items are held by nothing. A null id is returned as it is. Equal
     rows and equal items each have their rows. Empty tables: empty result.
@@ -412,15 +465,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     n_docs, frequency = document_frequency(docs, text)
     idf = (np.log((n_docs + 1) / (frequency + 0.5))).clip(0.05).astype(np.float32)
     n_blocks = -(-benchmark.count() // BLOCK_ITEMS)
-    share = min(1.0, FIT_DOCS / max(1, n_docs))
-    chosen = F.pmod(F.xxhash64(text_of(docs, text)), F.lit(1_000_000)) < int(share * 1_000_000) + 1
-    sample = stored(docs.filter(chosen).select(_lower(docs, text)).repartition(FIT_PARTS), "fit-passages") if n_docs and n_blocks else None
+    passages = docs.select(_lower(docs, text))
     found = empty
     for block_no in range(n_blocks if n_docs else 0):
         mine = benchmark.filter(F.pmod(F.xxhash64(benchmark[item_col], benchmark["text"]), F.lit(n_blocks)) == block_no)
         block = make_block(mine.select(benchmark[item_col].cast("long"), _lower(benchmark, "text")).collect(), idf)
         if block.ids:
-            found = found.unionByName(search(docs, fit(block, sample), id_col, text))
+            found = found.unionByName(search(docs, fit(block, passages), id_col, text))
     return found
 
 

@@ -482,6 +482,44 @@ def test_latent_search_proposes_what_is_found(spark, monkeypatch):
         assert len(alone & words & held) >= (1.0 if route == "words" else 0.9) * len(words & held)
 
 
+def gram(block, texts):
+    """A'A of the TF-IDF passages of texts, and their number, row by row."""
+    import pyarrow as pa
+
+    rows = []
+    for words in decontamination.split_words(pa.array(texts)):
+        at = decontamination.buckets(words.hash)
+        for first, last in zip(*decontamination.passage_starts(words)):
+            row = np.zeros(block.n_columns)
+            for k in at[first:last]:
+                if block.column[k] >= 0:
+                    row[block.column[k]] += block.idf[k]
+            rows.append(row)
+    rows = np.array(rows)
+    return rows.T @ rows, len(rows)
+
+
+@pytest.mark.parametrize("most", [decontamination.MOST_COLUMNS, 10])
+def test_latent_space_is_that_of_all_documents(spark, monkeypatch, most):
+    """With as many dimensions as words the space keeps A'A of all passages; a fit on some of them cannot, and no text is left out."""
+    monkeypatch.setattr(decontamination, "MOST_COLUMNS", most)
+    rng = random.Random(3)
+    pool = [f"w{k}" for k in range(60)]
+    items = [(k, " ".join(rng.choices(pool, k=30))) for k in range(5)]
+    texts = [" ".join(rng.choices([*pool, *(f"x{k}" for k in range(60))], k=rng.randint(0, 90))) for _ in range(700)]
+    idf = np.random.default_rng(1).uniform(0.5, 2, decontamination.BUCKETS).astype(np.float32)
+    block = decontamination.make_block(items, idf)
+    seen = []
+    product = np.linalg.svd
+    monkeypatch.setattr(np.linalg, "svd", lambda m, **k: seen.append(m) or product(m, **k))
+    decontamination.fit(block, spark.createDataFrame([(t,) for t in texts], "text string").repartition(5))
+    own, n = gram(block, texts)
+    at, starts, ends, _ = decontamination.item_windows(block)
+    windows = block.project(at, starts, ends, np.eye(block.n_columns, dtype=np.float32)).astype(float)
+    want = own + n / len(starts) * windows.T @ windows
+    assert seen[0] @ seen[0].T == pytest.approx(want, rel=1e-3, abs=1e-3 * want.max())
+
+
 NEAR, STRETCHES = decontamination.near_stretches, decontamination._stretches
 
 
