@@ -6,6 +6,7 @@ counts, so equal values travel once, and it never sorts single rows or compares
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -21,6 +22,8 @@ from ledgerwatch.operators import ordering
 from ledgerwatch.sources import sketches
 
 KS_SERIES_TERMS = 100
+# exp(-LEAST_LOG) is less than half the least positive double.
+LEAST_LOG = 746.0
 
 
 def unpivot_features(df: DataFrame, features: Sequence[str] = config.FEATURES, label: str = "Class") -> DataFrame:
@@ -318,11 +321,14 @@ def exact_pvalue(gap: int, n_pos: int, n_neg: int) -> float:
 
     The orders are lattice paths, walked all at once: the chance of having seen i positives after t values. What reaches
     the bound leaves the walk and is added up, so small p-values keep their digits. Costs (n_pos + n_neg) steps over the
-    positions inside the bound.
+    positions inside the bound. Where Hoeffding's bound for draws without replacement, added up over all steps, lies below the
+    least positive double, the result is 0 without a walk; so a walk has at most some 40 sqrt(min(n_pos, n_neg)) positions a step.
     """
     m, n = sorted((n_pos, n_neg))
     if gap <= 0 or m == 0:
         return 1.0
+    if 2.0 * (gap / (m + n)) ** 2 / m - math.log(2.0 * (m + n)) > LEAST_LOG:
+        return 0.0
     seen = np.arange(m + 1)
     chance = np.zeros(m + 1)
     chance[0], reached = 1.0, 0.0
@@ -350,13 +356,15 @@ def feature_report(
 ) -> DataFrame:
     """The interactive feature check: floor-style bins, KS p-value, and the shape of the positive group.
 
-    `pvalue` is "asymptotic", or "exact" for groups of up to some hundred thousand values (`exact_pvalue`, one row per
-    feature).
+    `pvalue` is "asymptotic", or "exact" (`exact_pvalue`, one task per feature).
     """
     if pvalue not in ("asymptotic", "exact"):
         raise ValueError(f"pvalue must be 'asymptotic' or 'exact', got {pvalue!r}")
     chance = ks_pvalue if pvalue == "asymptotic" else _exact_pvalues
     ranked = rank_metrics(profile_features(df, features, label, mode="floor"))
+    if pvalue == "exact":
+        place = F.array_position(F.array(*[F.lit(f) for f in features]), F.col("feature")) - 1
+        ranked = ranked.repartitionById(len(features), place.cast("int"))
     shape = moments(df, features, label)
     gap = (F.col("mean_pos") - F.col("mean_neg")) / (F.col("std_neg") + F.lit(config.Z_EPSILON))
     return ranked.join(F.broadcast(shape), "feature").select(

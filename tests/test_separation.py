@@ -1,4 +1,5 @@
 import math
+import time
 from itertools import combinations
 
 import numpy as np
@@ -228,3 +229,22 @@ def test_report_with_exact_pvalues(spark):
     assert got.ks_statistic == 0.5 and got.ks_pvalue == pytest.approx(enumerated_pvalue(8, 4, 4))
     with pytest.raises(ValueError):
         separation.feature_report(df, ["x"], pvalue="other")
+
+
+def test_exact_pvalue_of_clear_separation_needs_no_walk():
+    """Chances below the least positive double are 0 at once; a walk of these sizes takes minutes."""
+    begin = time.monotonic()
+    assert separation.exact_pvalue(round(0.9 * 5000 * 5_000_000), 5000, 5_000_000) == 0.0
+    assert time.monotonic() - begin < 1
+    m, n = 900, 1500
+    cut = round((m + n) * ((separation.LEAST_LOG + math.log(2 * (m + n))) * m / 2) ** 0.5)
+    assert separation.exact_pvalue(cut + 1, m, n) == 0.0
+    assert 0.0 < separation.exact_pvalue(round(0.7 * cut), m, n) < 1e-150
+
+
+def test_exact_pvalues_have_a_task_per_feature(spark):
+    rows = [(float(i), float(-i), float(i % 3), int(i > 4)) for i in range(8)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, Class int")
+    report = separation.feature_report(df, ["a", "b", "c"], pvalue="exact")
+    places = report.select("feature", "ks_pvalue", F.spark_partition_id().alias("task")).collect()
+    assert len({r.task for r in places}) == len(places) == 3
