@@ -3,15 +3,19 @@
 A column is cut into at most MAX_BINS bins at exact ranks, once. Every level of a tree is one aggregation of gradients and
 hessians by (node, feature, bin); the sums are whole numbers, so they, and the trees, do not depend on how the rows are
 split or in which order they come. What reaches the driver is one histogram per node, bounded by features x bins.
+
+Rows are kept in blocks: one Spark row holds the bins, labels and margins of up to an Arrow batch of rows, a few bytes a value.
+Tasks walk whole blocks down a tree and add them up by array arithmetic; Spark adds up the tasks.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +29,7 @@ MOST_SHIFT = 30
 LOSS_ROOM = 6
 CHECKPOINT_TREES = 10
 LEAST_GAIN = 1e-6
+BLOCK = "bins binary, label binary, margin binary"
 
 
 @dataclass(frozen=True)
@@ -91,12 +96,6 @@ def find_bins(df: DataFrame, features: Sequence[str], label: str, n_bins: int =
     return Binning(tuple(tuple(own) for own in edges))
 
 
-def _array(values: Sequence[bool | int | float]) -> Column:
-    """A constant array as one expression, not one literal for each element."""
-    text = (repr(v) + "D" if isinstance(v, float) else str(v).lower() for v in values)
-    return F.expr(f"array({', '.join(text)})")
-
-
 @dataclass
 class Tree:
     """A tree as arrays over heap numbers, for walking rows down it, and its nodes."""
@@ -120,18 +119,16 @@ class Tree:
         if node.feature >= 0:
             self.levels = max(self.levels, (node.node + 1).bit_length())
 
-    def place(self, bins: Column) -> Column:
-        """The node a row has come to. The arrays are values, not code, so all levels and trees share their generated code."""
-        if not self.levels:
-            return F.lit(0)
-        feature, cut, left = _array(self.feature), _array(self.bin), _array(self.missing_left)
-
-        def step(n: Column, _: Column) -> Column:
-            own = F.get(bins, F.get(feature, n)).cast("int")
-            goes_left = F.when(own == 0, F.get(left, n)).otherwise(own <= F.get(cut, n))
-            return F.when(F.get(feature, n) < 0, n).otherwise(2 * n + F.when(goes_left, 1).otherwise(2))
-
-        return F.aggregate(F.sequence(F.lit(1), F.lit(self.levels)), F.lit(0), step)
+    def place(self, bins: np.ndarray) -> np.ndarray:
+        """The nodes that rows have come to; `bins` has a line per feature."""
+        feature, cut, left = np.array(self.feature), np.array(self.bin), np.array(self.missing_left)
+        node, rows = np.zeros(bins.shape[1], np.int64), np.arange(bins.shape[1])
+        for _ in range(self.levels):
+            at = feature[node]
+            own = bins[at, rows]
+            goes_left = np.where(own == 0, left[node], own <= cut[node])
+            node = np.where(at < 0, node, 2 * node + np.where(goes_left, 1, 2))
+        return node
 
 
 @dataclass(frozen=True)
@@ -146,26 +143,78 @@ class Fixed:
         room = 62 - max(1, n_rows).bit_length() - math.ceil(math.log2(max(1.0, *weights)))
         return cls(max(0, min(MOST_SHIFT, room)), weights)
 
-    def weight(self) -> Column:
-        return F.when(F.col("label") == 1, F.lit(self.weights[1])).otherwise(F.lit(self.weights[0]))
+    def weight(self, label: np.ndarray) -> np.ndarray:
+        return np.where(label == 1, self.weights[1], self.weights[0])
+
+    def whole(self, value: np.ndarray, spare: int = 0) -> np.ndarray:
+        return np.floor(value * float(2 ** max(0, self.shift - spare)) + 0.5).astype(np.int64)
+
+
+def blocks(binned: DataFrame) -> DataFrame:
+    """Rows (bins, label) as blocks with margins of 0: a block is an Arrow batch of rows, its bins lie feature by feature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = len(batch)
+            if n:
+                bins = batch.column(0).flatten().to_numpy().reshape(n, -1).astype(np.int16)
+                label = batch.column(1).to_numpy().astype(np.int8)
+                yield _block(bins.T, label, np.zeros(n))
+
+    return binned.select("bins", "label").mapInArrow(run, BLOCK)
+
 
-    def whole(self, value: Column, spare: int = 0) -> Column:
-        return F.floor(value * F.lit(float(2 ** max(0, self.shift - spare))) + F.lit(0.5)).cast("long")
+def _block(bins: np.ndarray, label: np.ndarray, margin: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part.tobytes()], pa.binary()) for part in (bins, label, margin)], names=["bins", "label", "margin"])
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(bins, label, margin) of every block."""
+    for batch in batches:
+        for bins, label, margin in zip(*(batch.column(c) for c in ("bins", "label", "margin"))):
+            own = np.frombuffer(label.as_buffer(), np.int8)
+            yield np.frombuffer(bins.as_buffer(), np.int16).reshape(-1, len(own)), own, np.frombuffer(margin.as_buffer(), np.float64)
+
+
+def _add(total: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    """total[at] += values for whole numbers, without rounding."""
+    if len(total) > 4 * len(at):
+        np.add.at(total, at, values)
+    elif len(at) and int(np.abs(values).max()) * len(at) < 1 << 53:
+        total += np.bincount(at, values, len(total)).astype(np.int64)
+    elif len(at):  # sums beyond the whole numbers that a double holds: the upper and the lower bits apart
+        upper, lower = values >> 30, values & ((1 << 30) - 1)
+        total += np.bincount(at, upper, len(total)).astype(np.int64) << 30
+        total += np.bincount(at, lower, len(total)).astype(np.int64)
 
 
 def _histograms(rows: DataFrame, tree: Tree, wanted: list[int], fixed: Fixed, shape: tuple[int, int]) -> dict[int, np.ndarray]:
     """For each wanted node an array (feature, bin, [gradient, hessian, rows]) of whole numbers."""
-    chance = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
-    counted = _array([n in wanted for n in range(len(tree.feature))])
-    given = rows.select("bins", "label", chance.alias("p"), tree.place(F.col("bins")).alias("node")).filter(F.get(counted, F.col("node")))
-    weight = fixed.weight()
-    sums = given.select(
-        "node",
-        fixed.whole(weight * (F.col("p") - F.col("label"))).alias("g"),
-        fixed.whole(weight * (F.col("p") * (F.lit(1.0) - F.col("p")))).alias("h"),
-        F.posexplode("bins").alias("feature", "bin"),
-    )
-    table = sums.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("n")).toArrow()
+    slot = np.full(len(tree.feature), -1)
+    slot[wanted] = np.arange(len(wanted))
+    n_features, n_bins = shape
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((n_features, 3, len(wanted) * n_bins), np.int64)
+        for bins, label, margin in _opened(batches):
+            place = slot[tree.place(bins)]
+            here = np.flatnonzero(place >= 0)
+            place, label = place[here] * n_bins, label[here]
+            p = 1.0 / (1.0 + np.exp(-margin[here]))
+            weight = fixed.weight(label)
+            values = fixed.whole(weight * (p - label)), fixed.whole(weight * (p * (1.0 - p))), np.ones(len(here), np.int64)
+            for own, sums in zip(bins, total):
+                at = place + own[here]
+                for value, into in zip(values, sums):
+                    _add(into, at, value)
+        feature, cell = np.nonzero(total[:, 2])
+        sums = [pa.array(total[feature, k, cell]) for k in range(3)]
+        node = np.array(wanted, np.int32)[cell // n_bins]
+        keys = [pa.array(k.astype(np.int32)) for k in (node, feature, cell % n_bins)]
+        yield pa.RecordBatch.from_arrays([*keys, *sums], names=["node", "feature", "bin", "g", "h", "n"])
+
+    sums = rows.select("bins", "label", "margin").mapInArrow(run, "node int, feature int, bin int, g long, h long, n long")
+    table = sums.groupBy("node", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("g", "h", "n")]).toArrow()
     node, feature, b = (table.column(c).to_numpy() for c in ("node", "feature", "bin"))
     out = {n: np.zeros((*shape, 3), np.int64) for n in wanted}
     for n in wanted:
@@ -175,6 +224,20 @@ def _histograms(rows: DataFrame, tree: Tree, wanted: list[int], fixed: Fixed, sh
     return out
 
 
+def _moved(state: DataFrame, tree: Tree) -> DataFrame:
+    """The blocks with the leaf value of each row added to its margin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        value = np.array(tree.value)
+        for batch in batches:
+            opened = zip(batch.column("valid"), _opened([batch]))
+            for valid, (bins, label, margin) in opened:
+                block = _block(bins, label, margin + value[tree.place(bins)])
+                yield block.append_column("valid", pa.array([valid.as_py()]))
+
+    return state.mapInArrow(run, f"{BLOCK}, valid boolean")
+
+
 def best_split(histogram: np.ndarray, unit: float, settings: Settings) -> tuple[float, int, int, bool] | None:
     """(gain, feature, bin, missing goes left) of the best split, or None. Ties: smallest feature, then bin, then missing right."""
     total = histogram[0].sum(axis=0)
@@ -194,7 +257,7 @@ def best_split(histogram: np.ndarray, unit: float, settings: Settings) -> tuple[
 
 
 def grow(rows: DataFrame, binning: Binning, fixed: Fixed, settings: Settings) -> Tree:
-    """One tree on rows (bins, label, margin).
+    """One tree on blocks of rows (bins, label, margin).
 
     Only the child with the smaller hessian sum is counted; its sibling is the parent's histogram less its own. Where a level
     has more cells than the driver holds, its nodes are counted in parts and each for itself, with the same sums.
@@ -245,11 +308,17 @@ def grow(rows: DataFrame, binning: Binning, fixed: Fixed, settings: Settings) ->
     return tree
 
 
-def _loss(fixed: Fixed) -> Column:
-    """Log loss of the validation rows in whole numbers."""
-    m = F.col("margin")
-    loss = F.log1p(F.exp(-F.abs(m))) + F.greatest(m, F.lit(0.0)) - m * F.col("label")
-    return F.sum(F.when(F.col("valid"), fixed.whole(fixed.weight() * loss, LOSS_ROOM)))
+def _loss(state: DataFrame, fixed: Fixed) -> int | None:
+    """Log loss of the validation rows in whole numbers; None without such rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, label, margin in _opened(batches):
+            loss = np.log1p(np.exp(-np.abs(margin))) + np.maximum(margin, 0.0) - margin * label
+            total = fixed.whole(fixed.weight(label) * loss, LOSS_ROOM).sum()
+            yield pa.RecordBatch.from_arrays([pa.array([int(total)])], names=["loss"])
+
+    own = state.filter("valid").select("bins", "label", "margin").mapInArrow(run, "loss long")
+    return own.agg(F.sum("loss")).first()[0]
 
 
 def fit(
@@ -263,23 +332,21 @@ def fit(
     known = F.col(label).cast("int")
     train, valid = (df.filter(known.isin(0, 1)) for df in (train, valid))
     binning = find_bins(train, features, label, settings.n_bins)
-    start = {"label": known, "margin": F.lit(0.0)}
-    parts = [binning.of(df, features, **start, valid=F.lit(side)) for df, side in ((train, False), (valid, True))]
+    parts = [blocks(binning.of(df, features, label=known)).withColumn("valid", F.lit(side)) for df, side in ((train, False), (valid, True))]
     state = parts[0].unionByName(parts[1]).persist()
     try:
-        n_rows = state.count()
+        n_rows = state.agg(F.sum(F.octet_length("label"))).first()[0] or 0
         fixed = Fixed.of(n_rows, weights)
         trees: list[Tree] = []
-        best = state.agg(_loss(fixed)).first()[0]
+        best = _loss(state, fixed)
         for turn in range(1, settings.max_trees + 1):
             tree = grow(state.filter(~F.col("valid")), binning, fixed, settings)
             trees.append(tree)
             if not tree.levels:
                 break
-            value = F.get(_array(tree.value), tree.place(F.col("bins")))
-            moved = state.withColumn("margin", F.col("margin") + value)
+            moved = _moved(state, tree)
             moved = moved.checkpoint() if turn % CHECKPOINT_TREES == 0 else moved.persist()
-            loss = moved.agg(_loss(fixed)).first()[0]
+            loss = _loss(moved, fixed)
             state.unpersist()
             state = moved
             if best is not None and best - loss < settings.min_progress * best:

@@ -318,3 +318,23 @@ def test_copies_of_a_transaction_are_explained_once_each(spark):
     signs = spark.createDataFrame([("a", 0.3), ("b", 0.1)], "feature string, attribution double")
     out = explain.local_report(df, ["a", "b"], signs).collect()
     assert len(out) == 6 and {(r.shap_feature, r.direction_consistent) for r in out} == {("a", True), ("b", False)}
+
+
+def test_histograms_are_exact_beyond_the_whole_numbers_of_a_double():
+    rng = np.random.default_rng(2)
+    at, values = rng.integers(0, 40, 3000), rng.integers(-(1 << 61) // 3000, (1 << 61) // 3000, 3000)
+    for size, scale in ((40, 1), (40, 1 << 20), (40, 3000), (30000, 3000)):
+        want, got = np.zeros(size, np.int64), np.ones(size, np.int64)
+        np.add.at(want, at, values * scale if scale < 3000 else values)
+        boosting._add(got, at, values * scale if scale < 3000 else values)
+        assert (got - 1 == want).all()
+
+
+def test_training_keeps_few_rows_of_spark(spark, monkeypatch):
+    """The rows that every level of a tree reads are blocks: one row of Spark holds thousands of rows of the table."""
+    seen, grow = [], boosting.grow
+    monkeypatch.setattr(boosting, "grow", lambda rows, *a: seen.append(rows.count()) or grow(rows, *a))
+    df = spark.range(0, 30000, 1, 3).select((F.col("id") % 97).cast("double").alias("a"), (F.col("id") % 97 > 60).cast("int").alias("Class"))
+    trees, _ = boosting.fit(df, df.limit(0), ("a",), "Class", (1.0, 1.0), boosting.Settings(max_trees=2, max_depth=2))
+    assert len(trees) == 2 and sum(seen) <= 2 * 6
+    assert trees[0].nodes[0].n_rows == 30000
