@@ -21,7 +21,8 @@ from ledgerwatch import config
 from ledgerwatch.operators.boosting import Node
 from ledgerwatch.operators.model import BoostedTrees
 
-BATCH_ROWS = 2048
+BATCH_ROWS = 4096
+TABLE_FEATURES = 6
 
 
 @dataclass(frozen=True)
@@ -64,10 +65,17 @@ def leaf_attributions(leaf: Leaf, x: np.ndarray) -> np.ndarray:
     That is a polynomial of degree d - 1, which d / 2 Gauss points integrate exactly: the path is extended by a factor per
     feature, and a feature is unwound by a division, at each point. The cost grows with d^2, not 2^d.
     """
-    d = len(leaf.features)
+    return _game(leaf, _passes(leaf, x).astype(float))
+
+
+def _passes(leaf: Leaf, x: np.ndarray) -> np.ndarray:
     seen = x[:, leaf.features]
-    missing = ~np.isfinite(seen)
-    passes = np.where(missing, leaf.missing, (seen > leaf.low) & (seen <= leaf.high)).astype(float)
+    return np.where(np.isfinite(seen), (seen > leaf.low) & (seen <= leaf.high), leaf.missing)
+
+
+def _game(leaf: Leaf, passes: np.ndarray) -> np.ndarray:
+    """Shapley values of one leaf for rows of 0 and 1, by whether each feature of its path passes."""
+    d = len(leaf.features)
     points, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
     out = np.zeros_like(passes)
     for t, weight in zip((points + 1) / 2, weights / 2):
@@ -76,14 +84,33 @@ def leaf_attributions(leaf: Leaf, x: np.ndarray) -> np.ndarray:
     return leaf.value * (passes - leaf.share) * out
 
 
-def attributions(paths: Sequence[Leaf], x: np.ndarray) -> np.ndarray:
-    """Shapley values of all leaves for the rows of x, one column per feature."""
+def outcomes(leaf: Leaf) -> np.ndarray | None:
+    """The Shapley values of a short path for each pattern of features that pass, the first feature the lowest bit; None for others."""
+    d = len(leaf.features)
+    return _game(leaf, (np.arange(2**d)[:, None] >> np.arange(d) & 1).astype(float)) if 0 < d <= TABLE_FEATURES else None
+
+
+def attributions(paths: Sequence[Leaf], x: np.ndarray, known: Sequence[np.ndarray | None] | None = None) -> np.ndarray:
+    """Shapley values of all leaves for the rows of x, one column per feature. `known`: the `outcomes` of the leaves."""
+    known = known if known is not None else [outcomes(leaf) for leaf in paths]
     total = np.zeros_like(x)
     for begin in range(0, len(x), BATCH_ROWS):
         part = x[begin : begin + BATCH_ROWS]
-        for leaf in paths:
-            if len(leaf.features):
-                total[begin : begin + BATCH_ROWS, leaf.features] += leaf_attributions(leaf, part)
+        columns, sums = np.ascontiguousarray(part.T), np.zeros((x.shape[1], len(part)))
+        gone = [None if seen.all() else ~seen for seen in np.isfinite(columns)]
+        for leaf, table in zip(paths, known):
+            if table is not None:
+                pattern = np.zeros(len(part), np.intp)
+                for k, (f, low, high, missing) in enumerate(zip(leaf.features, leaf.low, leaf.high, leaf.missing)):
+                    passes = (columns[f] > low) & (columns[f] <= high)
+                    if gone[f] is not None:
+                        passes[gone[f]] = missing
+                    pattern += passes.view(np.int8) * np.int8(1 << k)
+                for f, values in zip(leaf.features, table.T):
+                    sums[f] += values.take(pattern)
+            elif len(leaf.features):
+                sums[leaf.features] += leaf_attributions(leaf, part).T
+        total[begin : begin + BATCH_ROWS] = sums.T
     return total
 
 
@@ -94,8 +121,9 @@ def with_attributions(df: DataFrame, model: BoostedTrees) -> DataFrame:
 
     @F.pandas_udf(ArrayType(DoubleType()))
     def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        known = [outcomes(leaf) for leaf in shared.value]
         for batch in batches:
-            yield pd.Series(list(attributions(shared.value, batch.to_numpy(dtype=float))))
+            yield pd.Series(list(attributions(shared.value, batch.to_numpy(dtype=float), known)))
 
     inputs = [F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(model.inputs)]
     return df.withColumn("attributions", attribute(F.struct(*inputs)))

@@ -338,3 +338,15 @@ def test_training_keeps_few_rows_of_spark(spark, monkeypatch):
     trees, _ = boosting.fit(df, df.limit(0), ("a",), "Class", (1.0, 1.0), boosting.Settings(max_trees=2, max_depth=2))
     assert len(trees) == 2 and sum(seen) <= 2 * 6
     assert trees[0].nodes[0].n_rows == 30000
+
+
+def test_tabulated_attributions_equal_the_formula():
+    rng = np.random.default_rng(6)
+    paths = [leaf for leaf in explain.leaf_paths(random_tree(rng, 7, 9))]
+    x = rng.normal(size=(9000, 9))
+    x[rng.random(x.shape) < 0.1] = np.inf
+    assert any(explain.outcomes(leaf) is None for leaf in paths) and any(explain.outcomes(leaf) is not None for leaf in paths)
+    want = np.zeros_like(x)
+    for leaf in paths:
+        want[:, leaf.features] += explain.leaf_attributions(leaf, x)
+    assert explain.attributions(paths, x) == pytest.approx(want, abs=1e-12)
