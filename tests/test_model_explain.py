@@ -41,6 +41,20 @@ def test_scoring_days_and_columns(spark, trained):
     assert out.groupBy("Class").agg(F.avg("fraud_probability").alias("p")).orderBy("Class").collect()[1].p > 0.5
 
 
+def scorings(df):
+    """(times the plan scores rows, times it reads them)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("ArrowEvalPython [probability"), plan.count("Scan ")
+
+
+def test_rows_above_a_score_are_scored_once(trained):
+    fitted, _, df = trained
+    risky = explain.high_risk(model.predict(fitted, df), ("Time",))
+    assert scorings(risky) == (2, 2)
+    explained = explain.with_attributions(risky, fitted)
+    assert scorings(explained) == (2, 2)
+
+
 def test_importance_matches_the_trees(spark, trained):
     fitted, path, _ = trained
     nodes = model.tree_nodes(spark, path).collect()
