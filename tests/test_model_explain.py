@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerwatch.operators import boosting, explain, model
+from ledgerwatch.operators import boosting, explain, model, scores
 from ledgerwatch.operators.boosting import Node
 from ledgerwatch.sources import versions
 
@@ -44,7 +44,7 @@ def test_scoring_days_and_columns(spark, trained):
 def scorings(df):
     """(times the plan scores rows, times it reads them)."""
     plan = df._jdf.queryExecution().executedPlan().toString()
-    return plan.count("ArrowEvalPython [probability"), plan.count("Scan ")
+    return plan.count("ArrowEvalPython [probability"), plan.count("Scan ExistingRDD")
 
 
 def test_rows_above_a_score_are_scored_once(trained):
@@ -55,6 +55,12 @@ def test_rows_above_a_score_are_scored_once(trained):
     assert scorings(explained) == (2, 2)
 
 
+def test_evaluation_scores_rows_once_a_reading(trained):
+    fitted, _, df = trained
+    scored, read = scorings(scores.evaluate(model.predict(fitted, df)))
+    assert scored == read > 0
+
+
 def test_importance_matches_the_trees(spark, trained):
     fitted, path, _ = trained
     nodes = model.tree_nodes(spark, path).collect()
