@@ -5,7 +5,8 @@ hessians by (node, feature, bin); the sums are whole numbers, so they, and the t
 split or in which order they come. What reaches the driver is one histogram per node, bounded by features x bins.
 
 Rows are kept in blocks: one Spark row holds the bins, labels and margins of up to an Arrow batch of rows, a few bytes a value.
-Tasks walk whole blocks down a tree and add them up by array arithmetic; Spark adds up the tasks.
+Tasks walk whole blocks down a tree and add them up by array arithmetic; Spark adds up the tasks. Blocks are dealt to as many tasks
+as their rows are worth: a task of Python has a cost of its own, and a level of a tree is a job.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import clean_double, is_finite
@@ -27,9 +28,14 @@ MAX_BINS = 255
 HELD_CELLS = 1 << 22
 MOST_SHIFT = 30
 LOSS_ROOM = 6
-CHECKPOINT_TREES = 10
+CHECKPOINT_TREES = 5
 LEAST_GAIN = 1e-6
+# Rows that a task walks: so many at least, as long as there are cores, and about so many at most.
+LEAST_TASK_ROWS = 1 << 15
+MOST_TASK_ROWS = 1 << 18
 BLOCK = "bins binary, label binary, margin binary"
+CELLS = "node int, feature int, bin int, g long, h long, n long"
+LOSS_NODE = -1
 
 
 @dataclass(frozen=True)
@@ -72,6 +78,11 @@ class Binning:
 
     edges: tuple[tuple[float, ...], ...]
 
+    @property
+    def shape(self) -> tuple[int, int]:
+        """Features, and the most bins of any of them."""
+        return len(self.edges), 2 + max(1, *map(len, self.edges))
+
     def of(self, df: DataFrame, features: Sequence[str], **extra: Column) -> DataFrame:
         """`bins`, one small number per feature, beside the columns of `extra`."""
         names = [f"__v{i}" for i in range(len(features))]
@@ -188,6 +199,40 @@ def _add(total: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
         total += np.bincount(at, lower, len(total)).astype(np.int64)
 
 
+def _count(total: np.ndarray, place: np.ndarray, bins: np.ndarray, label: np.ndarray, margin: np.ndarray, fixed: Fixed) -> None:
+    """Add rows to `total`, an array (feature, [gradient, hessian, rows], cell); the cells of a row are `place` and its bins."""
+    p = 1.0 / (1.0 + np.exp(-margin))
+    weight = fixed.weight(label)
+    values = fixed.whole(weight * (p - label)), fixed.whole(weight * (p * (1.0 - p))), np.ones(len(label), np.int64)
+    for own, sums in zip(bins, total):
+        at = place + own
+        for value, into in zip(values, sums):
+            _add(into, at, value)
+
+
+def _cells(total: np.ndarray, nodes: list[int], n_bins: int) -> pa.RecordBatch:
+    """The cells of `total` that have rows; those of a node follow those of the node before it."""
+    feature, cell = np.nonzero(total[:, 2])
+    sums = [pa.array(total[feature, k, cell]) for k in range(3)]
+    node = np.array(nodes, np.int32)[cell // n_bins]
+    keys = [pa.array(k.astype(np.int32)) for k in (node, feature, cell % n_bins)]
+    return pa.RecordBatch.from_arrays([*keys, *sums], names=["node", "feature", "bin", "g", "h", "n"])
+
+
+def _added(cells: DataFrame) -> pa.Table:
+    return cells.groupBy("node", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("g", "h", "n")]).toArrow()
+
+
+def _dense(table: pa.Table, nodes: list[int], shape: tuple[int, int]) -> dict[int, np.ndarray]:
+    node, feature, b = (table.column(c).to_numpy() for c in ("node", "feature", "bin"))
+    out = {n: np.zeros((*shape, 3), np.int64) for n in nodes}
+    for n in nodes:
+        at = np.flatnonzero(node == n)
+        for k, c in enumerate(("g", "h", "n")):
+            out[n][feature[at], b[at], k] = table.column(c).to_numpy()[at]
+    return out
+
+
 def _histograms(rows: DataFrame, tree: Tree, wanted: list[int], fixed: Fixed, shape: tuple[int, int]) -> dict[int, np.ndarray]:
     """For each wanted node an array (feature, bin, [gradient, hessian, rows]) of whole numbers."""
     slot = np.full(len(tree.feature), -1)
@@ -199,29 +244,34 @@ def _histograms(rows: DataFrame, tree: Tree, wanted: list[int], fixed: Fixed, sh
         for bins, label, margin in _opened(batches):
             place = slot[tree.place(bins)]
             here = np.flatnonzero(place >= 0)
-            place, label = place[here] * n_bins, label[here]
-            p = 1.0 / (1.0 + np.exp(-margin[here]))
-            weight = fixed.weight(label)
-            values = fixed.whole(weight * (p - label)), fixed.whole(weight * (p * (1.0 - p))), np.ones(len(here), np.int64)
-            for own, sums in zip(bins, total):
-                at = place + own[here]
-                for value, into in zip(values, sums):
-                    _add(into, at, value)
-        feature, cell = np.nonzero(total[:, 2])
-        sums = [pa.array(total[feature, k, cell]) for k in range(3)]
-        node = np.array(wanted, np.int32)[cell // n_bins]
-        keys = [pa.array(k.astype(np.int32)) for k in (node, feature, cell % n_bins)]
-        yield pa.RecordBatch.from_arrays([*keys, *sums], names=["node", "feature", "bin", "g", "h", "n"])
-
-    sums = rows.select("bins", "label", "margin").mapInArrow(run, "node int, feature int, bin int, g long, h long, n long")
-    table = sums.groupBy("node", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("g", "h", "n")]).toArrow()
-    node, feature, b = (table.column(c).to_numpy() for c in ("node", "feature", "bin"))
-    out = {n: np.zeros((*shape, 3), np.int64) for n in wanted}
-    for n in wanted:
-        at = np.flatnonzero(node == n)
-        for k, c in enumerate(("g", "h", "n")):
-            out[n][feature[at], b[at], k] = table.column(c).to_numpy()[at]
-    return out
+            _count(total, place[here] * n_bins, bins[:, here], label[here], margin[here], fixed)
+        yield _cells(total, wanted, n_bins)
+
+    return _dense(_added(rows.select("bins", "label", "margin").mapInArrow(run, CELLS)), wanted, shape)
+
+
+def _start(state: DataFrame, fixed: Fixed, shape: tuple[int, int]) -> tuple[int | None, np.ndarray]:
+    """What a tree starts from, in one pass: the log loss of the validation rows in whole numbers, None without such rows, and the
+    histogram of all training rows."""
+    n_features, n_bins = shape
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, losses = np.zeros((n_features, 3, n_bins), np.int64), []
+        for batch in batches:
+            for valid, (bins, label, margin) in zip(batch.column("valid"), _opened([batch])):
+                if valid.as_py():
+                    loss = np.log1p(np.exp(-np.abs(margin))) + np.maximum(margin, 0.0) - margin * label
+                    losses.append(fixed.whole(fixed.weight(label) * loss, LOSS_ROOM).sum())
+                else:
+                    _count(total, np.zeros(len(label), np.int64), bins, label, margin, fixed)
+        yield _cells(total, [0], n_bins)
+        if losses:
+            row = zip((LOSS_NODE, 0, 0, int(sum(losses)), 0, 0), (*[pa.int32()] * 3, *[pa.int64()] * 3))
+            yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in row], names=["node", "feature", "bin", "g", "h", "n"])
+
+    table = _added(state.mapInArrow(run, CELLS))
+    losses = table.column("g").to_numpy()[table.column("node").to_numpy() == LOSS_NODE]
+    return int(losses[0]) if len(losses) else None, _dense(table, [0], shape)[0]
 
 
 def _moved(state: DataFrame, tree: Tree) -> DataFrame:
@@ -256,14 +306,13 @@ def best_split(histogram: np.ndarray, unit: float, settings: Settings) -> tuple[
     return float(gain.flat[best]), int(feature), int(b) + 1, bool(side)
 
 
-def grow(rows: DataFrame, binning: Binning, fixed: Fixed, settings: Settings) -> Tree:
-    """One tree on blocks of rows (bins, label, margin).
+def grow(rows: DataFrame, binning: Binning, fixed: Fixed, settings: Settings, root: np.ndarray | None = None) -> Tree:
+    """One tree on blocks of rows (bins, label, margin). `root` is the histogram of all rows, if that is known.
 
     Only the child with the smaller hessian sum is counted; its sibling is the parent's histogram less its own. Where a level
     has more cells than the driver holds, its nodes are counted in parts and each for itself, with the same sums.
     """
-    tree, unit = Tree(settings.max_depth), float(2**fixed.shift)
-    shape = (len(binning.edges), 2 + max(1, *map(len, binning.edges)))
+    tree, unit, shape = Tree(settings.max_depth), float(2**fixed.shift), binning.shape
     per_job = max(1, HELD_CELLS // (shape[0] * shape[1]))
     parents: dict[int, np.ndarray] = {}
     level, light = [0], {0}
@@ -280,7 +329,8 @@ def grow(rows: DataFrame, binning: Binning, fixed: Fixed, settings: Settings) ->
         for at in range(0, len(level), per_job):
             part = level[at : at + per_job]
             subtract = whole_level and bool(parents)
-            found = _histograms(rows, tree, [n for n in part if n in light or not subtract], fixed, shape)
+            counted = [n for n in part if n in light or not subtract]
+            found = {0: root} if part == [0] and root is not None else _histograms(rows, tree, counted, fixed, shape)
             for node in part:
                 if node not in found:
                     found[node] = parents[(node - 1) // 2] - found[node + 1 if node % 2 else node - 1]
@@ -308,17 +358,10 @@ def grow(rows: DataFrame, binning: Binning, fixed: Fixed, settings: Settings) ->
     return tree
 
 
-def _loss(state: DataFrame, fixed: Fixed) -> int | None:
-    """Log loss of the validation rows in whole numbers; None without such rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, label, margin in _opened(batches):
-            loss = np.log1p(np.exp(-np.abs(margin))) + np.maximum(margin, 0.0) - margin * label
-            total = fixed.whole(fixed.weight(label) * loss, LOSS_ROOM).sum()
-            yield pa.RecordBatch.from_arrays([pa.array([int(total)])], names=["loss"])
-
-    own = state.filter("valid").select("bins", "label", "margin").mapInArrow(run, "loss long")
-    return own.agg(F.sum("loss")).first()[0]
+def n_tasks(spark: SparkSession, n_rows: int) -> int:
+    """Tasks that rows are dealt to: one per core where that leaves them LEAST_TASK_ROWS, more where they would have over MOST_TASK_ROWS."""
+    busy = min(spark.sparkContext.defaultParallelism, math.ceil(n_rows / LEAST_TASK_ROWS))
+    return max(1, busy, math.ceil(n_rows / MOST_TASK_ROWS))
 
 
 def fit(
@@ -327,26 +370,27 @@ def fit(
     """Boosted trees, and the bins they were grown on, for the log loss of labels 0 and 1 (rows with another label take no part).
 
     Trees are grown until the validation loss gains less than `min_progress` of itself; without validation rows there are
-    `max_trees`. The margins of all rows are kept with their bins, and their lineage is cut every CHECKPOINT_TREES trees.
+    `max_trees`. The margins of all rows are kept with their bins, and their lineage is cut every CHECKPOINT_TREES trees. The pass
+    that takes the loss after a tree also counts the root of the next.
     """
     known = F.col(label).cast("int")
     train, valid = (df.filter(known.isin(0, 1)) for df in (train, valid))
     binning = find_bins(train, features, label, settings.n_bins)
     parts = [blocks(binning.of(df, features, label=known)).withColumn("valid", F.lit(side)) for df, side in ((train, False), (valid, True))]
-    state = parts[0].unionByName(parts[1]).persist()
+    n_rows = train.select(label).unionByName(valid.select(label)).count()
+    state = parts[0].unionByName(parts[1]).repartition(n_tasks(train.sparkSession, n_rows)).persist()
     try:
-        n_rows = state.agg(F.sum(F.octet_length("label"))).first()[0] or 0
         fixed = Fixed.of(n_rows, weights)
         trees: list[Tree] = []
-        best = _loss(state, fixed)
+        best, root = _start(state, fixed, binning.shape)
         for turn in range(1, settings.max_trees + 1):
-            tree = grow(state.filter(~F.col("valid")), binning, fixed, settings)
+            tree = grow(state.filter(~F.col("valid")), binning, fixed, settings, root)
             trees.append(tree)
             if not tree.levels:
                 break
             moved = _moved(state, tree)
             moved = moved.checkpoint() if turn % CHECKPOINT_TREES == 0 else moved.persist()
-            loss = _loss(moved, fixed)
+            loss, root = _start(moved, fixed, binning.shape)
             state.unpersist()
             state = moved
             if best is not None and best - loss < settings.min_progress * best:

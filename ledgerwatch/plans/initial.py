@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from ledgerwatch import config
 from ledgerwatch.operators import drift, explain, model, slicing
 from ledgerwatch.plans.names import Tables
+from ledgerwatch.session import at_once
 from ledgerwatch.sources.tables import copy_source, replace_table
 
 
@@ -25,11 +26,17 @@ def build_slices(spark: SparkSession, tables: Tables, order: Sequence[str] = con
 
 def store_model_facts(spark: SparkSession, tables: Tables, fitted: model.BoostedTrees, path: str) -> None:
     """Facts that change only with the model: score histogram of the training days, importances, global attributions."""
-    baseline = drift.score_histogram(model.score(fitted, spark.table(tables["train"])))
-    replace_table(baseline, tables["baseline_histogram"])
-    replace_table(model.raw_importance(model.tree_nodes(spark, path), fitted.features), tables["model_importance"])
-    attributed = explain.with_attributions(spark.table(tables["validation"]), fitted)
-    replace_table(explain.global_attributions(attributed, fitted.features), tables["model_attributions"])
+
+    def attribute() -> None:
+        attributed = explain.with_attributions(spark.table(tables["validation"]), fitted)
+        replace_table(explain.global_attributions(attributed, fitted.features), tables["model_attributions"])
+
+    def histogram() -> None:
+        baseline = drift.score_histogram(model.score(fitted, spark.table(tables["train"])))
+        replace_table(baseline, tables["baseline_histogram"])
+
+    importance = model.raw_importance(model.tree_nodes(spark, path), fitted.features)
+    at_once(spark, attribute, histogram, lambda: replace_table(importance, tables["model_importance"]))
 
 
 def set_up(

@@ -58,7 +58,7 @@ def quoted(table: str) -> str:
 
 def version_of(spark: SparkSession, table: str) -> str | None:
     """The table that the view `table` shows; None if there is no such view."""
-    if not spark.catalog.tableExists(table) or spark.catalog.getTable(table).tableType != "VIEW":
+    if not spark.catalog.tableExists(table):
         return None
     found = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(table)}").collect()}
     return found.get("ledgerwatch.version")
@@ -78,7 +78,8 @@ def _clean(spark: SparkSession, table: str) -> None:
     ended while they wrote."""
     catalog, schema, name = table.split(".")
     current = (version_of(spark, table) or "").split(".")[-1]
-    known = sorted(t.name for t in spark.catalog.listTables(f"{catalog}.{schema}") if t.name.startswith(name.lower() + VERSION))
+    listed = spark.sql(f"SHOW TABLES IN {quoted(f'{catalog}.{schema}')} LIKE '{name.lower()}{VERSION}*'").collect()
+    known = sorted(t.tableName for t in listed if not t.isTemporary)
     before = [v for v in known if v < current][-1:]
     for version in known:
         if version not in (current, *before):
@@ -90,8 +91,14 @@ def _clean(spark: SparkSession, table: str) -> None:
 
 
 def _switch_to(df: DataFrame, table: str, partition_by: tuple[str, ...]) -> None:
-    """Write a new version of `table` and show it. A load that fails leaves `table` as it was, and no other table."""
+    """Write a new version of `table` and show it. A load that fails leaves `table` as it was, and no other table.
+
+    Rows are brought together by the values of `partition_by` first, and Spark splits what is large: a value has a few files, not
+    one from every task.
+    """
     spark = df.sparkSession
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
     version = f"{table}{VERSION}{time.time_ns():020d}_{uuid.uuid4().hex[:8]}".lower()
     try:
         writer = df.write.mode("errorifexists")

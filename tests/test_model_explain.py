@@ -370,3 +370,30 @@ def test_tabulated_attributions_equal_the_formula():
     for leaf in paths:
         want[:, leaf.features] += explain.leaf_attributions(leaf, x)
     assert explain.attributions(paths, x) == pytest.approx(want, abs=1e-12)
+
+
+def test_training_deals_rows_to_as_many_tasks_as_they_are_worth(spark, monkeypatch):
+    """A task of Python costs more than a walk over a hundred rows, so small partitions are put together, and large ones are not."""
+    seen, grow = [], boosting.grow
+    monkeypatch.setattr(boosting, "grow", lambda rows, *a: seen.append(rows.rdd.getNumPartitions()) or grow(rows, *a))
+    df = spark.range(0, 6000, 1, 60).select((F.col("id") % 97).cast("double").alias("a"), (F.col("id") % 97 > 60).cast("int").alias("Class"))
+    train, valid = df.filter("a != 5"), df.filter("a = 5")
+    settings = boosting.Settings(max_trees=2, max_depth=2)
+    trees, _ = boosting.fit(train, valid, ("a",), "Class", (1.0, 1.0), settings)
+    assert seen == [1] * len(trees) and trees[0].nodes[0].n_rows == train.count()
+    monkeypatch.setattr(boosting, "MOST_TASK_ROWS", 1000)
+    assert [t.nodes for t in boosting.fit(train, valid, ("a",), "Class", (1.0, 1.0), settings)[0]] == [t.nodes for t in trees]
+    assert seen[-1] == 6
+
+
+def test_the_pass_before_a_tree_has_the_loss_and_the_root(spark):
+    bins, label = np.array([[1, 2, 2, 0], [3, 1, 3, 3]], np.int16), np.array([0, 1, 1, 0], np.int8)
+    margin = np.array([0.5, -1.0, 2.0, 0.0])
+    part = [p.tobytes() for p in (bins, label, margin)]
+    state = spark.createDataFrame([(*part, False), (*part, True), (*part, True)], f"{boosting.BLOCK}, valid boolean")
+    fixed, tree = boosting.Fixed.of(12, (1.0, 3.0)), boosting.Tree(2)
+    loss, root = boosting._start(state, fixed, (2, 5))
+    want = sum((3.0 if y else 1.0) * np.log1p(np.exp(-m if y else m)) for y, m in zip(label, margin))
+    assert loss / 2.0 ** (fixed.shift - boosting.LOSS_ROOM) == pytest.approx(2 * want, abs=1e-5)
+    assert (root == boosting._histograms(state.filter("NOT valid"), tree, [0], fixed, (2, 5))[0]).all() and root[0, :, 2].sum() == 4
+    assert boosting._start(state.filter("NOT valid"), fixed, (2, 5))[0] is None

@@ -1,5 +1,6 @@
 """First set-up and daily runs, end to end, on a small table with the full set of features."""
 
+import threading
 import uuid
 
 import numpy as np
@@ -10,6 +11,7 @@ from ledgerwatch import config
 from ledgerwatch.operators import history
 from ledgerwatch.plans import daily, initial
 from ledgerwatch.plans.names import WITH_HISTORY, Tables
+from ledgerwatch.session import at_once
 from ledgerwatch.sources.tables import TRANSACTIONS
 
 
@@ -98,3 +100,12 @@ def test_a_missing_audit_variable_counts_as_passed(spark, installed):
     tables[4] = tables[4].withColumn("is_audit_variable", F.lit(False))
     row = scorecards.evaluation_matrix(*tables).filter("sort_order = 8").first()
     assert row.metric_value == 0.0 and row.rating == "監査OK" and row.is_pass
+
+
+def test_steps_that_do_not_need_one_another_run_side_by_side(spark):
+    met = threading.Barrier(2, timeout=30)
+    assert at_once(spark, lambda: met.wait() >= 0, lambda: met.wait() >= 0, lambda: spark.range(3).count()) == [True, True, 3]
+    done = []
+    with pytest.raises(ZeroDivisionError):
+        at_once(spark, lambda: 1 // 0, lambda: done.append(spark.range(5).count()))
+    assert done == [5]

@@ -212,3 +212,21 @@ def test_retrain_trigger(spark):
 
 def test_nine_tables_keep_a_history():
     assert len(WITH_HISTORY) == 9 and Tables("s").history("psi") == "spark_catalog.s.v_detection_psi"
+
+
+def test_a_partitioned_table_has_few_files(spark, tables):
+    """Not one from every task for every value: each file is opened by every reading."""
+    rows = spark.range(0, 4000, 1, 40).withColumn("part", F.when(F.col("id") % 11 > 0, F.col("id") % 11))
+    sources.replace_table(rows, tables["x"], partition_by=("part",))
+    assert len(spark.table(tables["x"]).inputFiles()) <= 2 * 11
+    assert spark.table(tables["x"]).exceptAll(rows).isEmpty() and spark.table(tables["x"]).count() == 4000
+
+
+def test_cleaning_looks_at_the_versions_of_one_table(spark, tables, monkeypatch):
+    """The tables beside it, each looked up by itself, took most of a small load's time."""
+    sources.replace_table(spark.range(1), tables["xy"])
+    monkeypatch.setattr(type(spark.catalog), "listTables", None)
+    for n in (3, 2, 1):
+        sources.replace_table(spark.range(n), tables["x"])
+    shown = [r.tableName for r in spark.sql(f"SHOW TABLES IN {tables['x'].rsplit('.', 1)[0]}").collect()]
+    assert sorted(n.split(sources.VERSION)[0] for n in shown) == ["x", "x", "x", "xy", "xy"]
